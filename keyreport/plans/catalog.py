@@ -31,7 +31,7 @@ from keyreport.operators.userfn import DoFn, combine_per_key, filter_rows, flat_
 from keyreport.session import bounded_broadcast, scratch_dir
 from keyreport.sinks.files import append_table, write_delimited, write_lines
 from keyreport.sources.files import read_delimited, read_lines, read_report, read_table
-from keyreport.sources.streams import consume, read_file_stream
+from keyreport.sources.streams import consume, read_table_stream
 from keyreport.streaming.windows import run_to_files, windowed_aggregate, windowed_cogroup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -330,7 +330,8 @@ def q_split_fields(spark: SparkSession, sf: str) -> DataFrame:
     lines = t(spark, sf, "nation").select(
         join_fields(["n_nationkey", "n_name", "n_regionkey"], "|").alias("line"))
     parts = lines.select("line", split_fields("line", "|").alias("f"))
-    named = parts.select("line", *named_record("f", ["k", "n_name", "r"]), F.size("f").alias("n_fields"))
+    named = parts.select("line", *named_record("f", ["k", "n_name", "r"]),
+                         F.size("f").cast("bigint").alias("n_fields"))
     return named.select("line", F.col("k").cast("int").alias("n_nationkey"), "n_name",
                         F.col("r").cast("int").alias("n_regionkey"), "n_fields")
 
@@ -414,8 +415,8 @@ def q_bytes_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     n = t(spark, sf, "nation")
     msgs = n.select(F.encode(join_fields(["n_nationkey", "n_name", "n_regionkey"], ","), "UTF-8").alias("value"),
                     encode_row("n_nationkey", "n_name").alias("json"))
-    f = msgs.select(decode_fields("value").alias("f"), F.octet_length("value").alias("msg_bytes"),
-                    F.octet_length("json").alias("json_bytes"))
+    f = msgs.select(decode_fields("value").alias("f"), F.octet_length("value").cast("bigint").alias("msg_bytes"),
+                    F.octet_length("json").cast("bigint").alias("json_bytes"))
     return f.select(F.col("f")[0].cast("int").alias("n_nationkey"), F.col("f")[1].alias("n_name"),
                     F.col("f")[2].cast("int").alias("n_regionkey"), "msg_bytes", "json_bytes")
 
@@ -480,7 +481,7 @@ def q_sliding_window(spark: SparkSession, sf: str) -> DataFrame:
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The events table read as a file stream (each file once)."""
     schema = t(spark, sf, "events").schema
-    return read_file_stream(spark, f"{sf.rstrip('/')}/events.parquet", schema)
+    return read_table_stream(spark, sf, "events", schema)
 
 
 @query("stream_fixed", f"SELECT * FROM ({_FIXED_SQL}) {_CLOSED}")
@@ -533,8 +534,7 @@ def q_stream_foreach_batch(spark: SparkSession, sf: str) -> DataFrame:
     def handle(batch: DataFrame, batch_id: int) -> None:
         count_per_key(batch, "event_type").write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
 
-    stream = read_file_stream(spark, f"{sf.rstrip('/')}/events.parquet", t(spark, sf, "events").schema,
-                              max_files_per_trigger=1)
+    stream = read_table_stream(spark, sf, "events", t(spark, sf, "events").schema, max_files_per_trigger=1)
     q = consume(stream, handle, f"{base}/checkpoint", available_now=True)
     q.awaitTermination()
     if q.exception() is not None:

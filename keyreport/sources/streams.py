@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-__all__ = ["read_file_stream", "read_messages", "consume"]
+__all__ = ["read_file_stream", "read_table_stream", "read_messages", "consume"]
 
 
 def read_file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -24,6 +24,15 @@ def read_file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt:
     return reader.load(path)
 
 
+def read_table_stream(spark: SparkSession, base: str, name: str, schema: T.StructType,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """The parquet table ``{base}/{name}.parquet`` (one file or a folder of part
+    files) as a file stream."""
+    base = base.rstrip("/")
+    return read_file_stream(spark, f"{base}/{name}.parq[u]et", schema, "parquet",
+                            max_files_per_trigger, basePath=base)
+
+
 def read_messages(spark: SparkSession, fmt: str = "kafka", **options) -> DataFrame:
     """A message stream as ``value: BINARY, ts: TIMESTAMP`` (``ReadFromPubSub``).
 

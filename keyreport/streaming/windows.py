@@ -45,9 +45,10 @@ def as_event_time(df: DataFrame, ts: str, out: str = EVENT_TIME) -> tuple[DataFr
 
 
 def _bound(c: Column, ntz: bool) -> Column:
+    """A window bound back in the input's type (UTC wall-clock for NTZ)."""
     if not ntz:
         return c
-    return F.timestampadd("MICROSECOND", F.unix_micros(c), F.expr(_EPOCH_NTZ))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.expr(_EPOCH_NTZ))
 
 
 def fixed_window(ts: str | Column, size: str) -> Column:
