@@ -96,8 +96,9 @@ def unpack_key(key: str | Column, names: Sequence[str], sep: str = "-") -> list[
 
 def clamp_min(col: str | Column, floor: float = 0) -> Column:
     """``max(x, floor)``; NULL stays NULL, NaN stays NaN (as ``x < 0`` is false
-    for NaN in Python)."""
-    return F.greatest(_c(col), F.lit(floor))
+    for NaN in Python). ``greatest`` alone would turn NULL into ``floor``."""
+    c = _c(col)
+    return F.when(c.isNotNull(), F.greatest(c, F.lit(floor)))
 
 
 def round_half_up(col: str | Column, scale: int = 1, precision: int = 38) -> Column:

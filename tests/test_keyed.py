@@ -1,0 +1,69 @@
+import collections
+import random
+
+from pyspark.sql import functions as F
+
+from keyreport.operators import keyed as K
+from tests.conftest import rows
+
+PAIRS = [("JFK", 220), ("LAX", 92), ("JFK", 0), (None, 5), ("LAX", 2), (None, 1)]
+
+
+def pairs(spark):
+    return spark.createDataFrame(PAIRS, "k string, v int")
+
+
+def test_sum_count_per_key(spark):
+    df = pairs(spark)
+    assert rows(K.sum_per_key(df, "k", "v")) == [("JFK", 220), ("LAX", 94), (None, 6)]
+    assert rows(K.count_per_key(df, "k")) == [("JFK", 2), ("LAX", 2), (None, 2)]
+    assert rows(K.sum_and_count_per_key(df, "k", "v")) == [("JFK", 220, 2), ("LAX", 94, 2), (None, 6, 2)]
+
+
+def test_count_per_element_and_globally(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "x string, y int")
+    assert rows(K.count_per_element(df)) == [("a", 1, 2), ("b", 1, 1)]
+    assert K.count_globally(df).collect()[0][0] == 3
+    assert K.count_globally(df.where("false")).collect()[0][0] == 0
+
+
+def test_partial_aggregation_in_plan(spark):
+    plan = K.sum_per_key(pairs(spark), "k", "v")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") >= 2  # partial before the shuffle, final after
+
+
+def brute_groups(data):
+    g = collections.defaultdict(collections.Counter)
+    for k, v in data:
+        g[k][v] += 1
+    return {k: sorted(c.items()) for k, c in g.items()}
+
+
+def test_group_by_key_small(spark):
+    df = pairs(spark)
+    got = K.group_by_key(df, "k", "v").collect()
+    assert all(r["chunk"] == 0 for r in got)
+    assert {r["k"]: [(i["v"], i["n"]) for i in r["items"]] for r in got} == brute_groups(PAIRS)
+
+
+def test_group_by_key_splits_hot_key(spark):
+    rnd = random.Random(7)
+    data = [("hot", rnd.randrange(500)) for _ in range(3000)] + [("cold", i) for i in range(3)] + [(None, 1)] * 4
+    df = spark.createDataFrame(data, "k string, v int").repartition(4)
+    got = K.group_by_key(df, "k", "v", chunk_rows=100).collect()
+    merged = collections.defaultdict(list)
+    chunks = collections.defaultdict(set)
+    for r in got:
+        merged[r["k"]] += [(i["v"], i["n"]) for i in r["items"]]
+        chunks[r["k"]].add(r["chunk"])
+        assert len(r["items"]) <= 250  # bounded rows, not one huge list
+    assert {k: sorted(v) for k, v in merged.items()} == brute_groups(data)
+    assert len(chunks["hot"]) > 1 and chunks["cold"] == {0}
+
+
+def test_null_safe_condition(spark):
+    a = spark.createDataFrame([(None, 1), ("x", 2)], "k string, a int")
+    b = spark.createDataFrame([(None, 10), ("x", 20)], "j string, b int")
+    got = rows(a.join(b, K.null_safe_join_condition(a, b, ["k"], ["j"])).select("a", "b"))
+    assert got == [(1, 10), (2, 20)]
+    assert F is not None
