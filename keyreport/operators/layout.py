@@ -1,0 +1,20 @@
+"""Partition layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows round-robin over at least ``min_partitions`` partitions
+    (default: the session's default parallelism) before CPU-heavy per-row work,
+    but only when the input has fewer partitions than that.
+
+    A large input already arrives in far more scan splits than there are cores,
+    so this adds no shuffle there; it helps a small input whose rows sit in one
+    file part or row group and would otherwise be processed by one task.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

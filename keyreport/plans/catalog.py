@@ -26,6 +26,7 @@ from keyreport.operators.keyed import (
     count_globally, count_per_element, count_per_key, group_by_key, sum_and_count_per_key,
     sum_per_key,
 )
+from keyreport.operators.layout import spread
 from keyreport.operators.limits import first_rows
 from keyreport.operators.userfn import DoFn, combine_per_key, filter_rows, flat_map, map_values, par_do
 from keyreport.session import bounded_broadcast, scratch_dir
@@ -70,15 +71,16 @@ def dim(spark: SparkSession, sf: str, name: str, *cols: str) -> DataFrame:
 
 # ---------------------------------------------------------------- shared parts
 
-def orders_with_nation(spark: SparkSession, sf: str) -> DataFrame:
-    """orders ⋈ customer: ``o_orderkey, o_orderdate, c_nationkey``.
+def orders_with_nation(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
+    """orders ⋈ customer: ``o_orderkey, o_orderdate, c_nationkey`` (+ ``extra``
+    order columns).
 
     The smaller join runs first, so lineitem, the largest table, is shuffled
     only once (on ``l_orderkey``) afterwards.
     """
-    o = t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    o = t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", *extra)
     c = t(spark, sf, "customer", "c_custkey", "c_nationkey")
-    return o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_orderdate", "c_nationkey")
+    return o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_orderdate", "c_nationkey", *extra)
 
 
 def signed_delays(spark: SparkSession, sf: str, with_nation: bool = True) -> DataFrame:
@@ -211,10 +213,9 @@ def q_cogroup_full(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------- two-fact monthly report
 
 def _placed_per_month(spark: SparkSession, sf: str) -> DataFrame:
-    o = orders_with_nation(spark, sf)
-    price = t(spark, sf, "orders", "o_orderkey", "o_totalprice")
+    o = orders_with_nation(spark, sf, "o_totalprice")
     n = dim(spark, sf, "nation", "n_nationkey", "n_name")
-    rows = (o.join(price, "o_orderkey").join(n, o.c_nationkey == n.n_nationkey)
+    rows = (o.join(n, o.c_nationkey == n.n_nationkey)
             .select("n_name", year_month(F.to_date("o_orderdate")).alias("ym"),
                     F.col("o_totalprice").cast(T.DecimalType(18, 2)).alias("v")))
     return sum_per_key(rows, ["n_name", "ym"], "v", "order_value")
@@ -241,7 +242,8 @@ SELECT p.n_name, p.year, p.month, CAST(l.d AS BIGINT) AS late_days,
        CAST(ROUND(p.v, 1) AS DOUBLE) AS order_value,
        p.n_name || ';' || p.year || ';' || p.month || ';' || CAST(CAST(l.d AS BIGINT) AS VARCHAR)
          || ';' || CAST(ROUND(p.v, 1) AS VARCHAR) AS line
-FROM placed p JOIN late l ON p.n_name = l.n_name AND p.year = l.year AND p.month = l.month
+FROM placed p JOIN late l ON p.n_name IS NOT DISTINCT FROM l.n_name
+  AND p.year IS NOT DISTINCT FROM l.year AND p.month IS NOT DISTINCT FROM l.month
 """
 
 
@@ -287,7 +289,8 @@ WHERE token <> '' GROUP BY token
 @query("tokens", _TOKENS_SQL)
 def q_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """P2 + G3: every whitespace token of every whole document, counted."""
-    return count_per_element(explode_tokens(t(spark, sf, "documents", "text"), "text"), ["token"])
+    docs = spread(t(spark, sf, "documents", "text"))
+    return count_per_element(explode_tokens(docs, "text"), ["token"])
 
 
 @query("token_in_set", f"""
@@ -297,7 +300,7 @@ WHERE token IN ({", ".join("'" + w + "'" for w in WORDS)}) GROUP BY token
 """)
 def q_token_in_set(spark: SparkSession, sf: str) -> DataFrame:
     """P2 + F2: tokens that are exactly one of a few words, counted per word."""
-    toks = explode_tokens(t(spark, sf, "documents", "text"), "text")
+    toks = explode_tokens(spread(t(spark, sf, "documents", "text")), "text")
     return count_per_element(toks.where(in_set("token", WORDS)), ["token"])
 
 
@@ -306,7 +309,8 @@ SELECT doc_id, lang FROM documents WHERE regexp_matches(text, '\p{Nd}')
 """)
 def q_has_digit(spark: SparkSession, sf: str) -> DataFrame:
     """documents whose text holds a digit."""
-    return t(spark, sf, "documents", "doc_id", "lang", "text").where(has_digit("text")).select("doc_id", "lang")
+    docs = spread(t(spark, sf, "documents", "doc_id", "lang", "text"))
+    return docs.where(has_digit("text")).select("doc_id", "lang")
 
 
 @query("equals_field", """
@@ -588,7 +592,7 @@ FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
 def q_flat_map(spark: SparkSession, sf: str) -> DataFrame:
     """One output row per line of each whole document (a Python flat map
     over Arrow batches), counted per document."""
-    docs = t(spark, sf, "documents", "doc_id", "text")
+    docs = spread(t(spark, sf, "documents", "doc_id", "text"))
     lines = flat_map(docs, _lines_of, "doc_id long, line string")
     return lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"),
                                        F.count(F.when(F.col("line") == "", 1)).alias("n_blank"))

@@ -57,3 +57,26 @@ def test_file_stream_and_consumer(spark, tmp_dir):
     q.awaitTermination()
     assert sum(seen) == 1
     assert os.path.isdir(f"{tmp_dir}/ckpt")
+
+
+def test_create_and_show(spark, capsys):
+    df = sources.create(spark, [("Ana", 32), ("Bia", 21)], "name string, age int")
+    sinks.show(df)
+    assert "Ana" in capsys.readouterr().out and df.count() == 2
+
+
+def test_publish_then_stream_to_message_sink(spark, tmp_dir):
+    table = spark.createDataFrame([("a,1",), ("b,2",)], "line string").select(F.encode("line", "UTF-8").alias("value"))
+    sinks.publish_table(table, fmt="parquet", path=f"{tmp_dir}/topic")
+    stream = sources.read_file_stream(spark, f"{tmp_dir}/topic", table.schema)
+    q = sinks.write_messages(stream, f"{tmp_dir}/ckpt", fmt="parquet", available_now=True, path=f"{tmp_dir}/out")
+    q.awaitTermination()
+    got = sorted(bytes(r[0]).decode() for r in spark.read.parquet(f"{tmp_dir}/out").collect())
+    assert got == ["a,1", "b,2"]
+
+
+def test_preview_batches(spark, tmp_dir, capsys):
+    spark.createDataFrame([(1,), (2,)], "x int").write.parquet(f"{tmp_dir}/src")
+    stream = sources.read_file_stream(spark, f"{tmp_dir}/src", spark.read.parquet(f"{tmp_dir}/src").schema)
+    sinks.preview_batches(stream, f"{tmp_dir}/ckpt", n=1, available_now=True).awaitTermination()
+    assert "batch 0" in capsys.readouterr().out

@@ -93,3 +93,24 @@ def test_parse_int_strict_and_tolerant(spark):
     assert [r[0] for r in df.select(S.parse_int("s", strict=False)).collect()] == [7, None]
     with pytest.raises(Exception):
         df.select(S.parse_int("s")).collect()
+
+
+def test_split_pattern_equals_python_whitespace_on_every_code_point(spark):
+    import duckdb
+    cps = [c for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame([(c, "a" + chr(c) + "b") for c in cps], "cp int, s string")
+    spark_ws = {r["cp"] for r in df.where(F.size(S.tokens("s")) == 2).collect()}
+    python_ws = {c for c in cps if chr(c).isspace()}
+    assert spark_ws == python_ws
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(cp INTEGER, s VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", [(c, "a" + chr(c) + "b") for c in cps if c != 0])
+    duck_ws = {r[0] for r in con.execute(
+        f"SELECT cp FROM t WHERE len(regexp_split_to_array(s, '{S.WHITESPACE_CLASS}+')) = 2").fetchall()}
+    assert duck_ws == python_ws - {0}
+
+
+def test_key_by_keeps_record(spark):
+    df = spark.createDataFrame([("SP", "2014-02-03", "8.0")], "uf string, d string, casos string")
+    r = S.key_by(df, "uf").collect()[0]
+    assert r["uf"] == "SP" and r["record"].asDict() == {"uf": "SP", "d": "2014-02-03", "casos": "8.0"}
