@@ -394,8 +394,10 @@ def q_delay_table(spark: SparkSession, sf: str) -> DataFrame:
     n = dim(spark, sf, "nation", "n_nationkey", "n_name")
     d = signed_delays(spark, sf).where(positive("delay"))
     rows = d.join(n, d.c_nationkey == n.n_nationkey).select(F.col("n_name").alias("airport"), "delay")
-    counts = count_per_key(rows, "airport", "Qtd_Atrasos")
-    sums = sum_per_key(rows, "airport", "delay", "Tempo_Atrasos")
+    # Both sides come from one aggregate (one pass, one reused exchange) rather
+    # than two reads and two aggregates of the same rows.
+    both = sum_and_count_per_key(rows, "airport", "delay", "Tempo_Atrasos", "Qtd_Atrasos")
+    counts, sums = both.select("airport", "Qtd_Atrasos"), both.select("airport", "Tempo_Atrasos")
     g = cogroup({"Qtd_Atrasos": counts, "Tempo_Atrasos": sums}, "airport")
     nested = g.select("airport", F.struct(
         F.transform("Qtd_Atrasos", lambda x: x["Qtd_Atrasos"]).alias("Qtd_Atrasos"),

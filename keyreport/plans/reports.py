@@ -25,7 +25,7 @@ from keyreport.functions.shaping import (
     join_fields, named_record, round_half_up, year_month,
 )
 from keyreport.operators.cogroup import cogroup, match
-from keyreport.operators.keyed import count_per_key, sum_and_count_per_key, sum_per_key
+from keyreport.operators.keyed import sum_and_count_per_key, sum_per_key
 from keyreport.sinks.files import cast_to_schema
 from keyreport.sources.files import read_delimited
 from keyreport.streaming.windows import windowed_aggregate
@@ -73,8 +73,8 @@ def flight_delay_table(flights: DataFrame, key: str = "dest", delay: str = "arr_
     with ``_`` and reduced to the first element of each list, then cast to the
     declared schema."""
     pairs = delayed_flights(flights, key, delay)
-    counts = count_per_key(pairs, "key", "Qtd_Atrasos")
-    sums = sum_per_key(pairs, "key", "delay", "Tempo_Atrasos")
+    both = sum_and_count_per_key(pairs, "key", "delay", "Tempo_Atrasos", "Qtd_Atrasos")
+    counts, sums = both.select("key", "Qtd_Atrasos"), both.select("key", "Tempo_Atrasos")
     g = cogroup({"Qtd_Atrasos": counts, "Tempo_Atrasos": sums}, "key")
     nested = g.select(F.col("key").alias("airport"), F.struct(
         F.transform("Qtd_Atrasos", lambda x: x["Qtd_Atrasos"]).alias("Qtd_Atrasos"),
