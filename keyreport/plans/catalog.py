@@ -448,12 +448,19 @@ SELECT make_timestamp(s) AS window_start, make_timestamp(s + {_US[FIXED_SIZE]})
 FROM (SELECT {_bucket_sql(FIXED_SIZE)} AS s, event_type FROM events) GROUP BY ALL
 """
 
+def _sliding_starts_sql(cols: str, where: str = "") -> str:
+    """Rows of ``events`` once per sliding window holding them: one UNION ALL
+    branch per offset ``k`` in ``0 .. size/period - 1`` (start = bucket - k·period)."""
+    n = _US[SLIDE_SIZE] // _US[SLIDE_PERIOD]
+    return "\n      UNION ALL ".join(
+        f"SELECT {_bucket_sql(SLIDE_PERIOD)} - {k * _US[SLIDE_PERIOD]} AS s, {cols} FROM events {where}"
+        for k in range(n))
+
+
 _SLIDING_SQL = f"""
 SELECT make_timestamp(s) AS window_start, make_timestamp(s + {_US[SLIDE_SIZE]}) AS window_end,
        event_type, CAST(SUM(v) AS DOUBLE) AS total, COUNT(*) AS n
-FROM (SELECT {_bucket_sql(SLIDE_PERIOD)} - k * {_US[SLIDE_PERIOD]} AS s, event_type,
-             CAST(value AS DECIMAL(18,2)) AS v
-      FROM events, range(0, {_US[SLIDE_SIZE] // _US[SLIDE_PERIOD]}) r(k))
+FROM ({_sliding_starts_sql("event_type, CAST(value AS DECIMAL(18,2)) AS v")})
 GROUP BY ALL
 """
 
@@ -510,10 +517,8 @@ SELECT * FROM (
          COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) AS purchase_n,
          CAST(SUM(CASE WHEN event_type = 'view' THEN v END) AS DOUBLE) AS view_total,
          COUNT(CASE WHEN event_type = 'view' THEN 1 END) AS view_n
-  FROM (SELECT {_bucket_sql(SLIDE_PERIOD)} - k * {_US[SLIDE_PERIOD]} AS s, user_id, event_type,
-               CAST(value AS DECIMAL(18,2)) AS v
-        FROM events, range(0, {_US[SLIDE_SIZE] // _US[SLIDE_PERIOD]}) r(k)
-        WHERE event_type IN ('purchase', 'view'))
+  FROM ({_sliding_starts_sql("user_id, event_type, CAST(value AS DECIMAL(18,2)) AS v",
+                              "WHERE event_type IN ('purchase', 'view')")})
   GROUP BY ALL) {_CLOSED}
 """)
 def q_stream_cogroup(spark: SparkSession, sf: str) -> DataFrame:

@@ -33,14 +33,18 @@ def read_table_stream(spark: SparkSession, base: str, name: str, schema: T.Struc
                             max_files_per_trigger, basePath=base)
 
 
-def read_messages(spark: SparkSession, fmt: str = "kafka", **options) -> DataFrame:
+def read_messages(spark: SparkSession, fmt: str = "kafka", schema: T.StructType | str | None = None,
+                  **options) -> DataFrame:
     """A message stream as ``value: BINARY, ts: TIMESTAMP`` (``ReadFromPubSub``).
 
     ``fmt`` is any streaming source with ``value`` and ``timestamp`` columns,
-    e.g. ``kafka`` with ``kafka.bootstrap.servers`` and ``subscribe`` options.
-    The connector jar must be on the classpath; it is not part of this library.
+    e.g. ``kafka`` with ``kafka.bootstrap.servers`` and ``subscribe`` options,
+    or a file format (give ``schema`` and a ``path`` option). A broker
+    connector jar must be on the classpath; it is not part of this library.
     """
     reader = spark.readStream.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
     for k, v in options.items():
         reader = reader.option(k, v)
     df = reader.load()

@@ -99,3 +99,15 @@ def test_stream_equals_batch_on_closed_windows(spark):
     batch = R.windowed_delay_report(msgs, "5 seconds", lateness=None, key="dest")
     closed = batch.where(F.col("window_end") <= F.lit(T0 + dt.timedelta(seconds=60)).cast("timestamp"))
     assert rows(closed.select(F.second("window_start"), "dest", "total_delay", "n_delayed")) == EXPECTED
+
+
+def test_message_source_to_windowed_report(spark, tmp_dir):
+    from keyreport.sources.streams import read_messages
+    topic = f"{tmp_dir}/topic"
+    msgs = [message(*r) for f in FILES for r in f if r[0] != 2]
+    spark.createDataFrame(msgs, "value binary, timestamp timestamp").write.parquet(topic)
+    stream = read_messages(spark, "parquet", schema="value binary, timestamp timestamp", path=topic)
+    out = W.run_to_files(spark, R.windowed_delay_report(stream, "5 seconds"), "test_messages")
+    assert rows(out.select(F.second("window_start"), "dest", "total_delay", "n_delayed")) == EXPECTED
+    first = [bytes(r["value"]).decode() for r in out.where("dest = 'B'").orderBy("window_start").collect()][0]
+    assert first.startswith('{"window_start":') and '"dest":"B"' in first
