@@ -45,8 +45,8 @@ def cogroup(sides: Mapping[str, DataFrame], keys: str | Sequence[str],
     Output: ``keys..., chunk, <tag>...``; each ``<tag>`` list holds
     ``struct(values..., n)``, each distinct value of that side with its count,
     sorted, empty when the side has no row for the key. Duplicates are collapsed
-    before the shuffle and a key with more than ``chunk_rows`` distinct values is
-    spread over several rows (see ``group_by_key``), so no list is unbounded.
+    before the shuffle and a key with more than ``chunk_rows`` rows is spread
+    over several rows (see ``group_by_key``), so no list is unbounded.
 
     ``require_all`` keeps only keys present on every side, decided per key (not
     per chunk) from a per-key aggregate.
@@ -57,7 +57,7 @@ def cogroup(sides: Mapping[str, DataFrame], keys: str | Sequence[str],
     long = tagged_union(sides, keys)
     distinct = long.groupBy(*keys, TAG, *tags).agg(F.count(F.lit(1)).alias(count_col))
     presence = {f"__has_{t}": F.max((F.col(TAG) == t).cast("int")) for t in tags}
-    chunked = _attach_chunks(distinct, keys, [F.col(TAG), *[F.col(t) for t in tags]],
+    chunked = _attach_chunks(distinct, long, keys, [F.col(TAG), *[F.col(t) for t in tags]],
                              chunk_rows, presence if require_all else None)
     if require_all:
         for t in tags:

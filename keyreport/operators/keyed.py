@@ -77,35 +77,37 @@ def group_by_key(df: DataFrame, keys: str | Sequence[str], values: str | Sequenc
     Output: ``keys..., chunk, items`` where ``items`` is a sorted list of
     ``struct(values..., n)``: each distinct value with how often it occurs. The
     multiset is exact and whole. Duplicates are collapsed map-side first, then a
-    key with more than ``chunk_rows`` distinct values is spread over
-    ``ceil(distinct / chunk_rows)`` rows by a hash of the value, so a hot key
-    becomes several bounded rows rather than one unbounded list. A key that fits
+    key with more than ``chunk_rows`` rows is spread over ``ceil(rows /
+    chunk_rows)`` chunks by a hash of the value, so a hot key becomes several
+    bounded rows rather than one unbounded list (a chunk holds at most about
+    ``chunk_rows`` distinct values, fewer when values repeat). A key that fits
     has one row with ``chunk = 0``.
     """
     keys = _keys(keys)
     values = [values] if isinstance(values, str) else list(values)
     distinct = df.groupBy(*keys, *values).agg(F.count(F.lit(1)).alias(count_col))
-    chunked = _attach_chunks(distinct, keys, values, chunk_rows)
+    chunked = _attach_chunks(distinct, df, keys, values, chunk_rows)
     return (chunked.groupBy(*keys, "chunk")
             .agg(F.array_sort(F.collect_list(F.struct(*values, count_col))).alias(items)))
 
 
-def _attach_chunks(distinct: DataFrame, keys: list[str], hash_cols: list[str | Column],
+def _attach_chunks(distinct: DataFrame, raw: DataFrame, keys: list[str], hash_cols: list[str | Column],
                    chunk_rows: int, extra_aggs: dict[str, Column] | None = None) -> DataFrame:
-    """Add ``chunk`` to rows that are already distinct per key.
+    """Add ``chunk`` to ``distinct`` rows (already one per key and value).
 
-    The number of chunks of a key comes from one small aggregate per key; it is
-    joined back null-safely (AQE splits the join partition of a skewed key).
-    ``extra_aggs`` (name → aggregate) are further per-key values carried by the
-    same join.
+    The number of chunks of a key comes from a row count per key over the raw
+    input: a partial-aggregated shuffle of one small row per key and task. It
+    is joined back null-safely (broadcast when small; otherwise AQE splits the
+    join partition of a skewed key). ``extra_aggs`` (name → aggregate over
+    ``raw``) are further per-key values carried by the same join.
     """
     extra_aggs = extra_aggs or {}
     renamed = [f"__k{i}" for i in range(len(keys))]
-    sizes = (distinct.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("__distinct"),
+    sizes = (raw.groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("__rows"),
                   *[agg.alias(name) for name, agg in extra_aggs.items()])
              .select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)],
-                     F.greatest(F.ceil(F.col("__distinct") / F.lit(chunk_rows)), F.lit(1))
+                     F.greatest(F.ceil(F.col("__rows") / F.lit(chunk_rows)), F.lit(1))
                      .cast("int").alias("__chunks"),
                      *extra_aggs.keys()))
     joined = distinct.join(sizes, null_safe_join_condition(distinct, sizes, keys, renamed))
