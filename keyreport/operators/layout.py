@@ -14,7 +14,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     so this adds no shuffle there; it helps a small input whose rows sit in one
     file part or row group and would otherwise be processed by one task.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    spark = df.sparkSession
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()  # plans the scan; runs no job
+    except Exception:  # a session without RDD access (Spark Connect): leave as is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)

@@ -80,9 +80,9 @@ def combine_per_key(df: DataFrame, keys: str | Sequence[str], value: str,
     its raw values to one task.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    rtype = T._parse_datatype_string(return_type) if isinstance(return_type, str) else return_type
-    key_fields = [df.schema[k] for k in keys]
-    partial_schema = T.StructType([*key_fields, T.StructField("__partial", rtype, True)])
+    rtype = return_type if isinstance(return_type, str) else return_type.simpleString()
+    partial_schema = ", ".join(
+        [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys] + [f"__partial {rtype}"])
 
     def reduce_frame(pdf: pd.DataFrame, col: str) -> pd.DataFrame:
         out = pdf.groupby(keys, dropna=False, sort=False)[col].agg(combine)

@@ -649,7 +649,7 @@ def q_csv_header_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """K2 (with a header line) → S3: the header of each part file is skipped."""
     path = scratch_dir(spark, "files", "csv")
     write_delimited(t(spark, sf, "customer", *_CUSTOMER_FIELDS), path, sep="|", header=True)
-    return read_delimited(spark, path, T._parse_datatype_string(_CUSTOMER_SCHEMA), sep="|", header=True)
+    return read_delimited(spark, path, _CUSTOMER_SCHEMA, sep="|", header=True)
 
 
 @query("report_roundtrip", f"SELECT n_name, year, month, late_days, order_value FROM ({_MONTHS_SQL})")
@@ -657,5 +657,4 @@ def q_report_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """K2 → S7: the monthly report written as ``;`` lines and read back typed."""
     path = scratch_dir(spark, "files", "report")
     write_delimited(monthly_report(spark, sf).drop("line"), path, sep=";")
-    return read_report(spark, path, T._parse_datatype_string(
-        "n_name string, year string, month string, late_days bigint, order_value double"))
+    return read_report(spark, path, "n_name string, year string, month string, late_days bigint, order_value double")

@@ -25,7 +25,7 @@ def all_string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | Sequence[str],
+def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | Sequence[str],
                    sep: str = ",", header: bool = False, strict: bool = True) -> DataFrame:
     """Delimited text with a declared schema (never inferred).
 
@@ -34,14 +34,14 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.Str
     malformed row; tolerant mode turns bad fields into NULL. Empty fields read
     as NULL and blank lines are skipped.
     """
-    if not isinstance(schema, T.StructType):
-        schema = all_string_schema(schema)
+    if not isinstance(schema, (T.StructType, str)):
+        schema = all_string_schema(schema)  # names only: every field as text
     return spark.read.csv(path, schema=schema, sep=sep, header=header, quote="\u0000",
                           escape="\u0000", mode="FAILFAST" if strict else "PERMISSIVE",
                           enforceSchema=True)
 
 
-def read_report(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | Sequence[str],
+def read_report(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | Sequence[str],
                 sep: str = ";") -> DataFrame:
     """Read back a report written by ``sinks.write_delimited`` (no header line)."""
     return read_delimited(spark, path, schema, sep=sep, header=False)
