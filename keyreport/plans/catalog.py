@@ -253,7 +253,7 @@ def monthly_report(spark: SparkSession, sf: str) -> DataFrame:
     P11 J2 F6)."""
     m = match(_late_per_month(spark, sf), _placed_per_month(spark, sf), ["n_name", "ym"])
     value = round_half_up("order_value", 1)
-    year, month = F.split("ym", "-").getItem(0), F.split("ym", "-").getItem(1)
+    year, month = (F.get(F.split("ym", "-"), i) for i in (0, 1))
     return m.select(
         "n_name", year.alias("year"), month.alias("month"),
         F.col("late_days").cast("bigint").alias("late_days"), value.cast("double").alias("order_value"),

@@ -136,8 +136,8 @@ def monthly_report(cases: DataFrame, rain: DataFrame) -> DataFrame:
     """Months with both rain and cases per state: ``uf, ano, mes, chuva,
     dengue`` and the ``;`` line. A key missing on either side is dropped."""
     m = match(rain_per_month(rain), cases_per_month(cases), ["uf", "ano_mes"])
-    parts = F.split("ano_mes", "-")
-    out = m.select("uf", parts.getItem(0).alias("ano"), parts.getItem(1).alias("mes"), "chuva", "dengue")
+    ano, mes = named_record(F.split("ano_mes", "-"), ["ano", "mes"])  # NULL, not an error, when short
+    out = m.select("uf", ano, mes, "chuva", "dengue")
     return out.withColumn("line", join_fields(["uf", "ano", "mes", "chuva", "dengue"], ";"))
 
 

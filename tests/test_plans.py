@@ -1,0 +1,47 @@
+"""Physical-plan checks: core queries stay in the JVM, prune their scans and
+aggregate partially before the shuffle."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as ep
+
+SF = "/root/testdata/sf0.001"
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                "AggregateInPandas", "PythonUDF")
+# Queries whose purpose is a user Python function.
+PYTHON_BY_DESIGN = {"process_rows", "map_values", "flat_map", "filter_rows", "combine_custom"}
+# Queries that run a streaming query or write files first; their result is a file read.
+MATERIALIZED = {"stream_fixed", "stream_sliding", "stream_cogroup", "stream_foreach_batch", "delay_table",
+                "text_roundtrip", "csv_header_roundtrip", "report_roundtrip"}
+
+
+def plan(spark, name):
+    df = ep.queries()[name](spark, SF)
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(ep.queries()) - PYTHON_BY_DESIGN - MATERIALIZED))
+def test_core_queries_run_no_python(spark, name):
+    p = plan(spark, name)
+    assert not any(n in p for n in PYTHON_NODES), p
+
+
+@pytest.mark.parametrize("name", ["delay_report", "match_months", "sum_per_key", "tokens", "group_values"])
+def test_scans_read_only_needed_columns(spark, name):
+    p = plan(spark, name)
+    for schema in re.findall(r"ReadSchema: struct<([^>]*)>", p):
+        assert len(schema.split(",")) <= 4, schema
+
+
+@pytest.mark.parametrize("name", ["delay_report", "sum_per_key", "count_per_key", "tokens", "year_month",
+                                  "fixed_window", "sliding_window"])
+def test_partial_aggregate_before_shuffle(spark, name):
+    p = plan(spark, name)
+    assert "partial_" in p and "Exchange" in p
+
+
+def test_filter_pushed_into_scan(spark):
+    p = plan(spark, "equals_field")
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(event_type,error\)", p), p
