@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-__all__ = ["create", "read_lines", "read_delimited", "read_report", "read_table", "all_string_schema"]
+__all__ = ["create", "read_lines", "read_delimited", "read_delimited_with_rejects", "read_report", "read_table",
+           "all_string_schema", "REJECT_COL"]
+
+REJECT_COL = "_rejected_line"
 
 
 def create(spark: SparkSession, rows: Iterable, schema: T.StructType | str) -> DataFrame:
@@ -41,6 +45,29 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.Str
                           enforceSchema=True)
 
 
+def read_delimited_with_rejects(spark: SparkSession, path: str | Sequence[str],
+                                schema: T.StructType | str | Sequence[str], sep: str = ",",
+                                header: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Tolerant read that keeps what it could not parse: ``(good, rejects)``.
+
+    ``good`` has the declared columns; ``rejects`` has the raw text of each
+    malformed line (wrong field count, bad number) in ``_rejected_line`` next to
+    whatever fields did parse. Both come from one parse definition; the caller
+    decides whether a reject fails the job.
+    """
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    elif not isinstance(schema, T.StructType):
+        schema = all_string_schema(schema)
+    with_reject = T.StructType(schema.fields + [T.StructField(REJECT_COL, T.StringType(), True)])
+    parsed = spark.read.csv(path, schema=with_reject, sep=sep, header=header, quote="\u0000",
+                            escape="\u0000", mode="PERMISSIVE", columnNameOfCorruptRecord=REJECT_COL,
+                            enforceSchema=True)
+    good = parsed.where(F.col(REJECT_COL).isNull()).drop(REJECT_COL)
+    rejects = parsed.where(F.col(REJECT_COL).isNotNull())
+    return good, rejects
+
+
 def read_report(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | Sequence[str],
                 sep: str = ";") -> DataFrame:
     """Read back a report written by ``sinks.write_delimited`` (no header line)."""

@@ -82,3 +82,12 @@ def test_cases_skip_rows_without_digit(spark, tmp_dir):
     cases = R.read_cases(spark, write(tmp_dir, "cases.txt", CASES))
     assert rows(R.cases_per_month(cases)) == [
         ("AC", "2016-03", 0.0), ("CE", "2015-02", 337.0), ("SP", "2014-02", 8.0)]
+
+
+def test_tolerant_read_keeps_rejects(spark, tmp_dir):
+    from keyreport.sources.files import read_delimited_with_rejects
+    bad_lines = ["2021-03-01,100,7,AAA,BBB,800,5,1000,late,120,900,7", "2021-03-01,100,8,AAA"]
+    p = write(tmp_dir, "mixed.csv", FLIGHTS + "\n".join(bad_lines) + "\n")
+    good, rejects = read_delimited_with_rejects(spark, p, R.FLIGHT_SCHEMA)
+    assert rows(R.flight_delay_report(good)) == [("BBB", 42, 3), ("CCC", 33, 1)]
+    assert sorted(r["_rejected_line"] for r in rejects.collect()) == sorted(bad_lines)

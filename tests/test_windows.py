@@ -111,3 +111,25 @@ def test_message_source_to_windowed_report(spark, tmp_dir):
     assert rows(out.select(F.second("window_start"), "dest", "total_delay", "n_delayed")) == EXPECTED
     first = [bytes(r["value"]).decode() for r in out.where("dest = 'B'").orderBy("window_start").collect()][0]
     assert first.startswith('{"window_start":') and '"dest":"B"' in first
+
+
+def test_sliding_stream_matches_membership(spark):
+    base = scratch_dir(spark, "test", "sliding")
+    src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/ckpt"
+    os.makedirs(src.replace("file:", ""), exist_ok=True)
+    stream = spark.readStream.schema("value binary, ts timestamp").option("maxFilesPerTrigger", 1).parquet(src)
+    q = (R.windowed_delay_report(stream, "10 seconds", "5 seconds").writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ckpt).start())
+    try:
+        for rows_ in FILES:
+            spark.createDataFrame([message(*r) for r in rows_], "value binary, ts timestamp") \
+                .coalesce(1).write.mode("append").parquet(src)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    got = rows(spark.read.parquet(out).select(
+        (F.unix_timestamp("window_start") - F.unix_timestamp(F.lit(T0).cast("timestamp"))).cast("int"),
+        "dest", "total_delay", "n_delayed"))
+    # late (2, A, 100) falls only in closed windows and is dropped; (16, A, 7) is kept
+    assert got == [(-5, "A", 8, 2), (0, "A", 10, 3), (10, "A", 7, 1), (10, "B", 13, 2), (15, "A", 7, 1),
+                   (15, "B", 9, 1), (5, "A", 2, 1), (5, "B", 4, 1)]
