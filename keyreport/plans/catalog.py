@@ -71,26 +71,43 @@ def dim(spark: SparkSession, sf: str, name: str, *cols: str) -> DataFrame:
 
 # ---------------------------------------------------------------- shared parts
 
-def orders_with_nation(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
-    """orders ⋈ customer: ``o_orderkey, o_orderdate, c_nationkey`` (+ ``extra``
-    order columns).
+def signed_delays(spark: SparkSession, sf: str, *order_cols: str) -> DataFrame:
+    """lineitem ⋈ orders per line: ``l_returnflag, l_shipdate, o_orderdate, delay``
+    (days from order to shipment, may be negative) and ``order_cols``.
+
+    The two largest tables meet first, each shuffled once on the order key (AQE
+    splits a skewed key). Nation-level reports aggregate per customer right
+    after this join (``per_customer_to_nation``) and attach the customer after
+    the aggregate.
+    """
+    li = t(spark, sf, "lineitem", "l_orderkey", "l_returnflag", "l_shipdate")
+    o = t(spark, sf, "orders", "o_orderkey", "o_orderdate", *order_cols)
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+            .select("l_returnflag", "l_shipdate", "o_orderdate", *order_cols,
+                    F.datediff("l_shipdate", "o_orderdate").alias("delay")))
+
 
-    The smaller join runs first, so lineitem, the largest table, is shuffled
-    only once (on ``l_orderkey``) afterwards.
+def per_customer_to_nation(spark: SparkSession, sf: str, per_customer: DataFrame,
+                           keys: list[str], measures: list[str]) -> DataFrame:
+    """Roll per-customer partial sums (``o_custkey, keys..., measures...``) up
+    to ``c_nationkey, keys...``.
+
+    The per-customer aggregate runs first, map-side combined, so a customer
+    holding a third of all orders arrives here as one row per key: the customer
+    join sees no skew and shuffles one narrow row per customer rather than one
+    per line.
     """
-    o = t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", *extra)
     c = t(spark, sf, "customer", "c_custkey", "c_nationkey")
-    return o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_orderdate", "c_nationkey", *extra)
+    j = per_customer.join(c, per_customer.o_custkey == c.c_custkey)
+    return j.groupBy("c_nationkey", *keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def signed_delays(spark: SparkSession, sf: str, with_nation: bool = True) -> DataFrame:
-    """Per line: ``l_returnflag, l_shipdate, o_orderdate, delay`` (days from order
-    to shipment, may be negative) and ``c_nationkey`` when asked."""
-    li = t(spark, sf, "lineitem", "l_orderkey", "l_returnflag", "l_shipdate")
-    o = orders_with_nation(spark, sf) if with_nation else t(spark, sf, "orders", "o_orderkey", "o_orderdate")
-    cols = ["l_returnflag", "l_shipdate", "o_orderdate"] + (["c_nationkey"] if with_nation else [])
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .select(*cols, F.datediff("l_shipdate", "o_orderdate").alias("delay")))
+def delayed_per_nation(spark: SparkSession, sf: str) -> DataFrame:
+    """``c_nationkey, total_delay, n_delayed`` over lines shipped after the
+    order date."""
+    delayed = signed_delays(spark, sf, "o_custkey").where(positive("delay"))
+    per_cust = sum_and_count_per_key(delayed, "o_custkey", "delay", "total_delay", "n_delayed")
+    return per_customer_to_nation(spark, sf, per_cust, [], ["total_delay", "n_delayed"])
 
 
 _DELAYS_SQL = """
@@ -114,8 +131,7 @@ def delay_report(spark: SparkSession, sf: str) -> DataFrame:
     Aggregated on the nation key before the nation names are attached, so the
     name join touches one row per nation.
     """
-    delayed = signed_delays(spark, sf).where(positive("delay"))
-    per = sum_and_count_per_key(delayed, "c_nationkey", "delay", "total_delay", "n_delayed")
+    per = delayed_per_nation(spark, sf)
     n = dim(spark, sf, "nation", "n_nationkey", "n_name")
     return per.join(n, per.c_nationkey == n.n_nationkey).select(
         "n_nationkey", "n_name", F.col("total_delay").cast("bigint"), "n_delayed")
@@ -129,7 +145,7 @@ GROUP BY l.l_returnflag
 """)
 def q_sum_per_key(spark: SparkSession, sf: str) -> DataFrame:
     """G1: sum of positive delays per return flag."""
-    delayed = signed_delays(spark, sf, with_nation=False).where(positive("delay"))
+    delayed = signed_delays(spark, sf).where(positive("delay"))
     return sum_per_key(delayed, "l_returnflag", "delay", "total_delay").select(
         "l_returnflag", F.col("total_delay").cast("bigint"))
 
@@ -142,7 +158,7 @@ GROUP BY l.l_returnflag
 """)
 def q_count_per_key(spark: SparkSession, sf: str) -> DataFrame:
     """Delayed lines per return flag."""
-    delayed = signed_delays(spark, sf, with_nation=False).where(positive("delay"))
+    delayed = signed_delays(spark, sf).where(positive("delay"))
     return count_per_key(delayed, "l_returnflag", "n_delayed")
 
 
@@ -212,21 +228,26 @@ def q_cogroup_full(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------- two-fact monthly report
 
-def _placed_per_month(spark: SparkSession, sf: str) -> DataFrame:
-    o = orders_with_nation(spark, sf, "o_totalprice")
-    n = dim(spark, sf, "nation", "n_nationkey", "n_name")
-    rows = (o.join(n, o.c_nationkey == n.n_nationkey)
-            .select("n_name", year_month(F.to_date("o_orderdate")).alias("ym"),
-                    F.col("o_totalprice").cast(T.DecimalType(18, 2)).alias("v")))
-    return sum_per_key(rows, ["n_name", "ym"], "v", "order_value")
+def _per_name_month(spark: SparkSession, sf: str, per_customer: DataFrame, measure: str,
+                    n: DataFrame) -> DataFrame:
+    """Per-customer monthly sums → per nation name (``n``: nation keys and names)
+    and month."""
+    per_nation = per_customer_to_nation(spark, sf, per_customer, ["ym"], [measure])
+    named = per_nation.join(n, per_nation.c_nationkey == n.n_nationkey)
+    return sum_per_key(named, ["n_name", "ym"], measure, measure)
 
 
-def _late_per_month(spark: SparkSession, sf: str) -> DataFrame:
-    n = dim(spark, sf, "nation", "n_nationkey", "n_name")
-    d = signed_delays(spark, sf)
-    rows = d.join(n, d.c_nationkey == n.n_nationkey).select(
-        "n_name", year_month(F.to_date("l_shipdate")).alias("ym"), clamp_min("delay", 0).alias("late"))
-    return sum_per_key(rows, ["n_name", "ym"], "late", "late_days")
+def _placed_per_month(spark: SparkSession, sf: str, n: DataFrame) -> DataFrame:
+    o = t(spark, sf, "orders", "o_custkey", "o_orderdate", "o_totalprice").select(
+        "o_custkey", year_month(F.to_date("o_orderdate")).alias("ym"),
+        F.col("o_totalprice").cast(T.DecimalType(18, 2)).alias("v"))
+    return _per_name_month(spark, sf, sum_per_key(o, ["o_custkey", "ym"], "v", "order_value"), "order_value", n)
+
+
+def _late_per_month(spark: SparkSession, sf: str, n: DataFrame) -> DataFrame:
+    d = signed_delays(spark, sf, "o_custkey").select(
+        "o_custkey", year_month(F.to_date("l_shipdate")).alias("ym"), clamp_min("delay", 0).alias("late"))
+    return _per_name_month(spark, sf, sum_per_key(d, ["o_custkey", "ym"], "late", "late_days"), "late_days", n)
 
 
 _MONTHS_SQL = """
@@ -251,7 +272,8 @@ def monthly_report(spark: SparkSession, sf: str) -> DataFrame:
     """Per nation and month: late-shipment days (clamped at 0) matched with the
     order value (rounded to 0.1), as columns and as a ``;`` line (P4 P8 P9 P10
     P11 J2 F6)."""
-    m = match(_late_per_month(spark, sf), _placed_per_month(spark, sf), ["n_name", "ym"])
+    n = dim(spark, sf, "nation", "n_nationkey", "n_name")  # size checked once, used by both sides
+    m = match(_late_per_month(spark, sf, n), _placed_per_month(spark, sf, n), ["n_name", "ym"])
     value = round_half_up("order_value", 1)
     year, month = (F.get(F.split("ym", "-"), i) for i in (0, 1))
     return m.select(
@@ -391,12 +413,14 @@ def q_delay_table(spark: SparkSession, sf: str) -> DataFrame:
     """The warehouse report: count and sum sides co-grouped, nested, flattened,
     first element of each list, cast to the declared schema and appended to a
     table (J1 P12 P13 P14 K3); the table is read back."""
+    per = delayed_per_nation(spark, sf)
     n = dim(spark, sf, "nation", "n_nationkey", "n_name")
-    d = signed_delays(spark, sf).where(positive("delay"))
-    rows = d.join(n, d.c_nationkey == n.n_nationkey).select(F.col("n_name").alias("airport"), "delay")
+    rows = per.join(n, per.c_nationkey == n.n_nationkey).select(
+        F.col("n_name").alias("airport"), "total_delay", "n_delayed")
     # Both sides come from one aggregate (one pass, one reused exchange) rather
     # than two reads and two aggregates of the same rows.
-    both = sum_and_count_per_key(rows, "airport", "delay", "Tempo_Atrasos", "Qtd_Atrasos")
+    both = rows.groupBy("airport").agg(F.sum("total_delay").alias("Tempo_Atrasos"),
+                                       F.sum("n_delayed").alias("Qtd_Atrasos"))
     counts, sums = both.select("airport", "Qtd_Atrasos"), both.select("airport", "Tempo_Atrasos")
     g = cogroup({"Qtd_Atrasos": counts, "Tempo_Atrasos": sums}, "airport")
     nested = g.select("airport", F.struct(
