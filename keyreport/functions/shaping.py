@@ -70,15 +70,16 @@ def explode_tokens(df: DataFrame, col: str, out: str = "token",
 
 
 def named_record(arr: str | Column, names: Sequence[str], strict: bool = False) -> list[Column]:
-    """Columns named ``names`` from the positions of an array (``zip``).
+    """Columns named ``names`` from the positions of an array (``zip``): extra
+    fields are ignored.
 
-    Tolerant (default): a short array gives NULL for the missing names and extra
-    fields are ignored. Strict: a size other than ``len(names)`` raises.
+    Tolerant (default): a short array gives NULL for the missing names. Strict:
+    an array shorter than ``names`` raises, as indexing a short record does.
     """
     a = _c(arr)
     if strict:
-        a = F.when(F.size(a) == len(names), a).otherwise(
-            F.raise_error(F.concat(F.lit(f"expected {len(names)} fields, got "),
+        a = F.when(F.size(a) >= len(names), a).otherwise(
+            F.raise_error(F.concat(F.lit(f"expected at least {len(names)} fields, got "),
                                    F.size(a).cast("string"))))
     return [F.get(a, i).alias(n) for i, n in enumerate(names)]
 

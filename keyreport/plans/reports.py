@@ -27,7 +27,7 @@ from keyreport.functions.shaping import (
 from keyreport.operators.cogroup import cogroup, match
 from keyreport.operators.keyed import sum_and_count_per_key, sum_per_key
 from keyreport.sinks.files import cast_to_schema
-from keyreport.sources.files import read_delimited
+from keyreport.sources.files import all_string_schema, read_fields
 from keyreport.streaming.windows import windowed_aggregate
 
 # Field layouts of the inputs.
@@ -51,8 +51,10 @@ DELAY_TABLE_SCHEMA = "airport:STRING, lista_Qtd_Atrasos:INTEGER, lista_Tempo_Atr
 
 def read_flights(spark: SparkSession, path: str | Sequence[str], header: bool = False,
                  strict: bool = True) -> DataFrame:
-    """Flights text, typed. ``header=True`` drops the first line of each file."""
-    return read_delimited(spark, path, FLIGHT_SCHEMA, sep=",", header=header, strict=strict)
+    """Flights text, typed, with split semantics (``read_fields``): a blank or
+    non-integer number fails in strict mode. ``header=True`` drops the first
+    line of each file."""
+    return read_fields(spark, path, FLIGHT_SCHEMA, sep=",", header=header, strict=strict)
 
 
 def delayed_flights(flights: DataFrame, key: str = "dest", delay: str = "arr_delay") -> DataFrame:
@@ -108,11 +110,13 @@ def windowed_delay_report(messages: DataFrame, size: str, period: str | None = N
 # ----------------------------------------------------- two-fact monthly report
 
 def read_cases(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return read_delimited(spark, path, CASES_FIELDS, sep="|", header=True)
+    """Cases text, every field as text (``''`` stays ``''``), header skipped."""
+    return read_fields(spark, path, all_string_schema(CASES_FIELDS), sep="|", header=True)
 
 
 def read_rain(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return read_delimited(spark, path, RAIN_FIELDS, sep=",", header=True)
+    """Rain text, every field as text, header skipped."""
+    return read_fields(spark, path, all_string_schema(RAIN_FIELDS), sep=",", header=True)
 
 
 def cases_per_month(cases: DataFrame) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyreport.functions.shaping import named_record, split_fields
+
 __all__ = ["create", "read_lines", "read_delimited", "read_delimited_with_rejects", "read_report", "read_table",
-           "all_string_schema", "REJECT_COL"]
+           "all_string_schema", "REJECT_COL", "read_text_lines", "read_fields"]
 
 REJECT_COL = "_rejected_line"
 
@@ -68,6 +70,38 @@ def read_delimited_with_rejects(spark: SparkSession, path: str | Sequence[str],
     return good, rejects
 
 
+def read_text_lines(spark: SparkSession, path: str | Sequence[str], header: bool = False) -> DataFrame:
+    """Lines as ``value``, verbatim; ``header=True`` drops the first line of each
+    file. (With a header the line reader is the CSV one with one column, quotes
+    off and a U+0001 separator, which also skips blank lines; a line holding
+    U+0001 fails the read rather than being cut.)"""
+    if not header:
+        return spark.read.text(path)
+    return spark.read.csv(path, schema="value string", sep="\u0001", quote="\u0000", escape="\u0000",
+                          header=True, mode="FAILFAST", ignoreLeadingWhiteSpace=False,
+                          ignoreTrailingWhiteSpace=False)
+
+
+def read_fields(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
+                sep: str = ",", header: bool = False, strict: bool = True) -> DataFrame:
+    """Delimited text with the exact semantics of splitting each line on ``sep``
+    and indexing the fields: empty fields stay ``''`` for text columns, extra
+    fields are ignored.
+
+    Strict: a short line or a field that does not cast (``''`` or ``'x'`` for
+    a number) fails the job, as ``int(field)`` does. Tolerant: NULL instead.
+    All of it is Column expressions over the split line.
+    """
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    lines = read_text_lines(spark, path, header)
+    named = lines.select(*named_record(split_fields("value", sep), [f.name for f in schema.fields], strict))
+    return named.select(*[
+        (F.col(f.name) if isinstance(f.dataType, T.StringType)
+         else F.col(f.name).cast(f.dataType) if strict else F.col(f.name).try_cast(f.dataType)).alias(f.name)
+        for f in schema.fields])
+
+
 def read_report(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | Sequence[str],
                 sep: str = ";") -> DataFrame:
     """Read back a report written by ``sinks.write_delimited`` (no header line)."""

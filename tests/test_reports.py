@@ -91,3 +91,25 @@ def test_tolerant_read_keeps_rejects(spark, tmp_dir):
     good, rejects = read_delimited_with_rejects(spark, p, R.FLIGHT_SCHEMA)
     assert rows(R.flight_delay_report(good)) == [("BBB", 42, 3), ("CCC", 33, 1)]
     assert sorted(r["_rejected_line"] for r in rejects.collect()) == sorted(bad_lines)
+
+
+def test_flights_edge_rows(spark, tmp_dir):
+    import pytest
+    extra = "2021-03-01,100,9,AAA,BBB,800,5,1000,4,120,900,9,extra\n"   # extra field: ignored
+    no_dest = "2021-03-01,100,10,AAA,,800,5,1000,6,120,900,10\n"       # empty key: its own group ''
+    p = write(tmp_dir, "edge.csv", FLIGHTS + extra + no_dest)
+    assert rows(R.flight_delay_report(R.read_flights(spark, p))) == [("", 6, 1), ("BBB", 46, 4), ("CCC", 33, 1)]
+    blank = write(tmp_dir, "blank.csv", FLIGHTS + "2021-03-01,100,11,AAA,BBB,800,5,1000,,120,900,11\n")
+    with pytest.raises(Exception):
+        R.flight_delay_report(R.read_flights(spark, blank)).collect()   # int('') fails
+    assert rows(R.flight_delay_report(R.read_flights(spark, blank, strict=False))) == [("BBB", 42, 3), ("CCC", 33, 1)]
+    short = write(tmp_dir, "short.csv", FLIGHTS + "2021-03-01,100,12,AAA\n")
+    with pytest.raises(Exception):
+        R.read_flights(spark, short).collect()
+
+
+def test_read_fields_keeps_empty_text(spark, tmp_dir):
+    from keyreport.sources.files import read_fields
+    p = write(tmp_dir, "t.txt", "h1|h2|h3\na||c\n|b|\n")
+    got = rows(read_fields(spark, p, "x string, y string, z string", sep="|", header=True))
+    assert got == [("", "b", ""), ("a", "", "c")]
