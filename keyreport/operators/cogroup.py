@@ -94,14 +94,20 @@ def cogroup_values(sides: Mapping[str, DataFrame], keys: str | Sequence[str],
     return out.drop(*[f"__has_{t}" for t in sides])
 
 
-def match(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Inner match of two inputs on their keys, NULL keys included (a co-group
-    filtered to keys present on both sides, when each side has unique keys).
-
-    A plain join, so Spark picks broadcast or sort-merge by size and AQE splits
-    a skewed key.
+def match(left: DataFrame, right: DataFrame, keys: str | Sequence[str], null_safe: bool = True) -> DataFrame:
+    """Inner match of two inputs on their keys (a co-group filtered to keys
+    present on both sides, when each side has unique keys).
+
+    ``null_safe`` (default) lets NULL keys meet, as in a co-group; that join
+    condition is not the inputs' hash partitioning, so both sides are shuffled
+    once more. With ``null_safe=False`` (keys known to be non-NULL) the join
+    reuses the partitioning of per-key aggregates on both sides: no extra
+    shuffle. A plain join either way, so Spark picks broadcast or sort-merge by
+    size and AQE splits a skewed key.
     """
     keys = _keys(keys)
+    if not null_safe:
+        return left.join(right, keys, "inner")
     renamed = [f"__r{i}" for i in range(len(keys))]
     r = right.select(*[F.col(k).alias(n) for k, n in zip(keys, renamed)],
                      *[c for c in right.columns if c not in keys])

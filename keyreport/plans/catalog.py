@@ -230,11 +230,13 @@ def q_cogroup_full(spark: SparkSession, sf: str) -> DataFrame:
 
 def _per_name_month(spark: SparkSession, sf: str, per_customer: DataFrame, measure: str,
                     n: DataFrame) -> DataFrame:
-    """Per-customer monthly sums → per nation name (``n``: nation keys and names)
-    and month."""
-    per_nation = per_customer_to_nation(spark, sf, per_customer, ["ym"], [measure])
-    named = per_nation.join(n, per_nation.c_nationkey == n.n_nationkey)
-    return sum_per_key(named, ["n_name", "ym"], measure, measure)
+    """Per-customer monthly sums → per nation name and month (``n``: nation keys
+    and names, size-checked). Customers and names are attached to the
+    per-customer rows, then one aggregate runs per (name, month)."""
+    c = t(spark, sf, "customer", "c_custkey", "c_nationkey")
+    j = (per_customer.join(c, per_customer.o_custkey == c.c_custkey)
+         .join(n, F.col("c_nationkey") == n.n_nationkey))
+    return sum_per_key(j, ["n_name", "ym"], measure, measure)
 
 
 def _placed_per_month(spark: SparkSession, sf: str, n: DataFrame) -> DataFrame:
@@ -263,8 +265,7 @@ SELECT p.n_name, p.year, p.month, CAST(l.d AS BIGINT) AS late_days,
        CAST(ROUND(p.v, 1) AS DOUBLE) AS order_value,
        p.n_name || ';' || p.year || ';' || p.month || ';' || CAST(CAST(l.d AS BIGINT) AS VARCHAR)
          || ';' || CAST(ROUND(p.v, 1) AS VARCHAR) AS line
-FROM placed p JOIN late l ON p.n_name IS NOT DISTINCT FROM l.n_name
-  AND p.year IS NOT DISTINCT FROM l.year AND p.month IS NOT DISTINCT FROM l.month
+FROM placed p JOIN late l ON p.n_name = l.n_name AND p.year = l.year AND p.month = l.month
 """
 
 
@@ -273,7 +274,9 @@ def monthly_report(spark: SparkSession, sf: str) -> DataFrame:
     order value (rounded to 0.1), as columns and as a ``;`` line (P4 P8 P9 P10
     P11 J2 F6)."""
     n = dim(spark, sf, "nation", "n_nationkey", "n_name")  # size checked once, used by both sides
-    m = match(_late_per_month(spark, sf, n), _placed_per_month(spark, sf, n), ["n_name", "ym"])
+    # Names and months are never NULL here, so a plain equi-join: it reuses the
+    # (n_name, ym) partitioning of both aggregates and adds no shuffle.
+    m = match(_late_per_month(spark, sf, n), _placed_per_month(spark, sf, n), ["n_name", "ym"], null_safe=False)
     value = round_half_up("order_value", 1)
     year, month = (F.get(F.split("ym", "-"), i) for i in (0, 1))
     return m.select(
