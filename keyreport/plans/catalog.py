@@ -240,13 +240,21 @@ def _per_name_month(spark: SparkSession, sf: str, per_customer: DataFrame, measu
 
 
 def _placed_per_month(spark: SparkSession, sf: str, n: DataFrame) -> DataFrame:
-    o = t(spark, sf, "orders", "o_custkey", "o_orderdate", "o_totalprice").select(
-        "o_custkey", year_month(F.to_date("o_orderdate")).alias("ym"),
-        F.col("o_totalprice").cast(T.DecimalType(18, 2)).alias("v"))
-    return _per_name_month(spark, sf, sum_per_key(o, ["o_custkey", "ym"], "v", "order_value"), "order_value", n)
+    """Order value per nation name and month. An order is already one row per
+    customer and month, so the customer join comes first (a hot customer is
+    split by AQE's skew join) and one aggregate follows."""
+    o = t(spark, sf, "orders", "o_custkey", "o_orderdate", "o_totalprice")
+    c = t(spark, sf, "customer", "c_custkey", "c_nationkey")
+    rows = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+            .select("n_name", year_month(F.to_date("o_orderdate")).alias("ym"),
+                    F.col("o_totalprice").cast(T.DecimalType(18, 2)).alias("v")))
+    return sum_per_key(rows, ["n_name", "ym"], "v", "order_value")
 
 
 def _late_per_month(spark: SparkSession, sf: str, n: DataFrame) -> DataFrame:
+    """Late days per nation name and month. Several lines of a customer ship in
+    the same month, so they are summed per customer first (map-side) and only
+    those sums meet the customer table."""
     d = signed_delays(spark, sf, "o_custkey").select(
         "o_custkey", year_month(F.to_date("l_shipdate")).alias("ym"), clamp_min("delay", 0).alias("late"))
     return _per_name_month(spark, sf, sum_per_key(d, ["o_custkey", "ym"], "late", "late_days"), "late_days", n)

@@ -16,6 +16,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast a join side only on a measured size: no static guess from file
+    # sizes (compressed parquet can be many times larger in memory); AQE
+    # converts a join to broadcast from the runtime size of the shuffled side.
+    # Explicit hints come only from ``bounded_broadcast``, which counts rows.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
