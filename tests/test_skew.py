@@ -34,7 +34,9 @@ def skewed(spark):
 
 
 def test_aqe_splits_hot_key_in_match(spark):
+    # a sort-merge join whatever the sizes: no static or runtime broadcast
     with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
                         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
                         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
                         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
