@@ -228,36 +228,32 @@ def q_cogroup_full(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------- two-fact monthly report
 
-def _per_name_month(spark: SparkSession, sf: str, per_customer: DataFrame, measure: str,
-                    n: DataFrame) -> DataFrame:
-    """Per-customer monthly sums → per nation name and month (``n``: nation keys
-    and names, size-checked). Customers and names are attached to the
-    per-customer rows, then one aggregate runs per (name, month)."""
+def _orders_named(spark: SparkSession, sf: str, n: DataFrame) -> DataFrame:
+    """orders ⋈ customer ⋈ nation names: ``o_orderkey, o_orderdate,
+    o_totalprice, n_name``. Both sides of the monthly report use this one
+    frame, so its exchanges are planned once and reused."""
+    o = t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     c = t(spark, sf, "customer", "c_custkey", "c_nationkey")
-    j = (per_customer.join(c, per_customer.o_custkey == c.c_custkey)
-         .join(n, F.col("c_nationkey") == n.n_nationkey))
-    return sum_per_key(j, ["n_name", "ym"], measure, measure)
+    return (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+            .select("o_orderkey", "o_orderdate", "o_totalprice", "n_name"))
 
 
-def _placed_per_month(spark: SparkSession, sf: str, n: DataFrame) -> DataFrame:
-    """Order value per nation name and month. An order is already one row per
-    customer and month, so the customer join comes first (a hot customer is
-    split by AQE's skew join) and one aggregate follows."""
-    o = t(spark, sf, "orders", "o_custkey", "o_orderdate", "o_totalprice")
-    c = t(spark, sf, "customer", "c_custkey", "c_nationkey")
-    rows = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
-            .select("n_name", year_month(F.to_date("o_orderdate")).alias("ym"),
-                    F.col("o_totalprice").cast(T.DecimalType(18, 2)).alias("v")))
+def _placed_per_month(orders_named: DataFrame) -> DataFrame:
+    """Order value per nation name and month."""
+    rows = orders_named.select("n_name", year_month(F.to_date("o_orderdate")).alias("ym"),
+                               F.col("o_totalprice").cast(T.DecimalType(18, 2)).alias("v"))
     return sum_per_key(rows, ["n_name", "ym"], "v", "order_value")
 
 
-def _late_per_month(spark: SparkSession, sf: str, n: DataFrame) -> DataFrame:
-    """Late days per nation name and month. Several lines of a customer ship in
-    the same month, so they are summed per customer first (map-side) and only
-    those sums meet the customer table."""
-    d = signed_delays(spark, sf, "o_custkey").select(
-        "o_custkey", year_month(F.to_date("l_shipdate")).alias("ym"), clamp_min("delay", 0).alias("late"))
-    return _per_name_month(spark, sf, sum_per_key(d, ["o_custkey", "ym"], "late", "late_days"), "late_days", n)
+def _late_per_month(spark: SparkSession, sf: str, orders_named: DataFrame) -> DataFrame:
+    """Late days (clamped at 0) per nation name and ship month: lineitem meets
+    the narrow named orders on the order key, then one partial-aggregated
+    grouping."""
+    li = t(spark, sf, "lineitem", "l_orderkey", "l_shipdate")
+    rows = li.join(orders_named, li.l_orderkey == orders_named.o_orderkey).select(
+        "n_name", year_month(F.to_date("l_shipdate")).alias("ym"),
+        clamp_min(F.datediff("l_shipdate", "o_orderdate"), 0).alias("late"))
+    return sum_per_key(rows, ["n_name", "ym"], "late", "late_days")
 
 
 _MONTHS_SQL = """
@@ -281,10 +277,12 @@ def monthly_report(spark: SparkSession, sf: str) -> DataFrame:
     """Per nation and month: late-shipment days (clamped at 0) matched with the
     order value (rounded to 0.1), as columns and as a ``;`` line (P4 P8 P9 P10
     P11 J2 F6)."""
-    n = dim(spark, sf, "nation", "n_nationkey", "n_name")  # size checked once, used by both sides
+    n = dim(spark, sf, "nation", "n_nationkey", "n_name")  # size checked once
+    orders_named = _orders_named(spark, sf, n)
     # Names and months are never NULL here, so a plain equi-join: it reuses the
     # (n_name, ym) partitioning of both aggregates and adds no shuffle.
-    m = match(_late_per_month(spark, sf, n), _placed_per_month(spark, sf, n), ["n_name", "ym"], null_safe=False)
+    m = match(_late_per_month(spark, sf, orders_named), _placed_per_month(orders_named), ["n_name", "ym"],
+              null_safe=False)
     value = round_half_up("order_value", 1)
     year, month = (F.get(F.split("ym", "-"), i) for i in (0, 1))
     return m.select(
