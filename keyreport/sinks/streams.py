@@ -31,9 +31,11 @@ def write_messages(stream: DataFrame, checkpoint: str, fmt: str = "kafka",
 
 
 def publish_table(df: DataFrame, fmt: str = "kafka", path: str | None = None, **options) -> None:
-    """Publish every row of a batch table (``value`` column) to a topic, or, with
-    a file format and ``path``, to files a file stream source picks up."""
-    w = df.select("value").write.format(fmt)
+    """Publish every row of a batch table (``value`` column, and ``timestamp``
+    when present) to a topic, or, with a file format and ``path``, to files a
+    file stream source picks up."""
+    cols = ["value"] + (["timestamp"] if "timestamp" in df.columns and fmt != "kafka" else [])
+    w = df.select(*cols).write.format(fmt)
     for k, v in options.items():
         w = w.option(k, v)
     if path:
