@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 __all__ = [
     "WHITESPACE_CLASS", "SPLIT_PATTERN", "DIGIT_CLASS", "literal_regex", "split_fields", "tokens",
     "explode_tokens", "named_record", "with_year_month", "year_month",
-    "composite_key", "unpack_key", "key_by", "clamp_min", "round_half_up", "join_fields",
+    "composite_key", "unpack_key", "key_by", "clamp_min", "round_half_up", "python_round", "join_fields",
     "nest", "flatten_struct", "first_of_lists", "decode_fields", "encode_row",
     "parse_int", "parse_number",
 ]
@@ -117,6 +118,21 @@ def round_half_up(col: str | Column, scale: int = 1, precision: int = 38) -> Col
     return F.round(_c(col).cast(T.DecimalType(precision, max(scale, 6))), scale)
 
 
+def python_round(col: str | Column, ndigits: int = 1) -> Column:
+    """Python's ``round(x, ndigits)`` on doubles, bit for bit: the exact binary
+    value rounded half-to-even (``0.35`` → ``0.3``, ``0.25`` → ``0.2``), which
+    neither ``round`` nor ``bround`` gives. Arrow-batched Python, the slow path:
+    use ``round_half_up`` on decimals unless exact parity is asked for."""
+
+    @F.pandas_udf(T.DoubleType())
+    def _round(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: v if v != v else round(v, ndigits))
+
+    x = _c(col).cast("double")
+    # pandas cannot tell NaN from NULL on the way back, so NaN bypasses the UDF
+    return F.when(F.isnan(x), x).otherwise(_round(x))
+
+
 def join_fields(cols: Sequence[str | Column], sep: str = ";", null_as: str = "") -> Column:
     """Join fields into one text line; NULL prints as ``null_as`` (``concat_ws``
     alone would drop it and shift the fields)."""

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from keyreport.functions.predicates import has_digit, positive
 from keyreport.functions.shaping import (
     clamp_min, composite_key, decode_fields, encode_row, first_of_lists, flatten_struct,
-    join_fields, named_record, round_half_up, year_month,
+    join_fields, named_record, python_round, round_half_up, year_month,
 )
 from keyreport.operators.cogroup import cogroup, match
 from keyreport.operators.keyed import sum_and_count_per_key, sum_per_key
@@ -127,19 +127,25 @@ def cases_per_month(cases: DataFrame) -> DataFrame:
     return sum_per_key(rows.where(F.col("casos").isNotNull()), ["uf", "ano_mes"], "casos", "dengue")
 
 
-def rain_per_month(rain: DataFrame) -> DataFrame:
+def rain_per_month(rain: DataFrame, python_rounding: bool = False) -> DataFrame:
     """``uf, ano_mes, chuva``: rainfall per state and month, negative readings
-    counted as 0, summed exactly and rounded half-up to 0.1."""
+    counted as 0, summed exactly and rounded half-up to 0.1.
+
+    ``python_rounding`` instead sums doubles and rounds as Python's ``round``
+    does (half-to-even on the binary value), for bit parity with a float
+    report; the double sum then depends on the order of the rows.
+    """
+    mm = clamp_min(F.col("mm").cast("double"), 0)
     rows = rain.select(F.col("uf"), year_month("data").alias("ano_mes"),
-                       clamp_min(F.col("mm").cast("double"), 0).cast(T.DecimalType(38, 10)).alias("mm"))
+                       (mm if python_rounding else mm.cast(T.DecimalType(38, 10))).alias("mm"))
     s = sum_per_key(rows, ["uf", "ano_mes"], "mm", "chuva")
-    return s.withColumn("chuva", round_half_up("chuva", 1))
+    return s.withColumn("chuva", python_round("chuva", 1) if python_rounding else round_half_up("chuva", 1))
 
 
-def monthly_report(cases: DataFrame, rain: DataFrame) -> DataFrame:
+def monthly_report(cases: DataFrame, rain: DataFrame, python_rounding: bool = False) -> DataFrame:
     """Months with both rain and cases per state: ``uf, ano, mes, chuva,
     dengue`` and the ``;`` line. A key missing on either side is dropped."""
-    m = match(rain_per_month(rain), cases_per_month(cases), ["uf", "ano_mes"])
+    m = match(rain_per_month(rain, python_rounding), cases_per_month(cases), ["uf", "ano_mes"])
     ano, mes = named_record(F.split("ano_mes", "-"), ["ano", "mes"])  # NULL, not an error, when short
     out = m.select("uf", ano, mes, "chuva", "dengue")
     return out.withColumn("line", join_fields(["uf", "ano", "mes", "chuva", "dengue"], ";"))

@@ -113,3 +113,12 @@ def test_read_fields_keeps_empty_text(spark, tmp_dir):
     p = write(tmp_dir, "t.txt", "h1|h2|h3\na||c\n|b|\n")
     got = rows(read_fields(spark, p, "x string, y string, z string", sep="|", header=True))
     assert got == [("", "b", ""), ("a", "", "c")]
+
+
+def test_monthly_report_with_python_rounding(spark, tmp_dir):
+    cases = R.read_cases(spark, write(tmp_dir, "cases.txt", CASES))
+    rain = R.read_rain(spark, write(tmp_dir, "rain.csv", RAIN + "2015-02-04,0.05,CE\n"))
+    half_up = sorted(r["line"] for r in R.monthly_report(cases, rain).collect())
+    python = sorted(r["line"] for r in R.monthly_report(cases, rain, python_rounding=True).collect())
+    assert "CE;2015;02;55.1;337.0" in half_up          # 55.05 → 55.1 (exact decimal, half up)
+    assert "CE;2015;02;55.0;337.0" in python           # float 55.05 is 55.0499… → 55.0, as Python rounds

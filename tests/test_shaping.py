@@ -114,3 +114,12 @@ def test_key_by_keeps_record(spark):
     df = spark.createDataFrame([("SP", "2014-02-03", "8.0")], "uf string, d string, casos string")
     r = S.key_by(df, "uf").collect()[0]
     assert r["uf"] == "SP" and r["record"].asDict() == {"uf": "SP", "d": "2014-02-03", "casos": "8.0"}
+
+
+def test_python_round_has_float_parity(spark):
+    values = [0.25, 0.35, 0.15, 12.45, 4.2222222, -0.35, 2.675, float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in df.select(S.python_round("x", 1)).collect()]
+    want = [round(v, 1) for v in values]
+    assert got[:-1] == want[:-1] and got[-1] != got[-1]
+    assert got[:4] == [0.2, 0.3, 0.1, 12.4]
