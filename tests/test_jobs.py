@@ -1,6 +1,5 @@
 """The command-line jobs, end to end on fixture files."""
 
-import os
 
 from keyreport import jobs
 from keyreport.sources.files import read_lines
