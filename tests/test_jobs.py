@@ -1,6 +1,5 @@
 """The command-line jobs, end to end on fixture files."""
 
-
 from keyreport import jobs
 from keyreport.sources.files import read_lines
 from tests.test_reports import CASES, FLIGHTS, RAIN, write
