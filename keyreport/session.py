@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # A long-lived session runs many plans: keep more compiled code around.
+    "spark.sql.codegen.cache.maxEntries": "1000",
     # Streaming state off the JVM heap (bundled with Spark), with small
     # changelog commits per micro-batch instead of full snapshots.
     "spark.sql.streaming.stateStore.providerClass":
