@@ -31,8 +31,9 @@ from keyreport.operators.limits import first_rows
 from keyreport.operators.userfn import DoFn, combine_per_key, filter_rows, flat_map, map_values, par_do
 from keyreport.session import bounded_broadcast, scratch_dir
 from keyreport.sinks.files import append_table, write_delimited, write_lines
+from keyreport.sinks.streams import publish_table, write_messages
 from keyreport.sources.files import read_delimited, read_lines, read_report, read_table
-from keyreport.sources.streams import consume, read_table_stream
+from keyreport.sources.streams import consume, read_messages, read_table_stream
 from keyreport.streaming.windows import run_to_files, windowed_aggregate, windowed_cogroup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -587,6 +588,32 @@ def q_stream_foreach_batch(spark: SparkSession, sf: str) -> DataFrame:
     return parts.groupBy("event_type").agg(F.sum("n").alias("n"))
 
 
+@query("message_roundtrip", f"SELECT * FROM ({_FIXED_SQL}) {_CLOSED}")
+def q_message_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """K5 → S5 → P15 → W1 W4 → P16 → K4: every event published as a UTF-8
+    message with its event time, read back as a message stream, decoded,
+    counted per fixed window, written to the message sink as JSON bytes, and
+    those messages decoded again."""
+    base = scratch_dir(spark, "streams", "messages")
+    events = t(spark, sf, "events", "event_id", "user_id", "event_type", "value", "ts")
+    publish_table(events.select(F.encode(join_fields(["event_id", "user_id", "event_type"], ","), "UTF-8")
+                                .alias("value"), F.col("ts").alias("timestamp")),
+                  fmt="parquet", path=f"{base}/topic")
+    msgs = read_messages(spark, "parquet", "value binary, timestamp timestamp_ntz", path=f"{base}/topic")
+    fields = msgs.select(decode_fields("value").alias("f"), "ts")
+    rows = fields.select(F.get("f", 2).alias("event_type"), "ts")
+    counts = windowed_aggregate(rows, "ts", ["event_type"], FIXED_SIZE, {"n": F.count(F.lit(1))})
+    out = counts.select(encode_row("window_start", "window_end", "event_type", "n").alias("value"))
+    q = write_messages(out, f"{base}/checkpoint", fmt="parquet", available_now=True, path=f"{base}/out")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    schema = "window_start timestamp_ntz, window_end timestamp_ntz, event_type string, n bigint"
+    decoded = spark.read.schema("value binary").parquet(f"{base}/out").select(
+        F.from_json(F.decode("value", "UTF-8"), schema).alias("m"))
+    return decoded.select("m.*")
+
+
 # ----------------------------------------------------------- user functions
 
 class KeepAbove(DoFn):
