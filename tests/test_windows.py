@@ -47,9 +47,9 @@ def test_window_bounds_ignore_session_time_zone(spark):
     assert (r["window_start"], r["window_end"]) == (dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 1, 6, 0))
 
 
-def run_files(spark, src, out, ckpt, files):
+def run_files(spark, src, out, ckpt, files, lateness="0 seconds"):
     stream = spark.readStream.schema("value binary, ts timestamp").option("maxFilesPerTrigger", 1).parquet(src)
-    report = R.windowed_delay_report(stream, "5 seconds", key="dest")
+    report = R.windowed_delay_report(stream, "5 seconds", lateness=lateness, key="dest")
     q = (report.writeStream.format("parquet").outputMode("append").option("path", out)
          .option("checkpointLocation", ckpt).start())
     dropped = 0
@@ -133,3 +133,14 @@ def test_sliding_stream_matches_membership(spark):
     # late (2, A, 100) falls only in closed windows and is dropped; (16, A, 7) is kept
     assert got == [(-5, "A", 8, 2), (0, "A", 10, 3), (10, "A", 7, 1), (10, "B", 13, 2), (15, "A", 7, 1),
                    (15, "B", 9, 1), (5, "A", 2, 1), (5, "B", 4, 1)]
+
+
+def test_lateness_keeps_a_late_row(spark):
+    base = scratch_dir(spark, "test", "lateness")
+    src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/ckpt"
+    os.makedirs(src.replace("file:", ""), exist_ok=True)
+    dropped = run_files(spark, src, out, ckpt, FILES, lateness="20 seconds")
+    # watermark = max event time - 20 s: (2, A, 100) is still in time for window [0, 5)
+    assert read_out(spark, out) == [(0, "A", 108, 3), (10, "B", 4, 1), (15, "A", 7, 1), (15, "B", 9, 1),
+                                    (5, "A", 2, 1)]
+    assert dropped == 0
