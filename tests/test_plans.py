@@ -45,3 +45,9 @@ def test_partial_aggregate_before_shuffle(spark, name):
 def test_filter_pushed_into_scan(spark):
     p = plan(spark, "equals_field")
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(event_type,error\)", p), p
+
+
+@pytest.mark.parametrize("name", sorted(ep.queries()))
+def test_no_cross_or_nested_loop_join(spark, name):
+    p = plan(spark, name)
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
