@@ -22,7 +22,7 @@ from keyreport.session import scratch_dir
 
 __all__ = [
     "EVENT_TIME", "as_event_time", "fixed_window", "sliding_window",
-    "windowed_aggregate", "windowed_cogroup", "run_to_files",
+    "windowed_aggregate", "windowed_tagged_aggregate", "windowed_cogroup", "run_to_files",
 ]
 
 EVENT_TIME = "__event_time"
@@ -80,27 +80,43 @@ def windowed_aggregate(df: DataFrame, ts: str, keys: Sequence[str], size: str,
                       *keys, *aggs.keys())
 
 
+def windowed_tagged_aggregate(df: DataFrame, ts: str, keys: Sequence[str], tag: str | Column,
+                              tags: Sequence[str], value: str, size: str, period: str | None = None,
+                              lateness: str | None = "0 seconds") -> DataFrame:
+    """Per (window, key), for every tag: the sum and the count of ``value`` over
+    the rows carrying that tag (``<tag>_total``, ``<tag>_n``; 0 and NULL when
+    the tag has no row in the window). Rows with another tag are skipped before
+    the aggregate.
+
+    This is a co-group of branches that come from one input: one scan and one
+    stateful aggregate instead of a scan and an aggregate per branch.
+    """
+    tag_col = F.col(tag) if isinstance(tag, str) else tag
+    rows = df.select(ts, *keys, value, tag_col.alias("__tag")).where(F.col("__tag").isin(list(tags)))
+    aggs: dict[str, Column] = {}
+    for t in tags:
+        hit = F.col("__tag") == t
+        aggs[f"{t}_total"] = F.sum(F.when(hit, F.col(value)))
+        aggs[f"{t}_n"] = F.count(F.when(hit, F.lit(1)))
+    return windowed_aggregate(rows, ts, keys, size, aggs, period, lateness)
+
+
 def windowed_cogroup(sides: Mapping[str, DataFrame], ts: str, keys: Sequence[str], value: str,
                      size: str, period: str | None = None,
                      lateness: str | None = "0 seconds") -> DataFrame:
     """Co-group of several keyed inputs per (window, key): for every tag the sum
-    and the count of ``value`` (``<tag>_total``, ``<tag>_n``; 0 and NULL when the
-    tag has no row in the window).
+    and the count of ``value`` (see ``windowed_tagged_aggregate``).
 
     The inputs are tagged and unioned and then aggregated once, so the plan holds
     one stateful operator and one state store rather than an aggregate per side
-    plus a stream-stream join.
+    plus a stream-stream join. When the sides are filters of one input, call
+    ``windowed_tagged_aggregate`` on that input directly: it scans it once.
     """
     tagged = None
-    for tag, df in sides.items():
-        part = df.select(ts, *keys, value).withColumn("__tag", F.lit(tag))
+    for t, df in sides.items():
+        part = df.select(ts, *keys, value).withColumn("__side", F.lit(t))
         tagged = part if tagged is None else tagged.unionByName(part)
-    aggs: dict[str, Column] = {}
-    for tag in sides:
-        hit = F.col("__tag") == tag
-        aggs[f"{tag}_total"] = F.sum(F.when(hit, F.col(value)))
-        aggs[f"{tag}_n"] = F.count(F.when(hit, F.lit(1)))
-    return windowed_aggregate(tagged, ts, keys, size, aggs, period, lateness)
+    return windowed_tagged_aggregate(tagged, ts, keys, "__side", list(sides), value, size, period, lateness)
 
 
 def run_to_files(spark: SparkSession, stream: DataFrame, name: str,

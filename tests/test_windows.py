@@ -144,3 +144,16 @@ def test_lateness_keeps_a_late_row(spark):
     assert read_out(spark, out) == [(0, "A", 108, 3), (10, "B", 4, 1), (15, "A", 7, 1), (15, "B", 9, 1),
                                     (5, "A", 2, 1)]
     assert dropped == 0
+
+
+def test_windowed_cogroup_of_two_inputs(spark):
+    a = spark.createDataFrame([(T0 + dt.timedelta(seconds=s), k, v) for s, k, v in
+                               [(1, "A", 3), (4, "A", 5), (12, "B", 4)]], "ts timestamp_ntz, k string, v int")
+    b = spark.createDataFrame([(T0 + dt.timedelta(seconds=s), k, v) for s, k, v in
+                               [(2, "A", 10), (7, "C", 1)]], "ts timestamp_ntz, k string, v int")
+    out = W.windowed_cogroup({"a": a, "b": b}, "ts", ["k"], "v", "5 seconds", lateness=None)
+    got = rows(out.select(F.second("window_start"), "k", "a_total", "a_n", "b_total", "b_n"))
+    assert got == [(0, "A", 8, 2, 10, 1), (10, "B", 4, 1, None, 0), (5, "C", None, 0, 1, 1)]
+    one = W.windowed_tagged_aggregate(a.unionByName(b.withColumn("k", F.lit("A"))), "ts", [], "k", ["A"], "v",
+                                      "5 seconds", lateness=None)
+    assert rows(one.select(F.second("window_start"), "A_total", "A_n")) == [(0, 18, 3), (5, 1, 1)]
