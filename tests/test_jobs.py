@@ -47,3 +47,13 @@ def test_publish_then_windowed_stream_job(spark, tmp_dir):
                "--checkpoint", f"{tmp_dir}/ckpt", "--available-now"], spark)
     out = [json.loads(bytes(r[0]).decode()) for r in spark.read.parquet(f"{tmp_dir}/out").collect()]
     assert sorted((o["dest"], o["total_delay"], o["n_delayed"]) for o in out) == [("BBB", 42, 3), ("CCC", 33, 1)]
+
+
+def test_consume_job_prints_each_batch(spark, tmp_dir, capsys):
+    topic = f"{tmp_dir}/topic"
+    jobs.main(["publish", "--input", write(tmp_dir, "f.csv", FLIGHTS), "--format", "parquet", "--path", topic], spark)
+    jobs.main(["consume", "--source-format", "parquet", "--source-option", f"path={topic}",
+               "--source-schema", "value binary, timestamp timestamp", "--checkpoint", f"{tmp_dir}/ckpt",
+               "--preview", "2", "--available-now"], spark)
+    out = capsys.readouterr().out
+    assert "batch 0" in out and "2021-03-01,100," in out
