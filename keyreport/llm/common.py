@@ -98,21 +98,30 @@ class _Hasher:
         self.pow = self.inv = np.ones(1, dtype=U64)
 
     def ranges(self, b: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        n = len(b)
+        return self.over(self.t[b], start, end)
+
+    def over(self, values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of ranges of 64-bit values."""
+        n = len(values)
         if len(self.pow) < n:
             self.pow = _odd_powers(self.b, n + 1024)
             self.inv = _odd_powers(pow(self.b, -1, 1 << 64), n + 1024)
         with np.errstate(over="ignore"):
             c = np.empty(n + 1, dtype=U64)
             c[0] = 0
-            np.cumsum(self.t[b] * self.pow[:n], out=c[1:])
-            h = (c[end] - c[start]) * self.inv[start]
+            np.cumsum(values * self.pow[:n], out=c[1:])
+            # An empty range may start behind the last value.
+            h = (c[end] - c[start]) * self.inv[np.minimum(start, len(self.inv) - 1)]
             return mix(h + (end - start).astype(U64))
 
 
 _HASHERS: dict[int, _Hasher] = {}
 
 
+def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
+    return _hasher(lane).over(values, start, end)
+
+
 def _hasher(lane: int) -> _Hasher:
     if lane not in _HASHERS:
         _HASHERS[lane] = _Hasher(lane)
@@ -189,6 +198,12 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             yield batch.slice(a, b - a)
 
 
+def lists(xs: list[np.ndarray]) -> pa.ListArray:
+    """One list of longs per array."""
+    off = np.concatenate([[0], np.cumsum([len(x) for x in xs])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(off), i64(np.concatenate(xs) if xs else np.zeros(0, dtype=np.int64)))
+
+
 def i64(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == U64 else x.astype(np.int64, copy=False))
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyreport.llm.common import (
-    LOWER, NOT_SPACE, U64, chunks, components, i64, join_small, mix, table, words, written,
+    LOWER, NOT_SPACE, U64, chunks, components, join_small, lists, mix, table, words, written,
 )
 from keyreport.llm.queries import query
 
@@ -138,10 +138,6 @@ def signatures(docs: DataFrame, n: int, num: int, den: int, single: bool = False
                 out["lacking"].append(lacking)
                 out["keys"].append(np.concatenate(keys).view(np.int64) if keys else np.zeros(0, dtype=np.int64))
 
-            def lists(xs):
-                off = np.concatenate([[0], np.cumsum([len(x) for x in xs])]).astype(np.int32)
-                return pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(xs)))
-
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc").cast(pa.int64()), pa.array(out["n"], pa.int32()), pa.array(out["fp1"], pa.int64()),
                  pa.array(out["fp2"], pa.int64()), pa.array(out["need"], pa.int32()),
@@ -155,10 +151,7 @@ def whole_sets(docs: DataFrame, n: int) -> DataFrame:
     def run(batches):
         for batch in chunks(batches):
             sets = list(shingle_sets(words(batch.column("text"), NOT_SPACE, LOWER), n))
-            off = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").cast(pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(off), i64(np.concatenate(sets)))], names=["doc", "s"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc").cast(pa.int64()), lists(sets)], names=["doc", "s"])
 
     return docs.select("doc", "text").mapInArrow(run, "doc long, s array<long>")
 
