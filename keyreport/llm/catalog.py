@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from keyreport.llm import decontaminate, language_id, ngram_jaccard, packing, substring_dedup  # noqa: F401
+from keyreport.llm import (  # noqa: F401
+    decontaminate, language_id, ngram_jaccard, packing, sharding, substring_dedup, token_rollup, url_filter,
+)
 from keyreport.llm.queries import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
