@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from keyreport.llm import (  # noqa: F401
-    decontaminate, language_id, ngram_jaccard, packing, sharding, substring_dedup, token_rollup, url_filter,
+    decontaminate, language_id, ngram_jaccard, packing, sharding, substring_dedup, token_rollup, topk, url_filter,
 )
 from keyreport.llm.queries import ORACLE_SQL, QUERIES
 
