@@ -184,6 +184,13 @@ def words(texts: pa.Array, word_bytes: np.ndarray, letters: np.ndarray = SAME, l
     return Words(data, start, cat(ends, np.int64), np.searchsorted(start, off), [cat(x, U64) for x in hashes])
 
 
+def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
+    """A column of strings; ``record.x`` is the field x of the struct column record."""
+    outer, _, inner = column.partition(".")
+    x = batch.column(outer)
+    return (pc.struct_field(x, inner) if inner else x).cast(pa.string())
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches holding about ``limit`` bytes of ``column``, at
@@ -191,7 +198,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
     for batch in batches:
         if not batch.num_rows:
             continue
-        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        size = pc.fill_null(pc.binary_length(texts_of(batch, column)), 0).to_numpy(zero_copy_only=False)
         group = np.cumsum(size.astype(np.int64)) // limit
         cut = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows]])
         for a, b in itertools.pairwise(cut):

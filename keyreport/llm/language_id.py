@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyreport.llm.common import CHUNK_BYTES, chunks, join_small, table, written
+from keyreport.llm.common import CHUNK_BYTES, chunks, join_small, table, texts_of, written
 from keyreport.llm.queries import query
 
 FEATURES = 1 << 15
@@ -203,17 +203,18 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score (the calibrated probability) added."""
+    """(record, lang_pred, score) per row of ``docs``: record is a struct of its
+    columns, score the calibrated probability."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES x labels numbers
-    fields = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
-    docs = docs.select(*(F.col(f"`{f.name}`") for f in fields))
-    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    docs = docs.select(F.struct("*").alias("record"))
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType())])
 
     def run(batches):
         model = sent.value
         dense = np.ascontiguousarray(model.weights.T)
-        for part in chunks(batches, text_col, CHUNK_BYTES // 2):
-            texts = [t or "" for t in part.column(text_col).to_pylist()]
+        for part in chunks(batches, f"record.{text_col}", CHUNK_BYTES // 2):
+            texts = [t or "" for t in texts_of(part, f"record.{text_col}").to_pylist()]
             known = np.array([bool(model.labels) and _LETTER.search(t) is not None for t in texts], dtype=bool)
             score, pred = np.zeros(len(texts)), [UNKNOWN] * len(texts)
             if known.any():
@@ -226,8 +227,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 best = p.argmax(axis=1)
                 score = np.where(known, p.max(axis=1), 0.0)
                 pred = [model.labels[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(score)],
-                                             names=[*part.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([part.column("record"), pa.array(pred, pa.string()), pa.array(score)],
+                                             names=["record", "lang_pred", "score"])
 
     return docs.mapInArrow(run, schema)
 
@@ -236,4 +237,4 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 def op7_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = predict(docs.select("doc_id", "text"), fit(docs))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return found.select("record.doc_id", held_out(F.col("record.doc_id")).alias("held_out"), "lang_pred", "score")

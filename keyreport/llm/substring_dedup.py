@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyreport.llm.common import (
     CHUNK_BYTES, NOT_SPACE, U64, Words, chunks, i64, join_small, lists, mix, range_hashes, table, words, written,
@@ -119,8 +120,8 @@ def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1))
     text = F.col(text_col).cast("string")
     # t tells texts apart if rows repeat an id.
-    return docs.select(doc.alias("doc"), F.col(id_col).cast("long").alias("id"), text.alias("text"),
-                       F.xxhash64(text).alias("t"))
+    return docs.select(doc.alias("doc"), F.xxhash64(text).alias("t"), text.alias("text"),
+                       F.struct("*").alias("record"))
 
 
 def index(docs: DataFrame, width: int) -> DataFrame:
@@ -167,10 +168,14 @@ def windows(docs: DataFrame, width: int) -> DataFrame:
 
 
 def kept_texts(docs: DataFrame, width: int, joined: bool) -> DataFrame:
-    """``docs(id, text, starts, copy)`` without the words that the windows at
-    ``starts`` cover (``copy``: without any). ``joined``: words joined by one space;
-    otherwise a text that loses nothing stays as it is, and others keep their white
-    space around the words that stay."""
+    """The texts of ``docs(record, text, starts, copy)`` without the words that the
+    windows at ``starts`` cover (``copy``: without any). ``joined``: words joined by
+    one space; otherwise a text that loses nothing stays as it is, and others keep
+    the white space behind the words that stay."""
+    docs = docs.select("record", "text", "starts", "copy")
+    schema = T.StructType([docs.schema["record"], *(T.StructField(x, T.LongType()) for x in ("n_words", "n_removed")),
+                           T.StructField("kept_text", T.StringType())])
+
     def run(batches):
         for batch in chunks(batches):
             w = words(batch.column("text"), NOT_SPACE)
@@ -200,16 +205,17 @@ def kept_texts(docs: DataFrame, width: int, joined: bool) -> DataFrame:
             texts = [raw[a:b - 1].decode("utf-8") if b > a else "" for a, b in zip(cut[:-1], cut[1:], strict=True)]
             if not joined:
                 texts = [t if x else o.as_py() for t, x, o in zip(texts, lost, batch.column("text"), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), i64(n), i64(lost), pa.array(texts, pa.string())],
-                                             names=["doc_id", "n_words", "n_removed", "kept_text"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("record"), i64(n), i64(lost), pa.array(texts, pa.string())],
+                names=["record", "n_words", "n_removed", "kept_text"])
 
-    return docs.select("id", "text", "starts", "copy").mapInArrow(
-        run, "doc_id long, n_words long, n_removed long, kept_text string")
+    return docs.mapInArrow(run, schema)
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH, joined: bool = True,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row's (doc_id, n_words, n_removed, kept_text); see the module text."""
+    """(record, n_words, n_removed, kept_text) per row of ``docs``: record is a struct
+    of its columns; see the module text."""
     docs = _named(docs, id_col, text_col)
     rows = written(index(docs, width), "substring-index")
     long = rows.where(F.col("n") >= width)
@@ -236,5 +242,5 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, joined: bool = True,
 
 @query("op6_substring_dedup")
 def op6_substring_dedup(spark, sf_dir):
-    kept = substring_dedup(table(spark, sf_dir, "documents"), width=WIDTH)
-    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    kept = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), width=WIDTH)
+    return kept.select("record.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
