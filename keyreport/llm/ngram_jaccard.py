@@ -14,13 +14,19 @@ sizes r and s with Jaccard similarity >= num/den differ in at most
   elements.) In a small band (U <= 64) few segments hold many elements each and
   count 1: of (H+1)/2 segments one must differ by at most one element, and a set is
   indexed by each segment's subset and its one-deletion neighbourhood.
-* **By cost.** Each index key's documents are compared with a pivot, joined into
-  components, then compared with a second pivot. Keys that still hold several
-  components are costly (a passage that many documents share). Their documents
-  are allocated anew: every element is a segment, the costly (frequent) ones are
-  skipped (allocation -1) and the H+1 rarest are indexed (allocation 0), in an order
-  of (frequency, hash) common to all, so that similar sets still meet.
-* **Exact verification** by the intersection of the two whole sets.
+* **By cost.** Each index key's documents are compared with a pivot and joined into
+  components. Keys that still hold several components are costly (a passage that many
+  documents share). Their documents are allocated anew: every element is a
+  segment, the costly (frequent) ones are skipped (allocation -1) and the H+1 rarest
+  are indexed (allocation 0), in an order of (frequency, hash) common to all, so
+  that similar sets still meet; frequencies are counted in a table of fixed
+  size, which any common order allows. There pairs go on, pivot after pivot, until a
+  key holds one component; two sets whose first common element stands at places i
+  and j of that order differ in i + j elements at least, which ends most of them.
+* **Verification.** Pairs of unlike sizes are left out, then pairs whose parity
+  sketches (one bit per element's hash, as many bits as elements) differ in more
+  than H bits, a lower bound of the sets' difference; the rest is decided exactly by
+  the intersection of the two whole sets.
 
 Each round emits one row per member of a key and pivot, never all pairs of a group.
 Equal sets are grouped before the index, so copies cost one row each.
@@ -36,16 +42,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyreport.llm.common import (
-    LOWER, NOT_SPACE, U64, chunks, components, join_small, lists, mix, table, words, written,
+    LOWER, NOT_SPACE, U64, chunks, components, i64, join_small, lists, mix, table, words, written,
 )
 from keyreport.llm.queries import query
 
 ONE_DELETION_BAND = 64
-PIVOT_ROUNDS = 2
+# Counters of the table of element frequencies, whatever the corpus.
+COUNTERS = 1 << 18
 
 
 def bands(num: int, den: int) -> np.ndarray:
@@ -147,65 +154,98 @@ def signatures(docs: DataFrame, n: int, num: int, den: int, single: bool = False
     return docs.select("doc", "text").mapInArrow(run, SIG)
 
 
+def parity_sketch(u: np.ndarray) -> np.ndarray:
+    """Parity of the number of elements per bit; at least as many bits as elements,
+    a power of two. The first half xor the second is the sketch of half the size."""
+    bits = max(64, 1 << max(0, len(u) - 1).bit_length())
+    odd = np.bincount((u & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(U64)
+
+
 def whole_sets(docs: DataFrame, n: int) -> DataFrame:
     def run(batches):
         for batch in chunks(batches):
             sets = list(shingle_sets(words(batch.column("text"), NOT_SPACE, LOWER), n))
-            yield pa.RecordBatch.from_arrays([batch.column("doc").cast(pa.int64()), lists(sets)], names=["doc", "s"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc").cast(pa.int64()), lists(sets), lists([parity_sketch(u) for u in sets])],
+                names=["doc", "s", "sketch"])
 
-    return docs.select("doc", "text").mapInArrow(run, "doc long, s array<long>")
+    return docs.select("doc", "text").mapInArrow(run, "doc long, s array<long>, sketch array<long>")
 
 
 class _Links:
     """Compares the members of index keys and keeps the links found."""
 
-    def __init__(self, docs: DataFrame, n: int, num: int, den: int):
-        self.docs, self.n, self.num, self.den = docs, n, num, den
-        self.sets = self.roots = None
+    def __init__(self, docs: DataFrame, ids: DataFrame, n: int, num: int, den: int):
+        self.num, self.den, self.roots = num, den, None
+        self.sets = written(whole_sets(join_small(docs, ids, "doc", "left_semi"), n), "jaccard-sets")
 
-    def load(self, ids: DataFrame) -> None:
-        """Sets of the documents ``ids(doc)`` that aren't loaded yet."""
-        if self.sets is not None:
-            ids = ids.join(self.sets.select("doc").distinct(), "doc", "left_anti")
-        ids = written(ids, "jaccard-ids")
-        new = written(whole_sets(join_small(self.docs, ids, "doc", "left_semi"), self.n), "jaccard-sets")
-        self.sets = new if self.sets is None else self.sets.union(new)
+    def may_link(self, na: Column, nb: Column, places: Column) -> Column:
+        """Whether sets of these sizes can be linked, whose first common element
+        has ``places`` elements of either before it."""
+        return ((F.least(na, nb) * self.den >= F.greatest(na, nb) * self.num)
+                & (places * (self.den + self.num) <= (na + nb) * (self.den - self.num)))
 
     def compare(self, pairs: DataFrame) -> None:
-        """Verify ``pairs(a, b)`` by their whole sets and join the linked ones."""
-        a = self.sets.select(F.col("doc").alias("a"), F.col("s").alias("sa"))
-        b = self.sets.select(F.col("doc").alias("b"), F.col("s").alias("sb"))
-        both = F.size(F.array_intersect("sa", "sb")).cast("long")
-        new = (pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a")
-               .select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).alias("t"))
-               .where(F.col("i") * self.den >= (F.col("t") - F.col("i")) * self.num).select("a", "b"))
-        new = written(new, "jaccard-links")
-        if self.roots is not None and new.isEmpty():
+        """Verify ``pairs(a, b)`` and join the linked ones."""
+        def half(s: Column) -> Column:
+            n = (F.size(s) / 2).cast("int")
+            return F.zip_with(F.slice(s, 1, n), F.slice(s, n + 1, n), lambda x, y: x.bitwiseXOR(y))
+
+        def fold(s: Column, other: Column) -> Column:
+            return F.when(F.size(s) > F.size(other), half(s)).otherwise(s)
+
+        x, y = F.col("sketch_a"), F.col("sketch_b")
+        apart = F.aggregate(F.zip_with(fold(x, y), fold(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+                            F.lit(0), lambda t, v: t + v)
+        na, nb = F.col("n_a"), F.col("n_b")
+        sized = self.sets.select("doc", F.size("s").cast("long").alias("n"), "sketch")
+        left, right = (sized.select(F.col("doc").alias(z), F.col("n").alias(f"n_{z}"),
+                                    F.col("sketch").alias(f"sketch_{z}")) for z in "ab")
+        near = (pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
+                .where(self.may_link(na, nb, F.lit(0)))
+                .where(apart * (self.den + self.num) <= (na + nb) * (self.den - self.num)).select("a", "b").distinct())
+        near = written(near, "jaccard-near")
+        if not near.isEmpty():
+            ids = written(near.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "jaccard-near-ids")
+            sets = join_small(self.sets.select("doc", "s"), ids, "doc", "left_semi")
+            left, right = (sets.select(F.col("doc").alias(z), F.col("s").alias(f"s_{z}")) for z in "ab")
+            both = F.size(F.array_intersect("s_a", "s_b")).cast("long")
+            near = (near.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
+                    .select("a", "b", both.alias("i"), (F.size("s_a") + F.size("s_b")).alias("t"))
+                    .where(F.col("i") * self.den >= (F.col("t") - F.col("i")) * self.num).select("a", "b"))
+            near = written(near, "jaccard-links")
+        if self.roots is not None and near.isEmpty():
             return
-        known = new if self.roots is None else new.union(
+        known = near if self.roots is None else near.union(
             self.roots.select(F.col("id").alias("a"), F.col("root").alias("b")))
         self.roots = written(components(known, "jaccard-cc"), "jaccard-roots")
 
     def rounds(self, bucket: DataFrame, most: int | None) -> DataFrame | None:
         """Up to ``most`` pivot rounds (None: until done, with twice the pivots each
-        time) over ``bucket(key, doc)``. Returns the rows of keys that still hold
-        several components, or None."""
+        time) over ``bucket(key, doc, n, place)``. Returns the rows of keys that
+        still hold several components, or None."""
         bucket = bucket.withColumn("c", F.col("doc"))
-        pivots = bucket.groupBy("key").agg(F.min("doc").alias("doc"))
+        pivots = bucket.groupBy("key").agg(F.min(F.struct("place", "doc", "n", "c")).alias("p")).select("key", "p.*")
         done, width = 0, 1
         while True:
-            chosen = pivots.select("key", F.col("doc").alias("pivot"))
-            bucket = bucket.join(chosen, "key").withColumn("own", F.col("doc") == F.col("pivot"))
-            bucket = written(bucket, "jaccard-bucket")
-            own = bucket.where("own").select("key", F.col("doc").alias("pivot"), F.col("c").alias("pc"))
-            pairs = bucket.where("NOT own").join(own, ["key", "pivot"]).where("c <> pc OR c = doc AND pc = pivot")
-            self.compare(pairs.select(F.least("pivot", "doc").alias("a"), F.greatest("pivot", "doc").alias("b"))
-                         .distinct())
-            rest = bucket.groupBy("key", "doc").agg(F.max("own").alias("own")).where("NOT own").select("key", "doc")
+            chosen = pivots.select("key", F.col("doc").alias("pivot"), F.col("n").alias("pn"),
+                                   F.col("place").alias("pp"), F.col("c").alias("pc"))
+            met = bucket.join(chosen, "key")
+            pairs = met.where("doc <> pivot AND c <> pc").where(
+                self.may_link(F.col("n"), F.col("pn"), F.col("place") + F.col("pp")))
+            pairs = pairs.select(F.least("pivot", "doc").alias("a"), F.greatest("pivot", "doc").alias("b")).distinct()
+            self.compare(pairs)
+            rest = bucket.join(chosen.select("key", F.col("pivot").alias("doc")), ["key", "doc"], "left_anti")
             roots = self.roots.select(F.col("id").alias("doc"), "root")
-            named = join_small(rest, roots, "doc", "left").select("key", "doc", F.coalesce("root", "doc").alias("c"))
-            mixed = named.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y")
-            named = written(named.join(mixed.select("key"), "key", "left_semi"), "jaccard-mixed")
+            named = join_small(rest.drop("c"), roots, "doc", "left").withColumn("c", F.coalesce("root", "doc")).drop("root")
+            mixed = named.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("place").alias("least"))
+            mixed = mixed.where("x <> y").select("key", "least")
+            # The largest difference from any partner bounds the places that can still matter.
+            reach = F.col("n") + F.floor(F.col("n") * self.den / self.num)
+            named = written(named.join(mixed, "key").where(
+                (F.col("place") + F.col("least")) * (self.den + self.num) <= reach * (self.den - self.num))
+                .drop("least"), "jaccard-mixed")
             if named.isEmpty():
                 return None
             done += 1
@@ -214,9 +254,10 @@ class _Links:
             if most is None:
                 width *= 2
             # Next pivots: members of the key's smallest components, so one stranger among many copies ends in one round.
-            groups = named.groupBy("key", "c").agg(F.count("*").alias("k"), F.min("doc").alias("doc"))
-            rank = F.row_number().over(Window.partitionBy("key").orderBy("k", "doc"))
-            pivots = groups.withColumn("rank", rank).where(F.col("rank") <= width)
+            groups = named.groupBy("key", "c").agg(F.count("*").alias("k"), F.min(F.struct("place", "doc", "n")).alias("p"))
+            rank = F.row_number().over(Window.partitionBy("key").orderBy("k", "p"))
+            pivots = (groups.withColumn("rank", rank).where(F.col("rank") <= width)
+                      .select("key", "p.place", "p.doc", "p.n", "c"))
             bucket = named
 
 
@@ -235,19 +276,19 @@ def ngram_jaccard(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100,
     def originals(s: DataFrame) -> DataFrame:
         return join_small(s, copies.select("doc", "fp1", "fp2"), ["doc", "fp1", "fp2"], "left_anti")
 
-    keys = originals(sig).select("doc", F.explode("keys").alias("key"))
+    keys = originals(sig).select("doc", "n", F.explode("keys").alias("key"))
     if not sig.where("lacking").isEmpty():
         single = written(signatures(docs, n, num, den, single=True), "jaccard-single")
         wanted = sig.where("lacking").select("doc").distinct()
-        each = originals(single).select("doc", F.explode("keys").alias("key"))
+        each = originals(single).select("doc", "n", F.explode("keys").alias("key"))
         keys = keys.union(each.join(each.join(wanted, "doc").select("key").distinct(), "key", "left_semi"))
     several = keys.groupBy("key").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x <> y")
     several = written(several.select("key"), "jaccard-keys")
     bucket = written(join_small(keys, several, "key", "left_semi").distinct(), "jaccard-bucket")
 
-    links = _Links(docs, n, num, den)
-    links.load(bucket.select("doc").distinct())
-    left = links.rounds(bucket, PIVOT_ROUNDS)
+    bucket = bucket.select("key", "doc", F.col("n").cast("long").alias("n"), F.lit(0).alias("place"))
+    links = _Links(docs, written(bucket.select("doc").distinct(), "jaccard-ids"), n, num, den)
+    left = links.rounds(bucket, 1)
     if left is not None:
         _allocate_anew(links, left, num, den)
 
@@ -270,15 +311,39 @@ def _allocate_anew(links: _Links, left: DataFrame, num: int, den: int) -> None:
     """Index the documents of the costly keys ``left`` by their H+1 rarest elements
     and compare until every key holds one component."""
     parts = written(left.select("doc").distinct(), "jaccard-parts")
-    sets = links.sets.join(parts, "doc", "left_semi").select("doc", "s", F.size("s").cast("long").alias("n"))
-    each = sets.select("doc", "n", F.explode("s").alias("x"))
-    often = each.groupBy("x").agg(F.count("*").alias("f"))
-    # floor((den-num)(n + n*den/num) / (den+num)) is at least H for every partner.
-    need = F.floor((den - num) * (F.col("n") + F.floor(F.col("n") * den / num)) / (den + num)).cast("int") + 1
-    rows = (each.join(often, "x").groupBy("doc", "n").agg(F.sort_array(F.collect_list(F.struct("f", "x"))).alias("l"))
-            .select("doc", F.explode(F.slice("l", 1, need)).alias("e")).where("e.f > 1")
-            .select("doc", F.col("e.x").alias("key")))
-    bucket = written(rows, "jaccard-rarest")
+    sets = written(join_small(links.sets.select("doc", "s"), parts, "doc", "left_semi"), "jaccard-part-sets")
+
+    def slots(u: np.ndarray) -> np.ndarray:
+        return (mix(u) >> U64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
+
+    def count(batches):
+        total = np.zeros(COUNTERS, dtype=np.int64)
+        for batch in batches:
+            total += np.bincount(slots(np.asarray(batch.column("s").flatten()).view(U64)), minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["x", "f"])
+
+    often = np.zeros(COUNTERS, dtype=np.int64)
+    sums = sets.select("s").mapInArrow(count, "x long, f long").groupBy("x").agg(F.sum("f").alias("f")).toArrow()
+    often[np.asarray(sums["x"])] = np.asarray(sums["f"])  # at most COUNTERS numbers
+    sent = sets.sparkSession.sparkContext.broadcast(often)
+
+    def rarest(batches):
+        often = sent.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                u = np.asarray(batch.column("s")[i].values).view(U64)
+                need = most_differing(len(u), len(u) * den // num, num, den) + 1
+                first = np.lexsort((u, often[slots(u)]))[:need]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(first), batch.column("doc")[i].as_py())), i64(mix(u[first])),
+                     pa.array(np.full(len(first), len(u))), pa.array(np.arange(len(first), dtype=np.int32))],
+                    names=["doc", "key", "n", "place"])
+
+    rows = sets.mapInArrow(rarest, "doc long, key long, n long, place int")
+    rows = written(rows, "jaccard-rarest")
+    several = rows.groupBy("key").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x <> y").select("key")
+    bucket = written(rows.join(several, "key", "left_semi"), "jaccard-bucket")
     if not bucket.isEmpty():
         links.rounds(bucket, None)
 
