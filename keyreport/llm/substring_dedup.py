@@ -12,14 +12,14 @@ A window of ``width`` words is represented by one of the last round's symbols wh
 interval lies inside it, the one with the smallest hash; a window without one (low
 complexity, or a document's edge) stands for itself. Either way equal windows
 have equal representatives. So only representatives that occur twice in the corpus
-can belong to repeated windows; their windows are hashed (128 bits) and compared
-exactly by that hash, the earliest occurrence stays, and all words covered by a
+can belong to repeated windows; their windows are hashed (96 bits) and compared
+by that hash, the earliest occurrence stays, and all words covered by a
 later one go.
 
 Whole copies of an earlier document are found by a hash of all their words first
-and don't enter the index. Counts are combined before each shuffle and joined
-back by joins that may be split, so a passage that a third of all documents share
-meets no single task.
+and don't enter the index. Counts are combined before their shuffle and joined
+back by joins that may be split, and of equal windows a task sends one, so a
+passage that a third of all documents share meets no single task.
 
 Defined results: text null or without words: 0 words, empty kept text. Documents
 with fewer than ``width`` words lose nothing. Order is (id, start); a null id comes
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,8 @@ from keyreport.llm.queries import query
 WIDTH = 20
 ROUNDS = 2
 FAR = np.int64(1) << 60
+# Windows a task holds to find equal ones among them.
+HELD_WINDOWS = 400_000
 
 
 def recompress(h: np.ndarray, first: np.ndarray, rounds: int = ROUNDS):
@@ -143,9 +145,43 @@ def index(docs: DataFrame, width: int) -> DataFrame:
 
 
 def windows(docs: DataFrame, width: int) -> DataFrame:
-    """The windows of ``docs(doc, t, text, keys)`` whose representative is in ``keys``."""
+    """The windows of ``docs(doc, t, text, keys)`` whose representative is in ``keys``:
+    96 bits of hash, first word, and count 1. Of equal windows met in one batch of a
+    task only the earliest is given so; the others, which can't be the earliest of
+    all, are given as runs (first word, count > 0, known later) under hashes of
+    their own, so a passage that a third of all documents share sends a row per batch."""
+    schema = "doc long, t long, pos int, n int, later boolean, w1 long, w2 int"
+
+    def earliest(parts):
+        doc, t, pos, w1, w2 = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((pos, doc, w2, w1))
+        a, b = w1[order], w2[order]
+        first = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        place = (doc[order], pos[order])
+        head = np.flatnonzero(first)[np.cumsum(first) - 1]
+        # A repeated id may repeat the place, too: then neither is later.
+        late = (place[0] != place[0][head]) | (place[1] != place[1][head])
+        one = order[~late]
+        yield doc[one], t[one], pos[one], np.ones(len(one), np.int32), np.zeros(len(one), bool), w1[one], w2[one]
+        rest = order[late]
+        rest = rest[np.lexsort((pos[rest], t[rest], doc[rest]))]
+        if len(rest):
+            d, u, q = doc[rest], t[rest], pos[rest]
+            cut = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (u[1:] != u[:-1]) | (q[1:] != q[:-1] + 1)]))
+            n = np.diff(np.append(cut, len(rest))).astype(np.int32)
+            d, u, q = d[cut], u[cut], q[cut]
+            with np.errstate(over="ignore"):
+                own = mix(d.view(U64) * U64(0x9E3779B97F4A7C15) + u.view(U64) + q.astype(U64))
+            yield d, u, q, n, np.ones(len(cut), bool), own.view(np.int64), np.full(len(cut), -1, np.int32)
+
+    def given(parts):
+        for d, t, pos, n, later, w1, w2 in earliest(parts):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (d, t, pos, n, later, w1, w2)],
+                                             names=["doc", "t", "pos", "n", "later", "w1", "w2"])
+
     def run(batches):
-        for batch in chunks(batches, limit=CHUNK_BYTES // 4):
+        held, size = [], 0
+        for batch in chunks(batches, limit=CHUNK_BYTES // 2):
             w = words(batch.column("text"), NOT_SPACE, lanes=2)
             start, rep, _ = representatives(w, width)
             keys = batch.column("keys")
@@ -156,23 +192,44 @@ def windows(docs: DataFrame, width: int) -> DataFrame:
                 hit[cut[i]:cut[i + 1]] = np.isin(rep[cut[i]:cut[i + 1]], flat[off[i]:off[i + 1]].view(U64))
             start = start[hit]
             doc = np.searchsorted(w.first, start, "right") - 1
-            take = pa.array(doc)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(take), batch.column("t").take(take),
-                 pa.array((start - w.first[doc]).astype(np.int32)),
-                 *(i64(range_hashes(x, start, start + width, 5 + k)) for k, x in enumerate(w.lanes))],
-                names=["doc", "t", "pos", "w1", "w2"])
+            w1, w2 = (range_hashes(x, start, start + width, 5 + k).view(np.int64) for k, x in enumerate(w.lanes))
+            held.append((np.asarray(batch.column("doc"))[doc], np.asarray(batch.column("t"))[doc],
+                         (start - w.first[doc]).astype(np.int32), w1, (w2 >> 33).astype(np.int32)))
+            size += len(start)
+            if size >= HELD_WINDOWS:
+                yield from given(held)
+                held, size = [], 0
+        if size:
+            yield from given(held)
+
+    return docs.select("doc", "t", "text", "keys").mapInArrow(run, schema)
+
+
+def as_spans(runs: DataFrame) -> DataFrame:
+    """``runs(doc, t, runs)`` of windows as disjoint spans: first words and counts."""
+    def run(batches):
+        for batch in batches:
+            first, count = [], []
+            for i in range(batch.num_rows):
+                x = batch.column("runs")[i].values
+                pos, n = np.asarray(x.field("pos")).astype(np.int64), np.asarray(x.field("n")).astype(np.int64)
+                order = np.argsort(pos, kind="stable")
+                pos, end = pos[order], np.maximum.accumulate((pos + n)[order])
+                new = np.concatenate([[True], pos[1:] > end[:-1]]) if len(pos) else np.zeros(0, bool)
+                first.append(pos[new])
+                count.append(np.append(end[:-1][new[1:]], end[-1:]) - pos[new])
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("t"), lists(first), lists(count)],
+                                             names=["doc", "t", "starts", "counts"])
 
-    return docs.select("doc", "t", "text", "keys").mapInArrow(
-        run, "doc long, t long, pos int, w1 long, w2 long")
+    return runs.mapInArrow(run, "doc long, t long, starts array<long>, counts array<long>")
 
 
 def kept_texts(docs: DataFrame, width: int, joined: bool) -> DataFrame:
-    """The texts of ``docs(record, text, starts, copy)`` without the words that the
-    windows at ``starts`` cover (``copy``: without any). ``joined``: words joined by
+    """The texts of ``docs(record, text, starts, counts, copy)`` without the words that
+    the spans of windows at ``starts`` cover (``copy``: without any). ``joined``: words joined by
     one space; otherwise a text that loses nothing stays as it is, and others keep
     the white space behind the words that stay."""
-    docs = docs.select("record", "text", "starts", "copy")
+    docs = docs.select("record", "text", "starts", "counts", "copy")
     schema = T.StructType([docs.schema["record"], *(T.StructField(x, T.LongType()) for x in ("n_words", "n_removed")),
                            T.StructField("kept_text", T.StringType())])
 
@@ -185,7 +242,7 @@ def kept_texts(docs: DataFrame, width: int, joined: bool) -> DataFrame:
             sizes = np.asarray(starts.value_lengths().fill_null(0))
             at = starts.flatten().to_numpy() + np.repeat(w.first[:-1], sizes)
             np.add.at(gone, at, 1)
-            np.add.at(gone, at + width, -1)
+            np.add.at(gone, at + batch.column("counts").flatten().to_numpy() + width - 1, -1)
             gone = np.cumsum(gone[:-1]) > 0
             gone |= np.repeat(np.asarray(batch.column("copy").fill_null(False)) & (n >= width), n)
             lost = np.diff(np.concatenate([[0], np.cumsum(gone)])[w.first])
@@ -229,15 +286,14 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, joined: bool = True,
             .agg(F.collect_set("key").alias("keys")))
     mine = written(mine, "substring-shared")
     found = windows(join_small(docs, mine, ["doc", "t"], "inner", F.size("keys") * 8 + 64), width)
-    found = written(found, "substring-windows")
-    earliest = (found.groupBy("w1", "w2").agg(F.min(F.struct("doc", "pos")).alias("m"), F.count("*").alias("c"))
-                .where("c > 1").drop("c"))
-    later = found.join(earliest, ["w1", "w2"]).where(F.struct("doc", "pos") != F.col("m"))
-    starts = later.groupBy("doc", "t").agg(F.collect_set("pos").alias("starts"))
-    marks = starts.withColumn("copy", F.lit(False)).unionByName(
-        copies.select("doc", "t", F.array().cast("array<int>").alias("starts"), F.lit(True).alias("copy")))
+    place = F.struct("doc", "pos")
+    found = found.withColumn("m", F.min(place).over(Window.partitionBy("w1", "w2"))).where(F.col("later") | (place != F.col("m")))
+    runs = found.groupBy("doc", "t").agg(F.collect_list(F.struct("pos", "n")).alias("runs"))
+    none = F.array().cast("array<long>")
+    marks = as_spans(runs).withColumn("copy", F.lit(False)).unionByName(
+        copies.select("doc", "t", none.alias("starts"), none.alias("counts"), F.lit(True).alias("copy")))
     marks = written(marks, "substring-marks")
-    return kept_texts(join_small(docs, marks, ["doc", "t"], "left", F.size("starts") * 4 + 64), width, joined)
+    return kept_texts(join_small(docs, marks, ["doc", "t"], "left", F.size("starts") * 16 + 64), width, joined)
 
 
 @query("op6_substring_dedup")
