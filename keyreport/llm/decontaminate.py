@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from keyreport.llm.common import LOWER, U64, WORD_BYTES, chunks, mix, table, words
 from keyreport.llm.queries import query
 
-SAMPLES = 4
+SAMPLES = 6
 MIN_WORDS = 5
 MAX_RATIO = 0.2
 RECALL, RECALL_RATIO = 0.99, 0.1
@@ -56,7 +56,8 @@ def sampled(rep: int, size_class: int) -> list[int]:
     if steps <= SAMPLES:
         return list(range(steps))
     early = int(rng.integers(1, 4))
-    return [0, early, *sorted(int(x) for x in rng.choice(np.arange(early + 1, steps), SAMPLES - 2, replace=False))]
+    later = np.arange(early + 1, steps)
+    return [0, early, *sorted(int(x) for x in rng.choice(later, min(SAMPLES - 2, len(later)), replace=False))]
 
 
 class Known:
@@ -177,6 +178,9 @@ def verified(walks: Walks, h: np.ndarray, first: np.ndarray, max_ratio: float):
         tried.setdefault((doc, n), []).append(begin)
         s = max(lo, begin - 2 * most)
         span = h[s:min(hi, begin + len(item) + 2 * most)]
+        # Words that the span lacks are edits: a lower bound before the exact distance.
+        if len(item) - np.isin(item, span).sum() > most:
+            continue
         distance, end = best_span(item, span)
         if distance > most:
             continue
