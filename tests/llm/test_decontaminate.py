@@ -1,0 +1,72 @@
+import numpy as np
+
+from keyreport.llm.decontaminate import best_span, decontaminate
+
+from .conftest import SF
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_best_span_equals_brute_force():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        item = rng.integers(0, 5, int(rng.integers(1, 7))).astype(np.uint64)
+        span = rng.integers(0, 5, int(rng.integers(0, 10))).astype(np.uint64)
+        best = min(distance(item.tolist(), span[a:b].tolist()) for a in range(len(span) + 1)
+                   for b in range(a, len(span) + 1))
+        d, end = best_span(item, span)
+        assert d == best and min(distance(item.tolist(), span[a:end].tolist()) for a in range(end + 1)) == best
+
+
+def test_planted_items_are_found_and_clean_texts_left(spark):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(4000)]
+    items = [(k, " ".join(rng.choice(words, int(rng.integers(8, 70))))) for k in range(60)]
+    docs, planted = [], set()
+    for d in range(300):
+        w = list(rng.choice(words, int(rng.integers(0, 400))))
+        if d % 3:
+            k = int(rng.integers(60))
+            item = items[k][1].split()
+            for _ in range(int(rng.integers(0, max(1, len(item) // 10) + 1))):
+                at, kind = int(rng.integers(len(item))), int(rng.integers(3))
+                item[at:at + (kind != 2)] = [] if kind == 1 else [str(rng.choice(words))]
+            at = int(rng.integers(len(w) + 1))
+            w[at:at] = item
+            planted.add((d, k))
+        docs.append((d, " ".join(w).upper() if d % 2 else ", ".join(w)))
+    found = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(items, "item_id long, text string")).collect()
+    pairs = {(r["doc_id"], r["item_id"]) for r in found}
+    assert pairs <= planted  # random words never come near an item
+    assert len(pairs & planted) >= 0.95 * len(planted)
+    for r in found:  # the reported span has the reported distance
+        span = docs[r["doc_id"]][1].lower().replace(",", "").split()[r["first_word"]:r["last_word"] + 1]
+        assert distance(items[r["item_id"]][1].split(), span) == r["distance"]
+
+
+def test_edge_rows(spark, documents, nothing):
+    items = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "one two", 0), (None, "alpha beta gamma delta epsilon", 0)],
+                                  "item_id long, text string, doc_id long")
+    found = decontaminate(documents, items).collect()
+    assert {r["item_id"] for r in found} == {None} and {r["distance"] for r in found} == {0}
+    assert sorted(str(r["doc_id"]) for r in found) == ["1000007", "1000008", "1000008", "1000009", "None"]
+    assert all(r["hits"] == 12 for r in found)
+    assert decontaminate(nothing, items).count() == 0
+    assert decontaminate(documents, items.limit(0)).count() == 0
+
+
+def test_exact_items_of_the_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate(docs, items).collect()}
+    texts = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
+    assert {(d, r["item_id"]) for r in items.collect() for d, t in texts if r["text"] in t} <= found
