@@ -60,7 +60,7 @@ def integer_vectors(vectors: DataFrame, scale: int, id_col: str, vec_col: str) -
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.asarray(flat.flatten()).reshape(-1, dim)
+    return np.asarray(flat.flatten(), dtype=np.int64).reshape(len(flat), dim)
 
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -145,9 +145,9 @@ def _one_dimension(rows: DataFrame, dim: int, is_query, k: int, block_bytes: int
     per_block = max(STEP, block_bytes // size)
     head = rows.orderBy(F.desc("norm"), "id").limit(max(2 * k, min(HEAD, per_block))).collect()
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(min(SAMPLE, per_block)).select("v").collect()
-    turn = rotation(np.array([r["v"] for r in sample], dtype=np.int64).reshape(-1, dim))
+    turn = rotation(np.array([r["v"] for r in sample], dtype=np.int64).reshape(len(sample), dim))
     first = (np.array([r["id"] for r in head], dtype=np.int64),
-             np.array([r["v"] for r in head], dtype=np.int64).reshape(-1, dim), np.array([r["norm"] for r in head]))
+             np.array([r["v"] for r in head], dtype=np.int64).reshape(len(head), dim), np.array([r["norm"] for r in head]))
     sent = spark.sparkContext.broadcast((first, turn))
 
     def thresholds(batches):
