@@ -113,9 +113,10 @@ def clamp_min(col: str | Column, floor: float = 0) -> Column:
     return F.when(c.isNotNull(), F.greatest(c, F.lit(floor)))
 
 
-def round_half_up(col: str | Column, scale: int = 1, precision: int = 38) -> Column:
-    """Round half away from zero on an exact decimal of the value."""
-    return F.round(_c(col).cast(T.DecimalType(precision, max(scale, 6))), scale)
+def round_half_up(col: str | Column, scale: int = 1) -> Column:
+    """Round half away from zero, once, in the column's own type: a decimal keeps
+    all its places until then, a double is rounded on its shortest decimal text."""
+    return F.round(_c(col), scale)
 
 
 def python_round(col: str | Column, ndigits: int = 1) -> Column:
@@ -146,9 +147,9 @@ def key_by(df: DataFrame, key: str | Sequence[str], name: str = "record") -> Dat
     return df.select(*keys, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
 
 
-def nest(key: str, fields: Sequence[str], key_name: str = "key", struct_name: str = "value") -> list[Column]:
+def nest(key: str, fields: Sequence[str | Column], key_name: str = "key", struct_name: str = "value") -> list[Column]:
     """Pair a key with a struct of fields: ``{key_name: key, struct_name: {...}}``."""
-    return [F.col(key).alias(key_name), F.struct(*[F.col(f) for f in fields]).alias(struct_name)]
+    return [F.col(key).alias(key_name), F.struct(*[_c(f) for f in fields]).alias(struct_name)]
 
 
 def flatten_struct(df: DataFrame, sep: str = "_") -> DataFrame:
@@ -183,8 +184,8 @@ def decode_fields(col: str | Column, sep: str = ",", charset: str = "UTF-8",
 
 
 def encode_row(*cols: str | Column, charset: str = "UTF-8") -> Column:
-    """A row as UTF-8 JSON bytes (the topic sink's ``value``)."""
-    return F.encode(F.to_json(F.struct(*[_c(c) for c in cols])), charset)
+    """A row as UTF-8 JSON bytes (the topic sink's ``value``); a NULL field is null."""
+    return F.encode(F.to_json(F.struct(*[_c(c) for c in cols]), {"ignoreNullFields": "false"}), charset)
 
 
 def parse_int(col: str | Column, strict: bool = True) -> Column:

@@ -2,7 +2,7 @@
 
 Co-grouping is a tagged union followed by one grouping: every input is shuffled
 once, NULL keys meet (as in a group-by, unlike ``=`` in a join) and a key that is
-absent on one side gets an empty list there.
+absent on one side has no row of that side.
 """
 
 from __future__ import annotations
@@ -13,9 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyreport.operators.keyed import (
-    DEFAULT_CHUNK_ROWS, _attach_chunks, _keys, null_safe_join_condition,
-)
+from keyreport.operators.keyed import _keys, null_safe_join_condition
 
 __all__ = ["tagged_union", "cogroup", "cogroup_values", "match", "union_all"]
 
@@ -38,38 +36,30 @@ def tagged_union(sides: Mapping[str, DataFrame], keys: str | Sequence[str]) -> D
 
 
 def cogroup(sides: Mapping[str, DataFrame], keys: str | Sequence[str],
-            chunk_rows: int = DEFAULT_CHUNK_ROWS, require_all: bool = False,
-            count_col: str = "n") -> DataFrame:
-    """``CoGroupByKey``: per key, one list per tagged input.
-
-    Output: ``keys..., chunk, <tag>...``; each ``<tag>`` list holds
-    ``struct(values..., n)``, each distinct value of that side with its count,
-    sorted, empty when the side has no row for the key. Duplicates are collapsed
-    before the shuffle and a key with more than ``chunk_rows`` rows is spread
-    over several rows (see ``group_by_key``), so no list is unbounded.
-
-    ``require_all`` keeps only keys present on every side, decided per key (not
-    per chunk) from a per-key aggregate.
+            require_all: bool = False, count_col: str = "n") -> DataFrame:
+    """``CoGroupByKey`` in long form: ``keys..., __tag, <tag>..., n``.
+
+    One row per key, side and distinct value of that side, with its count; the
+    column named after the side holds the values as a struct (NULL in the other
+    sides' rows). Each input is scanned and shuffled once, dealt by key and value,
+    so the shape doesn't depend on a group's size and a hot key meets no single task.
+
+    ``require_all`` keeps only keys present on every side, by a semi-join with one
+    pre-aggregated row per key (NULL keys meet).
     """
     keys = _keys(keys)
     tags = list(sides)
-    value_cols = {t: _value_cols(df, keys) for t, df in sides.items()}
     long = tagged_union(sides, keys)
-    distinct = long.groupBy(*keys, TAG, *tags).agg(F.count(F.lit(1)).alias(count_col))
-    presence = {f"__has_{t}": F.max((F.col(TAG) == t).cast("int")) for t in tags}
-    chunked = _attach_chunks(distinct, long, keys, [F.col(TAG), *[F.col(t) for t in tags]],
-                             chunk_rows, presence if require_all else None)
-    if require_all:
-        for t in tags:
-            chunked = chunked.where(F.col(f"__has_{t}") == 1)
-        chunked = chunked.drop(*presence.keys())
-    lists = [
-        F.array_sort(F.collect_list(F.when(
-            F.col(TAG) == t,
-            F.struct(*[F.col(t)[v].alias(v) for v in value_cols[t]], F.col(count_col))))).alias(t)
-        for t in tags
-    ]
-    return chunked.groupBy(*keys, "chunk").agg(*lists)
+    out = long.groupBy(*keys, TAG, *tags).agg(F.count(F.lit(1)).alias(count_col))
+    if not require_all:
+        return out
+    has = [F.max((F.col(TAG) == t).cast("int")).alias(f"__has_{i}") for i, t in enumerate(tags)]
+    present = long.groupBy(*keys).agg(*has)
+    for i in range(len(tags)):
+        present = present.where(F.col(f"__has_{i}") == 1)
+    names = [f"__k{i}" for i in range(len(keys))]
+    present = present.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    return out.join(present, null_safe_join_condition(out, present, keys, names), "left_semi")
 
 
 def cogroup_values(sides: Mapping[str, DataFrame], keys: str | Sequence[str],

@@ -16,13 +16,8 @@ from pyspark.sql import functions as F
 __all__ = [
     "sum_per_key", "count_per_key", "count_per_element", "count_globally",
     "sum_and_count_per_key", "group_by_key", "null_safe_join_condition",
-    "DEFAULT_CHUNK_ROWS",
 ]
 
-# Upper bound, on average, of list items that one output row of a grouping
-# operator holds; a larger group is split into several rows (chunks).
-DEFAULT_CHUNK_ROWS = 100_000
-
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -70,47 +65,15 @@ def null_safe_join_condition(left: DataFrame, right: DataFrame, keys: Sequence[s
 
 
 def group_by_key(df: DataFrame, keys: str | Sequence[str], values: str | Sequence[str],
-                 chunk_rows: int = DEFAULT_CHUNK_ROWS, items: str = "items",
                  count_col: str = "n") -> DataFrame:
-    """``GroupByKey()``: all values per key, as a list that never outgrows a task.
-
-    Output: ``keys..., chunk, items`` where ``items`` is a sorted list of
-    ``struct(values..., n)``: each distinct value with how often it occurs. The
-    multiset is exact and whole. Duplicates are collapsed map-side first, then a
-    key with more than ``chunk_rows`` rows is spread over ``ceil(rows /
-    chunk_rows)`` chunks by a hash of the value, so a hot key becomes several
-    bounded rows rather than one unbounded list (a chunk holds at most about
-    ``chunk_rows`` distinct values, fewer when values repeat). A key that fits
-    has one row with ``chunk = 0``.
+    """``GroupByKey()`` in long form: ``keys..., values..., n``, each distinct value
+    of a key with how often it occurs.
+
+    The multiset is exact and whole, one scan and one shuffle: duplicates are
+    counted inside each task first, and rows are dealt by key *and* value, so a
+    key with a third of all rows has the same shape as any other and meets no
+    single task. A group is never one list; further per-key work is an
+    aggregate over these rows.
     """
-    keys = _keys(keys)
     values = [values] if isinstance(values, str) else list(values)
-    distinct = df.groupBy(*keys, *values).agg(F.count(F.lit(1)).alias(count_col))
-    chunked = _attach_chunks(distinct, df, keys, values, chunk_rows)
-    return (chunked.groupBy(*keys, "chunk")
-            .agg(F.array_sort(F.collect_list(F.struct(*values, count_col))).alias(items)))
-
-
-def _attach_chunks(distinct: DataFrame, raw: DataFrame, keys: list[str], hash_cols: list[str | Column],
-                   chunk_rows: int, extra_aggs: dict[str, Column] | None = None) -> DataFrame:
-    """Add ``chunk`` to ``distinct`` rows (already one per key and value).
-
-    The number of chunks of a key comes from a row count per key over the raw
-    input: a partial-aggregated shuffle of one small row per key and task. It
-    is joined back null-safely (broadcast when small; otherwise AQE splits the
-    join partition of a skewed key). ``extra_aggs`` (name → aggregate over
-    ``raw``) are further per-key values carried by the same join.
-    """
-    extra_aggs = extra_aggs or {}
-    renamed = [f"__k{i}" for i in range(len(keys))]
-    sizes = (raw.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("__rows"),
-                  *[agg.alias(name) for name, agg in extra_aggs.items()])
-             .select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)],
-                     F.greatest(F.ceil(F.col("__rows") / F.lit(chunk_rows)), F.lit(1))
-                     .cast("int").alias("__chunks"),
-                     *extra_aggs.keys()))
-    joined = distinct.join(sizes, null_safe_join_condition(distinct, sizes, keys, renamed))
-    chunk = F.when(F.col("__chunks") == 1, F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*hash_cols), F.col("__chunks")).cast("int"))
-    return joined.withColumn("chunk", chunk).drop(*renamed, "__chunks")
+    return df.groupBy(*_keys(keys), *values).agg(F.count(F.lit(1)).alias(count_col))

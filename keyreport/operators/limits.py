@@ -1,4 +1,4 @@
-"""Limits: a stable first-n and a preview."""
+"""Limits: a stable first-n."""
 
 from __future__ import annotations
 
@@ -11,8 +11,3 @@ def first_rows(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
     """The first ``n`` rows by ``order_by``: a top-n sort (each task keeps its n
     best, the driver merges n per task), not a full sort."""
     return df.orderBy(*order_by).limit(n)
-
-
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """Any ``n`` rows, as ``head()`` shows them; no order promised."""
-    return df.limit(n)

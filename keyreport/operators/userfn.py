@@ -9,35 +9,75 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-__all__ = ["map_values", "flat_map", "filter_rows", "par_do", "combine_per_key", "DoFn"]
+__all__ = ["map_values", "flat_map", "filter_rows", "par_do", "per_record", "combine_per_key", "DoFn", "RecordDoFn"]
 
 
-def map_values(fn: Callable[[pd.Series], pd.Series], return_type: T.DataType | str) -> Callable[..., Column]:
-    """``Map(fn)`` 1 → 1 on Series batches: a scalar pandas UDF."""
-    return F.pandas_udf(fn, returnType=return_type)
+def map_values(fn: Callable[..., pd.Series], return_type: T.DataType | str, **arguments) -> Callable[..., Column]:
+    """``Map(fn, **arguments)`` 1 → 1 on Series batches: a scalar pandas UDF."""
+    def call(s: pd.Series) -> pd.Series:
+        return fn(s, **arguments)
 
+    return F.pandas_udf(call if arguments else fn, returnType=return_type)
 
-def flat_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
-             schema: T.StructType | str) -> DataFrame:
-    """``FlatMap(fn)`` 1 → 0..n: ``fn`` maps a batch of rows to a batch of output
-    rows (any number), run per partition by ``mapInPandas``."""
+
+def flat_map(df: DataFrame, fn: Callable[..., pd.DataFrame | Iterable[pd.DataFrame]],
+             schema: T.StructType | str, **arguments) -> DataFrame:
+    """``FlatMap(fn, **arguments)`` 1 → 0..n: ``fn`` maps a batch of rows to a batch of
+    output rows (any number), or yields such batches. See ``per_record`` for a
+    function of one record."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield fn(pdf)
+            yield from _frames(fn(pdf, **arguments))
 
     return df.mapInPandas(run, schema)
 
 
-def filter_rows(df: DataFrame, fn: Callable[..., pd.Series], *cols: str) -> DataFrame:
-    """``Filter(fn)``: keep rows where ``fn`` over Series of ``cols`` is truthy
-    (NULL or false drops)."""
-    pred = F.pandas_udf(fn, returnType=T.BooleanType())
-    return df.where(pred(*[F.col(c) for c in cols]))
+def _frames(out: pd.DataFrame | Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+    return [out] if isinstance(out, pd.DataFrame) else out
+
+
+# Output records gathered into one batch by the per-record forms.
+RECORDS = 10_000
+
+
+def per_record(fn: Callable[..., Iterable[dict]]) -> Callable[..., Iterator[pd.DataFrame]]:
+    """A batch function from a generator over one record (a dict): records cross
+    into Python in Arrow batches, and what is yielded leaves in batches of at most
+    ``RECORDS``. A field that is missing is NULL."""
+
+    def run(pdf: pd.DataFrame, **arguments) -> Iterator[pd.DataFrame]:
+        rows: list[dict] = []
+        names = list(pdf.columns)
+        for values in pdf.itertuples(index=False, name=None):
+            for out in fn(dict(zip(names, values)), **arguments):
+                rows.append(out)
+                if len(rows) >= RECORDS:
+                    yield pd.DataFrame(rows)
+                    rows = []
+        if rows:
+            yield pd.DataFrame(rows)
+
+    return run
+
+
+def filter_rows(df: DataFrame, fn: Callable[..., pd.Series], *cols: str, **arguments) -> DataFrame:
+    """``Filter(fn, **arguments)``: keep rows where ``fn`` over Series of ``cols`` is
+    truthy (NULL or false drops)."""
+    def call(*series: pd.Series) -> pd.Series:
+        return fn(*series, **arguments)
+
+    @F.pandas_udf(T.BooleanType())
+    def keep(rows: pd.DataFrame) -> pd.Series:
+        return call(*(rows[c] for c in cols))
+
+    return df.where(keep(F.struct(*[F.col(c) for c in cols])))
 
 
 class DoFn:
@@ -51,18 +91,23 @@ class DoFn:
         raise NotImplementedError
 
 
+class RecordDoFn(DoFn):
+    """``ParDo`` body over one record: ``process(record)`` yields output records
+    (dicts); batched on both sides, see ``per_record``."""
+
+    def process(self, record: dict) -> Iterable[dict]:
+        raise NotImplementedError
+
+
 def par_do(df: DataFrame, do_fn: DoFn, schema: T.StructType | str) -> DataFrame:
     """``ParDo(DoFn)``: per partition, batches through ``do_fn.process``; works
     on streaming frames too."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         do_fn.setup()
+        process = per_record(do_fn.process) if isinstance(do_fn, RecordDoFn) else do_fn.process
         for pdf in batches:
-            out = do_fn.process(pdf)
-            if isinstance(out, pd.DataFrame):
-                yield out
-            else:
-                yield from out
+            yield from _frames(process(pdf))
 
     return df.mapInPandas(run, schema)
 
@@ -77,30 +122,42 @@ def combine_per_key(df: DataFrame, keys: str | Sequence[str], value: str,
     ``combine`` of all values). It runs first inside each input partition, over
     Arrow batches, so only one partial row per key and partition is shuffled;
     then once more per key over those partials. A hot key therefore never sends
-    its raw values to one task.
+    its raw values to one task. NULL values are left out before Python sees them (so a
+    BIGINT stays one); a key with NULLs only has a NULL result.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     rtype = return_type if isinstance(return_type, str) else return_type.simpleString()
+    codes = [f"__k{i}" for i in range(len(keys))]
     partial_schema = ", ".join(
-        [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys] + [f"__partial {rtype}"])
-
-    def reduce_frame(pdf: pd.DataFrame, col: str) -> pd.DataFrame:
-        out = pdf.groupby(keys, dropna=False, sort=False)[col].agg(combine)
-        return out.rename("__partial").reset_index()
-
-    def map_side(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts: list[pd.DataFrame] = []
-        for pdf in batches:
-            if len(pdf):
-                parts.append(reduce_frame(pdf[keys + [value]], value))
+        [f"`{c}` {df.schema[k].dataType.simpleString()}" for c, k in zip(codes, keys)] + [f"__partial {rtype}"])
+    arrow_type = to_arrow_type(df.sparkSession.createDataFrame([], f"x {rtype}").schema["x"].dataType)
+
+    def reduce_table(table: pa.Table) -> pa.Table:
+        # Keys are numbered in Arrow, so a NULL among them changes no type.
+        number = table.select(codes).append_column("__n", pa.array(range(table.num_rows), pa.int64()))
+        groups = number.group_by(codes, use_threads=False).aggregate([("__n", "list")])
+        values = table.column("__partial").to_pandas()
+        out = [combine(values.iloc[rows]) for rows in groups.column("__n_list").to_pylist()]
+        return groups.select(codes).append_column("__partial", pa.array(out, arrow_type, from_pandas=True))
+
+    def map_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.Table] = []
+        for batch in batches:
+            if batch.num_rows:
+                parts.append(reduce_table(pa.Table.from_batches([batch])))
             if len(parts) >= 64:  # keep memory bounded by distinct keys
-                parts = [reduce_frame(pd.concat(parts, ignore_index=True), "__partial")]
+                parts = [reduce_table(pa.concat_tables(parts))]
         if parts:
-            yield reduce_frame(pd.concat(parts, ignore_index=True), "__partial")
+            yield from reduce_table(pa.concat_tables(parts)).to_batches()
 
     @F.pandas_udf(rtype)
     def final(s: pd.Series) -> object:
         return combine(s)
 
-    partial = df.select(*keys, value).mapInPandas(map_side, partial_schema)
-    return partial.groupBy(*keys).agg(final(F.col("__partial")).alias(alias))
+    rows = df.select(*[F.col(k).alias(c) for k, c in zip(keys, codes)], F.col(value).alias("__partial"))
+    # The final aggregate meets no NULL either; keys without a value are added natively.
+    partial = rows.where("__partial IS NOT NULL").mapInArrow(map_side, partial_schema)
+    found = partial.groupBy(*codes).agg(final(F.col("__partial")).alias(alias))
+    bare = rows.groupBy(*codes).agg(F.count("__partial").alias("__v")).where("__v = 0").select(
+        *codes, F.lit(None).cast(rtype).alias(alias))
+    return found.union(bare).select(*[F.col(c).alias(k) for c, k in zip(codes, keys)], alias)

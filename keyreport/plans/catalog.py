@@ -21,18 +21,26 @@ from keyreport.functions.shaping import (
     WHITESPACE_CLASS, clamp_min, decode_fields, encode_row, explode_tokens, first_of_lists,
     flatten_struct, join_fields, named_record, round_half_up, split_fields, year_month,
 )
-from keyreport.operators.cogroup import cogroup, match, union_all
+from keyreport.operators.cogroup import TAG, cogroup, cogroup_values, match, union_all
 from keyreport.operators.keyed import (
     count_globally, count_per_element, count_per_key, group_by_key, sum_and_count_per_key,
     sum_per_key,
 )
-from keyreport.operators.layout import spread
 from keyreport.operators.limits import first_rows
-from keyreport.operators.userfn import DoFn, combine_per_key, filter_rows, flat_map, map_values, par_do
+from keyreport.operators.userfn import (
+    DoFn, RecordDoFn, combine_per_key, filter_rows, flat_map, map_values, par_do, per_record,
+)
+from keyreport.plans.reports import (
+    CASES_FIELDS, DELAY_TABLE_SCHEMA, FLIGHT_FIELDS, RAIN_FIELDS, delay_rows, flight_delay_report, flight_delay_table,
+    read_cases, read_flights, read_rain, windowed_delay_report,
+)
+from keyreport.plans.reports import monthly_report as text_monthly_report
 from keyreport.session import bounded_broadcast, scratch_dir
 from keyreport.sinks.files import append_table, write_delimited, write_lines
 from keyreport.sinks.streams import publish_table, write_messages
-from keyreport.sources.files import read_delimited, read_lines, read_report, read_table
+from keyreport.sources.files import (
+    REJECT_COL, read_delimited, read_delimited_with_rejects, read_lines, read_report, read_table,
+)
 from keyreport.sources.streams import consume, read_messages, read_table_stream
 from keyreport.streaming.windows import run_to_files, windowed_aggregate, windowed_tagged_aggregate
 
@@ -40,9 +48,6 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-# Largest dimension table (rows) this module broadcasts; checked at run time.
-DIMENSION_MAX_ROWS = 100_000
-
 # The word list of the membership filter.
 WORDS = ["the", "The", "de", "der", "que"]
 
@@ -67,7 +72,7 @@ def t(spark: SparkSession, sf: str, name: str, *cols: str) -> DataFrame:
 
 def dim(spark: SparkSession, sf: str, name: str, *cols: str) -> DataFrame:
     """A dimension table, broadcast only once its size is proven small."""
-    return bounded_broadcast(t(spark, sf, name, *cols), DIMENSION_MAX_ROWS)
+    return bounded_broadcast(t(spark, sf, name, *cols))
 
 
 # ---------------------------------------------------------------- shared parts
@@ -180,81 +185,65 @@ def q_count_globally(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("group_values", """
-SELECT o_custkey, 0 AS chunk, COUNT(*) AS n_orders,
-       string_agg(DISTINCT CAST(o_orderkey AS VARCHAR), ',' ORDER BY CAST(o_orderkey AS VARCHAR)) AS order_keys
-FROM orders GROUP BY o_custkey
+SELECT o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate, COUNT(*) AS n
+FROM orders GROUP BY ALL
 """)
 def q_group_values(spark: SparkSession, sf: str) -> DataFrame:
-    """All order keys per customer, as a bounded (chunked) multiset."""
-    o = t(spark, sf, "orders", "o_custkey", "o_orderkey").select(
-        "o_custkey", F.col("o_orderkey").cast("string").alias("o_orderkey"))
-    g = group_by_key(o, "o_custkey", "o_orderkey")
-    return g.select(
-        "o_custkey", "chunk",
-        F.aggregate("items", F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"]).alias("n_orders"),
-        F.array_join(F.transform("items", lambda x: x["o_orderkey"]), ",").alias("order_keys"))
-
-
-@query("cogroup_full", """
-WITH c AS (SELECT c_nationkey AS nationkey, COUNT(*) AS n_customers,
-                  string_agg(DISTINCT c_name, ',' ORDER BY c_name) AS customer_names
-           FROM customer WHERE c_acctbal > 9000 GROUP BY c_nationkey),
-     s AS (SELECT s_nationkey AS nationkey, COUNT(*) AS n_suppliers,
-                  string_agg(DISTINCT s_name, ',' ORDER BY s_name) AS supplier_names
-           FROM supplier WHERE s_acctbal > 9000 GROUP BY s_nationkey)
-SELECT COALESCE(c.nationkey, s.nationkey) AS nationkey, 0 AS chunk,
-       COALESCE(c.n_customers, 0) AS n_customers, COALESCE(c.customer_names, '') AS customer_names,
-       COALESCE(s.n_suppliers, 0) AS n_suppliers, COALESCE(s.supplier_names, '') AS supplier_names
-FROM c FULL OUTER JOIN s ON c.nationkey IS NOT DISTINCT FROM s.nationkey
-""")
-def q_cogroup_full(spark: SparkSession, sf: str) -> DataFrame:
-    """Rich customers and rich suppliers per nation, keys from either side,
-    an empty list where a side has none."""
-    c = t(spark, sf, "customer", "c_nationkey", "c_name", "c_acctbal").where(F.col("c_acctbal") > 9000) \
-        .select(F.col("c_nationkey").alias("nationkey"), F.col("c_name").alias("name"))
-    s = t(spark, sf, "supplier", "s_nationkey", "s_name", "s_acctbal").where(F.col("s_acctbal") > 9000) \
-        .select(F.col("s_nationkey").alias("nationkey"), F.col("s_name").alias("name"))
-    g = cogroup({"customers": c, "suppliers": s}, "nationkey")
-
-    def count(col: str):
-        return F.aggregate(col, F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
+    """The orders' (status, date) values per customer, as an exact multiset."""
+    o = t(spark, sf, "orders", "o_custkey", "o_orderstatus", "o_orderdate")
+    return group_by_key(o.withColumn("o_orderdate", F.to_date("o_orderdate")), "o_custkey",
+                        ["o_orderstatus", "o_orderdate"])
+
+
+_COGROUP_SQL = """
+SELECT nationkey, tag, segment, balance, COUNT(*) AS n FROM (
+  SELECT c_nationkey * 2 AS nationkey, 'customers' AS tag, c_mktsegment AS segment,
+         CAST(floor(c_acctbal / 100) AS BIGINT) AS balance FROM customer
+  UNION ALL
+  SELECT s_nationkey * 3, 'suppliers', '', CAST(floor(s_acctbal / 100) AS BIGINT) FROM supplier)
+"""
 
-    def names(col: str):
-        return F.array_join(F.transform(col, lambda x: x["name"]), ",")
 
-    return g.select("nationkey", "chunk",
-                    count("customers").alias("n_customers"), names("customers").alias("customer_names"),
-                    count("suppliers").alias("n_suppliers"), names("suppliers").alias("supplier_names"))
+def _cogrouped(spark: SparkSession, sf: str, require_all: bool) -> DataFrame:
+    c = t(spark, sf, "customer", "c_nationkey", "c_mktsegment", "c_acctbal").select(
+        (F.col("c_nationkey") * 2).alias("nationkey"), F.col("c_mktsegment").alias("segment"),
+        F.floor(F.col("c_acctbal") / 100).alias("balance"))
+    s = t(spark, sf, "supplier", "s_nationkey", "s_acctbal").select(
+        (F.col("s_nationkey") * 3).alias("nationkey"), F.floor(F.col("s_acctbal") / 100).alias("balance"))
+    g = cogroup({"customers": c, "suppliers": s}, "nationkey", require_all=require_all)
+    return g.select("nationkey", F.col(TAG).alias("tag"), F.coalesce("customers.segment", F.lit("")).alias("segment"),
+                    F.coalesce("customers.balance", "suppliers.balance").alias("balance"), "n")
 
 
-# ------------------------------------------------- two-fact monthly report
+@query("cogroup_full", _COGROUP_SQL + "GROUP BY ALL")
+def q_cogroup_full(spark: SparkSession, sf: str) -> DataFrame:
+    """All customers and all suppliers per key, keys from either side. The keys
+    are multiples of the nation numbers, so that some lack one side."""
+    return _cogrouped(spark, sf, False)
 
-def _orders_named(spark: SparkSession, sf: str, n: DataFrame) -> DataFrame:
-    """orders ⋈ customer ⋈ nation names: ``o_orderkey, o_orderdate,
-    o_totalprice, n_name``. Both sides of the monthly report use this one
-    frame, so its exchanges are planned once and reused."""
-    o = t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    c = t(spark, sf, "customer", "c_custkey", "c_nationkey")
-    return (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
-            .select("o_orderkey", "o_orderdate", "o_totalprice", "n_name"))
 
+@query("cogroup_present", _COGROUP_SQL + """
+WHERE nationkey IN (SELECT c_nationkey * 2 FROM customer) AND nationkey IN (SELECT s_nationkey * 3 FROM supplier)
+GROUP BY ALL
+""")
+def q_cogroup_present(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 + F6: the same, keys with both sides only."""
+    return _cogrouped(spark, sf, True)
 
-def _placed_per_month(orders_named: DataFrame) -> DataFrame:
-    """Order value per nation name and month."""
-    rows = orders_named.select("n_name", year_month(F.to_date("o_orderdate")).alias("ym"),
-                               F.col("o_totalprice").cast(T.DecimalType(18, 2)).alias("v"))
-    return sum_per_key(rows, ["n_name", "ym"], "v", "order_value")
 
+# ------------------------------------------------- two-fact monthly report
 
-def _late_per_month(spark: SparkSession, sf: str, orders_named: DataFrame) -> DataFrame:
-    """Late days (clamped at 0) per nation name and ship month: lineitem meets
-    the narrow named orders on the order key, then one partial-aggregated
-    grouping."""
-    li = t(spark, sf, "lineitem", "l_orderkey", "l_shipdate")
-    rows = li.join(orders_named, li.l_orderkey == orders_named.o_orderkey).select(
-        "n_name", year_month(F.to_date("l_shipdate")).alias("ym"),
-        clamp_min(F.datediff("l_shipdate", "o_orderdate"), 0).alias("late"))
-    return sum_per_key(rows, ["n_name", "ym"], "late", "late_days")
+def _months_per_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """``o_custkey, ym, v, late``: order value by order month and late days by ship
+    month, per customer. Both measures are rows of one tagged union with one
+    aggregate, combined map-side, so no raw order or line is dealt by customer."""
+    o = t(spark, sf, "orders", "o_custkey", "o_orderdate", "o_totalprice")
+    placed = o.select("o_custkey", year_month(F.to_date("o_orderdate")).alias("ym"),
+                      F.col("o_totalprice").cast(T.DecimalType(18, 2)).alias("v"), F.lit(None).cast("int").alias("late"))
+    late = signed_delays(spark, sf, "o_custkey").select(
+        "o_custkey", year_month(F.to_date("l_shipdate")).alias("ym"), F.lit(None).cast(T.DecimalType(18, 2)).alias("v"),
+        clamp_min("delay", 0).alias("late"))
+    return union_all(placed, late).groupBy("o_custkey", "ym").agg(F.sum("v").alias("v"), F.sum("late").alias("late"))
 
 
 _MONTHS_SQL = """
@@ -278,12 +267,12 @@ def monthly_report(spark: SparkSession, sf: str) -> DataFrame:
     """Per nation and month: late-shipment days (clamped at 0) matched with the
     order value (rounded to 0.1), as columns and as a ``;`` line (P4 P8 P9 P10
     P11 J2 F6)."""
-    n = dim(spark, sf, "nation", "n_nationkey", "n_name")  # size checked once
-    orders_named = _orders_named(spark, sf, n)
-    # Names and months are never NULL here, so a plain equi-join: it reuses the
-    # (n_name, ym) partitioning of both aggregates and adds no shuffle.
-    m = match(_late_per_month(spark, sf, orders_named), _placed_per_month(orders_named), ["n_name", "ym"],
-              null_safe=False)
+    n = dim(spark, sf, "nation", "n_nationkey", "n_name")
+    per = per_customer_to_nation(spark, sf, _months_per_customer(spark, sf), ["ym"], ["v", "late"])
+    # A month lacks a side where no row of that side was summed.
+    both = per.join(n, per.c_nationkey == n.n_nationkey).groupBy("n_name", "ym").agg(
+        F.sum("v").alias("order_value"), F.sum("late").alias("late_days"))
+    m = both.where(F.col("order_value").isNotNull() & F.col("late_days").isNotNull())
     value = round_half_up("order_value", 1)
     year, month = (F.get(F.split("ym", "-"), i) for i in (0, 1))
     return m.select(
@@ -321,7 +310,7 @@ WHERE token <> '' GROUP BY token
 @query("tokens", _TOKENS_SQL)
 def q_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """P2 + G3: every whitespace token of every whole document, counted."""
-    docs = spread(t(spark, sf, "documents", "text"))
+    docs = t(spark, sf, "documents", "text")
     return count_per_element(explode_tokens(docs, "text"), ["token"])
 
 
@@ -332,7 +321,7 @@ WHERE token IN ({", ".join("'" + w + "'" for w in WORDS)}) GROUP BY token
 """)
 def q_token_in_set(spark: SparkSession, sf: str) -> DataFrame:
     """P2 + F2: tokens that are exactly one of a few words, counted per word."""
-    toks = explode_tokens(spread(t(spark, sf, "documents", "text")), "text")
+    toks = explode_tokens(t(spark, sf, "documents", "text"), "text")
     return count_per_element(toks.where(in_set("token", WORDS)), ["token"])
 
 
@@ -341,7 +330,7 @@ SELECT doc_id, lang FROM documents WHERE regexp_matches(text, '\p{Nd}')
 """)
 def q_has_digit(spark: SparkSession, sf: str) -> DataFrame:
     """documents whose text holds a digit."""
-    docs = spread(t(spark, sf, "documents", "doc_id", "lang", "text"))
+    docs = t(spark, sf, "documents", "doc_id", "lang", "text")
     return docs.where(has_digit("text")).select("doc_id", "lang")
 
 
@@ -357,19 +346,19 @@ def q_equals_field(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------- record shaping
 
 @query("split_fields", """
-SELECT line, CAST(string_split(line, '|')[1] AS INTEGER) AS n_nationkey, string_split(line, '|')[2] AS n_name,
-       CAST(string_split(line, '|')[3] AS INTEGER) AS n_regionkey, len(string_split(line, '|')) AS n_fields
-FROM (SELECT concat_ws('|', n_nationkey, n_name, n_regionkey) AS line FROM nation)
+SELECT line, CAST(string_split(line, '|')[1] AS BIGINT) AS o_orderkey, string_split(line, '|')[2] AS o_orderstatus,
+       CAST(string_split(line, '|')[3] AS BIGINT) AS o_custkey, len(string_split(line, '|')) AS n_fields
+FROM (SELECT concat_ws('|', o_orderkey, o_orderstatus, o_custkey) AS line FROM orders)
 """)
 def q_split_fields(spark: SparkSession, sf: str) -> DataFrame:
     """P11 → P1 → P3: fields joined into a line, split back, named."""
-    lines = t(spark, sf, "nation").select(
-        join_fields(["n_nationkey", "n_name", "n_regionkey"], "|").alias("line"))
+    lines = t(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_custkey").select(
+        join_fields(["o_orderkey", "o_orderstatus", "o_custkey"], "|").alias("line"))
     parts = lines.select("line", split_fields("line", "|").alias("f"))
-    named = parts.select("line", *named_record("f", ["k", "n_name", "r"]),
+    named = parts.select("line", *named_record("f", ["k", "o_orderstatus", "c"]),
                          F.size("f").cast("bigint").alias("n_fields"))
-    return named.select("line", F.col("k").cast("int").alias("n_nationkey"), "n_name",
-                        F.col("r").cast("int").alias("n_regionkey"), "n_fields")
+    return named.select("line", F.col("k").cast("bigint").alias("o_orderkey"), "o_orderstatus",
+                        F.col("c").cast("bigint").alias("o_custkey"), "n_fields")
 
 
 @query("year_month", """
@@ -399,66 +388,69 @@ def q_clamp_negative(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("flatten_nested", """
-SELECT n_nationkey AS key, n_name AS nation_name, r_regionkey AS nation_region_key, r_name AS nation_region_name
-FROM nation JOIN region ON n_regionkey = r_regionkey
+SELECT c_custkey AS key, c_name AS customer_name, n_nationkey AS customer_nation_key, n_name AS customer_nation_name
+FROM customer JOIN nation ON c_nationkey = n_nationkey
 """)
 def q_flatten_nested(spark: SparkSession, sf: str) -> DataFrame:
     """P12 + P13: a nested record built, then flattened by a schema walk."""
-    n = t(spark, sf, "nation")
-    r = dim(spark, sf, "region")
-    nested = n.join(r, n.n_regionkey == r.r_regionkey).select(
-        F.col("n_nationkey").alias("key"),
-        F.struct(F.col("n_name").alias("name"),
-                 F.struct(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name")).alias("region"))
-        .alias("nation"))
+    c = t(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey")
+    n = dim(spark, sf, "nation", "n_nationkey", "n_name")
+    nested = c.join(n, c.c_nationkey == n.n_nationkey).select(
+        F.col("c_custkey").alias("key"),
+        F.struct(F.col("c_name").alias("name"),
+                 F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name")).alias("nation"))
+        .alias("customer"))
     return flatten_struct(nested)
 
 
-@query("delay_table", f"""
+_DELAY_TABLE_SQL = f"""
 SELECT n.n_name AS airport, COUNT(*) AS lista_Qtd_Atrasos, CAST(SUM(d.delay) AS BIGINT) AS lista_Tempo_Atrasos
 FROM ({_DELAYS_SQL}) d JOIN nation n ON d.c_nationkey = n.n_nationkey
 WHERE d.delay > 0 GROUP BY n.n_name
-""")
-def q_delay_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The warehouse report: count and sum sides co-grouped, nested, flattened,
-    first element of each list, cast to the declared schema and appended to a
-    table (J1 P12 P13 P14 K3); the table is read back."""
+"""
+
+
+def delay_table_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The warehouse report before its write: one sum-and-count aggregate, nested,
+    flattened and reduced to the first element of each list."""
     per = delayed_per_nation(spark, sf)
     n = dim(spark, sf, "nation", "n_nationkey", "n_name")
     rows = per.join(n, per.c_nationkey == n.n_nationkey).select(
         F.col("n_name").alias("airport"), "total_delay", "n_delayed")
-    # Both sides come from one aggregate (one pass, one reused exchange) rather
-    # than two reads and two aggregates of the same rows.
-    both = rows.groupBy("airport").agg(F.sum("total_delay").alias("Tempo_Atrasos"),
-                                       F.sum("n_delayed").alias("Qtd_Atrasos"))
-    counts, sums = both.select("airport", "Qtd_Atrasos"), both.select("airport", "Tempo_Atrasos")
-    g = cogroup({"Qtd_Atrasos": counts, "Tempo_Atrasos": sums}, "airport")
-    nested = g.select("airport", F.struct(
-        F.transform("Qtd_Atrasos", lambda x: x["Qtd_Atrasos"]).alias("Qtd_Atrasos"),
-        F.transform("Tempo_Atrasos", lambda x: x["Tempo_Atrasos"]).alias("Tempo_Atrasos")).alias("lista"))
-    flat = first_of_lists(flatten_struct(nested), ["lista_Qtd_Atrasos", "lista_Tempo_Atrasos"], ["airport"])
+    both = rows.groupBy("airport").agg(F.sum("total_delay").alias("total_delay"), F.sum("n_delayed").alias("n_delayed"))
+    return delay_rows(both, "airport")
+
+
+@query("delay_table", _DELAY_TABLE_SQL)
+def q_delay_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The warehouse report appended to a table with the declared schema and read
+    back (P12 P13 P14 K3)."""
+    flat = delay_table_rows(spark, sf)
     path = scratch_dir(spark, "tables", "delay_table")
     table = "delay_table_" + path.rsplit("/", 1)[-1]
-    append_table(flat, table, "airport:STRING, lista_Qtd_Atrasos:INTEGER, lista_Tempo_Atrasos:INTEGER", path)
+    append_table(flat, table, DELAY_TABLE_SCHEMA, path)
+    spark.sql(f"DROP TABLE {table}")  # an external table: its files stay
     return spark.read.parquet(path)
 
 
 @query("bytes_roundtrip", """
-SELECT CAST(string_split(msg, ',')[1] AS INTEGER) AS n_nationkey, string_split(msg, ',')[2] AS n_name,
-       CAST(string_split(msg, ',')[3] AS INTEGER) AS n_regionkey,
+SELECT CAST(string_split(msg, ',')[1] AS BIGINT) AS o_orderkey, string_split(msg, ',')[2] AS o_orderstatus,
        octet_length(encode(msg)) AS msg_bytes, octet_length(encode(js)) AS json_bytes
-FROM (SELECT concat_ws(',', n_nationkey, n_name, n_regionkey) AS msg,
-             CAST(to_json({'n_nationkey': n_nationkey, 'n_name': n_name}) AS VARCHAR) AS js FROM nation)
+FROM (SELECT concat_ws(',', o_orderkey, o_orderstatus) AS msg,
+             CAST(to_json({'o_orderkey': o_orderkey, 'known': CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END})
+                  AS VARCHAR) AS js FROM orders)
 """)
 def q_bytes_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """P15 + P16: rows to UTF-8 message bytes and back to fields."""
-    n = t(spark, sf, "nation")
-    msgs = n.select(F.encode(join_fields(["n_nationkey", "n_name", "n_regionkey"], ","), "UTF-8").alias("value"),
-                    encode_row("n_nationkey", "n_name").alias("json"))
+    """P15 + P16: rows to UTF-8 message bytes and back to fields; a NULL field stays
+    in the message."""
+    o = t(spark, sf, "orders", "o_orderkey", "o_orderstatus")
+    known = F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("known")
+    msgs = o.select(F.encode(join_fields(["o_orderkey", "o_orderstatus"], ","), "UTF-8").alias("value"),
+                    encode_row("o_orderkey", known).alias("json"))
     f = msgs.select(decode_fields("value").alias("f"), F.octet_length("value").cast("bigint").alias("msg_bytes"),
                     F.octet_length("json").cast("bigint").alias("json_bytes"))
-    return f.select(F.col("f")[0].cast("int").alias("n_nationkey"), F.col("f")[1].alias("n_name"),
-                    F.col("f")[2].cast("int").alias("n_regionkey"), "msg_bytes", "json_bytes")
+    return f.select(F.col("f")[0].cast("bigint").alias("o_orderkey"), F.col("f")[1].alias("o_orderstatus"),
+                    "msg_bytes", "json_bytes")
 
 
 @query("first_rows", """
@@ -658,7 +650,7 @@ FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
 def q_flat_map(spark: SparkSession, sf: str) -> DataFrame:
     """One output row per line of each whole document (a Python flat map
     over Arrow batches), counted per document."""
-    docs = spread(t(spark, sf, "documents", "doc_id", "text"))
+    docs = t(spark, sf, "documents", "doc_id", "text")
     lines = flat_map(docs, _lines_of, "doc_id long, line string")
     return lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"),
                                        F.count(F.when(F.col("line") == "", 1)).alias("n_blank"))
@@ -682,6 +674,64 @@ def q_combine_custom(spark: SparkSession, sf: str) -> DataFrame:
     return combine_per_key(ev, "event_type", "value", lambda s: float(s.max()), T.DoubleType(), "max_value")
 
 
+@query("combine_bigint", """
+SELECT event_type, max(CASE WHEN event_id % 2 = 0 THEN event_id + 9007199254740993 END) AS largest
+FROM events GROUP BY event_type
+""")
+def q_combine_bigint(spark: SparkSession, sf: str) -> DataFrame:
+    """X5 over a BIGINT with NULLs, beyond what a double holds."""
+    ev = t(spark, sf, "events", "event_type", "event_id").select(
+        "event_type", F.when(F.col("event_id") % 2 == 0, F.col("event_id") + 9007199254740993).alias("v"))
+    return combine_per_key(ev, "event_type", "v", lambda s: int(s.max()), T.LongType(), "largest")
+
+
+def _pieces(row: dict, sep: str, least: int):
+    for word in row["text"].split(sep):
+        if len(word) >= least:
+            yield {"doc_id": row["doc_id"], "word": word}
+
+
+@query("flat_map_records", """
+SELECT doc_id, word, COUNT(*) AS n FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents)
+WHERE length(word) >= 18 GROUP BY ALL
+""")
+def q_flat_map_records(spark: SparkSession, sf: str) -> DataFrame:
+    """X2 with a generator over single records and keyword arguments."""
+    docs = t(spark, sf, "documents", "doc_id", "text")
+    found = flat_map(docs, per_record(_pieces), "doc_id long, word string", sep=" ", least=18)
+    return count_per_element(found)
+
+
+class AboveByType(RecordDoFn):
+    """A per-record body: keeps records of a type above a limit."""
+
+    def process(self, record: dict):
+        if record["value"] is not None and record["value"] > 50 and record["event_type"] == "click":
+            yield {"event_id": record["event_id"], "value": record["value"]}
+
+
+@query("process_records", """
+SELECT event_id, value FROM events WHERE value > 50 AND event_type = 'click'
+""")
+def q_process_records(spark: SparkSession, sf: str) -> DataFrame:
+    """X4 with ``process(record)``."""
+    ev = t(spark, sf, "events", "event_id", "event_type", "value")
+    return par_do(ev, AboveByType(), "event_id long, value double")
+
+
+@query("round_places", """
+SELECT event_type, CAST(ROUND(SUM(CAST(CAST(value AS DECIMAL(18,2)) * CAST('0.00390625' AS DECIMAL(9,8)) AS DECIMAL(38,10))), 1)
+       AS DOUBLE) AS total FROM events GROUP BY event_type
+""")
+def q_round_places(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums with ten decimal places, rounded once to 0.1."""
+    ev = t(spark, sf, "events", "event_type", "value").select("event_type", (
+        F.col("value").cast(T.DecimalType(18, 2)) * F.lit("0.00390625").cast(T.DecimalType(9, 8)))
+        .cast(T.DecimalType(38, 10)).alias("v"))
+    s = sum_per_key(ev, "event_type", "v", "total")
+    return s.select("event_type", round_half_up("total", 1).cast("double").alias("total"))
+
+
 # --------------------------------------------------------- files round trip
 
 _CUSTOMER_FIELDS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
@@ -711,6 +761,127 @@ def q_csv_header_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_delimited(spark, path, _CUSTOMER_SCHEMA, sep="|", header=True)
 
 
+@query("bad_lines", """
+SELECT 'good' AS kind, CAST(o_orderkey AS VARCHAR) AS line, strftime(o_orderdate, '%Y-%m-%d') AS placed
+FROM orders WHERE o_orderkey % 3 = 0 AND o_orderstatus <> 'F'
+UNION ALL
+SELECT 'reject', CASE WHEN o_orderkey % 3 = 0 THEN 'x' || o_orderkey || '|' || strftime(o_orderdate, '%Y-%m-%d')
+                      ELSE CAST(o_orderkey AS VARCHAR) END, ''
+FROM orders WHERE NOT (o_orderkey % 3 = 0 AND o_orderstatus <> 'F')
+""")
+def q_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """S3 with malformed lines: short ones and bad numbers come out as rejects, the
+    others typed."""
+    path = scratch_dir(spark, "files", "bad")
+    o = t(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus")
+    key, date = F.col("o_orderkey").cast("string"), F.to_date("o_orderdate").cast("string")
+    whole = F.col("o_orderkey") % 3 == 0
+    line = F.when(whole & (F.col("o_orderstatus") != "F"), F.concat_ws("|", key, date)) \
+        .when(whole, F.concat(F.lit("x"), key, F.lit("|"), date)).otherwise(key)
+    write_lines(o, path, line)
+    good, rejects = read_delimited_with_rejects(spark, path, "o_orderkey bigint, o_orderdate date", sep="|")
+    return good.select(F.lit("good").alias("kind"), F.col("o_orderkey").cast("string").alias("line"),
+                       F.col("o_orderdate").cast("string").alias("placed")) \
+        .union(rejects.select(F.lit("reject"), REJECT_COL, F.lit("")))
+
+
+# ------------------------------------------------- report families over text
+
+_FLIGHTS_SQL = """
+SELECT o.o_orderpriority AS dest, CAST(l.l_shipdate AS DATE) - CAST(o.o_orderdate AS DATE) - 30 AS arr_delay, l.l_shipdate
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+"""
+
+
+def _flight_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines in the flights layout: 12 fields, delay against 30 days."""
+    li = signed_delays(spark, sf, "o_orderpriority")
+    given = {"flight_date": F.to_date("l_shipdate").cast("string"), "origin": F.col("l_returnflag"),
+             "dest": F.col("o_orderpriority"), "arr_delay": F.col("delay") - 30}
+    return li.select(join_fields([given.get(f, F.lit(1)) for f in FLIGHT_FIELDS], ",").alias("value"), "l_shipdate")
+
+
+def _flight_files(spark: SparkSession, sf: str) -> str:
+    path = scratch_dir(spark, "files", "flights")
+    write_lines(_flight_lines(spark, sf).select("value"), path)
+    return path
+
+
+@query("text_delay_report", f"""
+SELECT dest, CAST(SUM(arr_delay) AS BIGINT) AS total_delay, COUNT(*) AS n_delayed
+FROM ({_FLIGHTS_SQL}) WHERE arr_delay > 0 GROUP BY dest
+""")
+def q_text_delay_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The delay report over text lines (S2 P1 P3 P6 F3 G6; ``int()`` by strict cast)."""
+    return flight_delay_report(read_flights(spark, _flight_files(spark, sf)))
+
+
+@query("text_delay_table", f"""
+SELECT dest AS airport, COUNT(*) AS lista_Qtd_Atrasos, CAST(SUM(arr_delay) AS BIGINT) AS lista_Tempo_Atrasos
+FROM ({_FLIGHTS_SQL}) WHERE arr_delay > 0 GROUP BY dest
+""")
+def q_text_delay_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as warehouse rows, from one read of the text."""
+    return flight_delay_table(read_flights(spark, _flight_files(spark, sf)))
+
+
+@query("text_stream_report", f"""
+SELECT make_timestamp(s) AS window_start, make_timestamp(s + {_US["1 day"]}) AS window_end, dest,
+       CAST(SUM(arr_delay) AS BIGINT) AS total_delay, COUNT(*) AS n_delayed
+FROM (SELECT dest, arr_delay, (epoch_us(CAST(l_shipdate AS TIMESTAMP)) // {_US["1 day"]}) * {_US["1 day"]} AS s
+      FROM ({_FLIGHTS_SQL}) WHERE arr_delay > 0)
+WHERE s + {_US["1 day"]} <= (SELECT max(epoch_us(CAST(l_shipdate AS TIMESTAMP))) FROM ({_FLIGHTS_SQL}) WHERE arr_delay > 0)
+GROUP BY ALL
+""")
+def q_text_stream_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The delay report over a message stream, per one-day window (S5 P15 P6 F4 W1
+    W3 W4 W6)."""
+    base = scratch_dir(spark, "streams", "flights")
+    lines = _flight_lines(spark, sf).select(F.encode("value", "UTF-8").alias("value"),
+                                            F.col("l_shipdate").cast("timestamp_ntz").alias("timestamp"))
+    publish_table(lines, fmt="parquet", path=f"{base}/topic")
+    msgs = read_messages(spark, "parquet", "value binary, timestamp timestamp_ntz", path=f"{base}/topic")
+    out = windowed_delay_report(msgs, "1 day").drop("value")
+    return run_to_files(spark, out, "text_stream_report")
+
+
+@query("text_monthly_report", """
+WITH cases AS (
+  SELECT CAST(c_nationkey AS VARCHAR) AS uf, strftime(o_orderdate, '%Y') AS ano, strftime(o_orderdate, '%m') AS mes,
+         SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS dengue
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'P' GROUP BY ALL
+), rain AS (
+  SELECT CAST(s_nationkey AS VARCHAR) AS uf, strftime(l_shipdate, '%Y') AS ano, strftime(l_shipdate, '%m') AS mes,
+         ROUND(SUM(GREATEST(CAST(s_acctbal AS DECIMAL(18,2)) / 64, 0)), 1) AS chuva
+  FROM (SELECT s_nationkey, s_acctbal, l_shipdate FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) GROUP BY ALL
+)
+SELECT uf, ano, mes, CAST(chuva AS DOUBLE) AS chuva, CAST(dengue AS DOUBLE) AS dengue
+FROM cases JOIN rain USING (uf, ano, mes)
+""".replace("CAST(s_acctbal AS DECIMAL(18,2)) / 64", "CAST(CAST(s_acctbal AS DECIMAL(18,2)) * CAST('0.0156250' AS DECIMAL(8,7)) AS DECIMAL(38,10))"))
+def q_text_monthly_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The two-fact report over delimited text with headers (S3 P1 P3 P4 P5 P7 P8 P9
+    P10 P11 F5 F6 J2): order values as cases (none, as ``-``, for one status), a
+    64th of supplier balances, seven places, as rain."""
+    c = t(spark, sf, "customer", "c_custkey", "c_nationkey")
+    o = t(spark, sf, "orders", "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus")
+    value = F.col("o_totalprice").cast(T.DecimalType(18, 2)).cast("string")
+    given = {"data_iniSE": F.to_date("o_orderdate").cast("string"), "uf": F.col("c_nationkey").cast("string"),
+             "casos": F.when(F.col("o_orderstatus") == "P", "-").otherwise(value)}
+    cases = scratch_dir(spark, "files", "cases")
+    write_delimited(o.join(c, o.o_custkey == c.c_custkey).select(
+        *[given.get(f, F.lit("1")).alias(f) for f in CASES_FIELDS]), cases, sep="|", header=True)
+    s = t(spark, sf, "supplier", "s_suppkey", "s_nationkey", "s_acctbal")
+    li = t(spark, sf, "lineitem", "l_suppkey", "l_shipdate")
+    mm = F.col("s_acctbal").cast(T.DecimalType(18, 2)) * F.lit("0.0156250").cast(T.DecimalType(8, 7))
+    rain = scratch_dir(spark, "files", "rain")
+    write_delimited(li.join(s, li.l_suppkey == s.s_suppkey).select(
+        F.to_date("l_shipdate").cast("string").alias(RAIN_FIELDS[0]), mm.cast("string").alias(RAIN_FIELDS[1]),
+        F.col("s_nationkey").cast("string").alias(RAIN_FIELDS[2])), rain, sep=",", header=True)
+    out = text_monthly_report(read_cases(spark, cases), read_rain(spark, rain))
+    return out.select("uf", "ano", "mes", F.col("chuva").cast("double").alias("chuva"),
+                      F.col("dengue").cast("double").alias("dengue"))
+
+
 @query("report_roundtrip", f"SELECT n_name, year, month, late_days, order_value FROM ({_MONTHS_SQL})")
 def q_report_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """K2 → S7: the monthly report written as ``;`` lines and read back typed."""

@@ -15,16 +15,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyreport.functions.predicates import has_digit, positive
 from keyreport.functions.shaping import (
-    clamp_min, composite_key, decode_fields, encode_row, first_of_lists, flatten_struct,
-    join_fields, named_record, python_round, round_half_up, year_month,
+    clamp_min, composite_key, decode_fields, encode_row, first_of_lists, flatten_struct, join_fields,
+    key_by, named_record, nest, parse_number, python_round, round_half_up, unpack_key, year_month,
 )
-from keyreport.operators.cogroup import cogroup, match
+from keyreport.operators.cogroup import match
 from keyreport.operators.keyed import sum_and_count_per_key, sum_per_key
 from keyreport.sinks.files import cast_to_schema
 from keyreport.sources.files import all_string_schema, read_fields
@@ -43,6 +43,8 @@ FLIGHT_SCHEMA = T.StructType(
 CASES_FIELDS = ["id", "data_iniSE", "casos", "ibge_code", "cidade", "uf", "cep", "latitude", "longitude"]
 # Rain: 3 ','-separated fields, one header line.
 RAIN_FIELDS = ["data", "mm", "uf"]
+# Sums of readings are exact decimals.
+EXACT = "decimal(38,10)"
 # Declared warehouse schema of the delay table.
 DELAY_TABLE_SCHEMA = "airport:STRING, lista_Qtd_Atrasos:INTEGER, lista_Tempo_Atrasos:INTEGER"
 
@@ -70,17 +72,17 @@ def flight_delay_report(flights: DataFrame, key: str = "dest", delay: str = "arr
 
 
 def flight_delay_table(flights: DataFrame, key: str = "dest", delay: str = "arr_delay") -> DataFrame:
-    """The warehouse row per airport: count and sum sides co-grouped, nested as
-    ``{airport, lista: {Qtd_Atrasos: [..], Tempo_Atrasos: [..]}}``, flattened
-    with ``_`` and reduced to the first element of each list, then cast to the
-    declared schema."""
-    pairs = delayed_flights(flights, key, delay)
-    both = sum_and_count_per_key(pairs, "key", "delay", "Tempo_Atrasos", "Qtd_Atrasos")
-    counts, sums = both.select("key", "Qtd_Atrasos"), both.select("key", "Tempo_Atrasos")
-    g = cogroup({"Qtd_Atrasos": counts, "Tempo_Atrasos": sums}, "key")
-    nested = g.select(F.col("key").alias("airport"), F.struct(
-        F.transform("Qtd_Atrasos", lambda x: x["Qtd_Atrasos"]).alias("Qtd_Atrasos"),
-        F.transform("Tempo_Atrasos", lambda x: x["Tempo_Atrasos"]).alias("Tempo_Atrasos")).alias("lista"))
+    """The warehouse row per airport: count and sum from one aggregate over one
+    read, nested as ``{airport, lista: {Qtd_Atrasos: [..], Tempo_Atrasos: [..]}}``,
+    flattened with ``_`` and reduced to the first element of each list, then cast
+    to the declared schema."""
+    return delay_rows(flight_delay_report(flights, key, delay), key)
+
+
+def delay_rows(report: DataFrame, key: str) -> DataFrame:
+    """Rows of a delay report (``key, total_delay, n_delayed``) as warehouse rows."""
+    nested = report.select(*nest(key, [F.array("n_delayed").alias("Qtd_Atrasos"),
+                                       F.array("total_delay").alias("Tempo_Atrasos")], "airport", "lista"))
     flat = first_of_lists(flatten_struct(nested), ["lista_Qtd_Atrasos", "lista_Tempo_Atrasos"], ["airport"])
     return cast_to_schema(flat, DELAY_TABLE_SCHEMA)
 
@@ -120,11 +122,13 @@ def read_rain(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def cases_per_month(cases: DataFrame) -> DataFrame:
-    """``uf, ano_mes, dengue``: the sum of ``casos`` per state and month; a row
-    whose ``casos`` holds no digit is skipped (a zero is kept)."""
-    rows = cases.select(F.col("uf"), year_month("data_iniSE").alias("ano_mes"),
-                        F.when(has_digit("casos"), F.col("casos").cast("double")).alias("casos"))
-    return sum_per_key(rows.where(F.col("casos").isNotNull()), ["uf", "ano_mes"], "casos", "dengue")
+    """``uf, ano_mes, dengue``: the exact decimal sum of ``casos`` per state and
+    month; a row whose ``casos`` holds no digit is skipped (a zero is kept). The
+    records are keyed by state with the record kept, as in the source."""
+    rows = key_by(cases, "uf").where(has_digit("record.casos")).select(
+        "uf", year_month("record.data_iniSE").alias("ano_mes"),
+        parse_number("record.casos", dtype=EXACT).alias("casos"))
+    return sum_per_key(rows, ["uf", "ano_mes"], "casos", "dengue")
 
 
 def rain_per_month(rain: DataFrame, python_rounding: bool = False) -> DataFrame:
@@ -135,10 +139,11 @@ def rain_per_month(rain: DataFrame, python_rounding: bool = False) -> DataFrame:
     does (half-to-even on the binary value), for bit parity with a float
     report; the double sum then depends on the order of the rows.
     """
-    mm = clamp_min(F.col("mm").cast("double"), 0)
-    rows = rain.select(F.col("uf"), year_month("data").alias("ano_mes"),
-                       (mm if python_rounding else mm.cast(T.DecimalType(38, 10))).alias("mm"))
-    s = sum_per_key(rows, ["uf", "ano_mes"], "mm", "chuva")
+    mm = clamp_min(parse_number("mm", dtype="double" if python_rounding else EXACT), 0)
+    rows = rain.select(composite_key("uf", year_month("data")).alias("key"), mm.alias("mm"))
+    s = sum_per_key(rows, "key", "mm", "chuva")
+    uf, ano, mes = unpack_key("key", ["uf", "ano", "mes"])
+    s = s.select(uf, F.concat_ws("-", ano, mes).alias("ano_mes"), "chuva")
     return s.withColumn("chuva", python_round("chuva", 1) if python_rounding else round_half_up("chuva", 1))
 
 
@@ -148,9 +153,10 @@ def monthly_report(cases: DataFrame, rain: DataFrame, python_rounding: bool = Fa
     m = match(rain_per_month(rain, python_rounding), cases_per_month(cases), ["uf", "ano_mes"])
     ano, mes = named_record(F.split("ano_mes", "-"), ["ano", "mes"])  # NULL, not an error, when short
     out = m.select("uf", ano, mes, "chuva", "dengue")
-    return out.withColumn("line", join_fields(["uf", "ano", "mes", "chuva", "dengue"], ";"))
+    return out.withColumn("line", join_fields(["uf", "ano", "mes", plain_number("chuva"), plain_number("dengue")], ";"))
 
 
-def monthly_key(uf: str, ano_mes: str):
-    """The report's text key ``UF-YYYY-MM`` as a Column (for display)."""
-    return composite_key(uf, ano_mes)
+def plain_number(col: str) -> Column:
+    """A number's text without exponent, its decimal places cut to the first one or
+    the last that isn't 0."""
+    return F.regexp_replace(F.col(col).cast(EXACT).cast("string"), r"(\.\d+?)0+$", "$1")

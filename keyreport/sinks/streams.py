@@ -5,17 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-__all__ = ["write_stream", "write_messages", "publish_table", "preview_batches"]
-
-
-def write_stream(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                 output_mode: str = "append", available_now: bool = False) -> StreamingQuery:
-    """Append a stream to files (exactly-once through the sink's commit log)."""
-    w = (stream.writeStream.format(fmt).outputMode(output_mode)
-         .option("path", path).option("checkpointLocation", checkpoint))
-    if available_now:
-        w = w.trigger(availableNow=True)
-    return w.start()
+__all__ = ["write_messages", "publish_table", "preview_batches"]
 
 
 def write_messages(stream: DataFrame, checkpoint: str, fmt: str = "kafka",

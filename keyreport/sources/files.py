@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,20 +31,44 @@ def all_string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
+def _schema(spark: SparkSession, schema: T.StructType | str | Sequence[str]) -> T.StructType:
+    if isinstance(schema, str):
+        return spark.createDataFrame([], schema).schema
+    return schema if isinstance(schema, T.StructType) else all_string_schema(schema)
+
+
+def _parsed(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, sep: str,
+            header: bool) -> tuple[DataFrame, Column]:
+    """The lines with their typed fields in one struct column, and whether a line is
+    whole: the schema's number of fields, each empty or castable. Validity reads
+    every field whatever columns are selected later."""
+    lines = read_text_lines(spark, path, header).where("value <> ''")
+    raw = lines.select("value", split_fields("value", sep).alias("f"))
+    text = [F.nullif(F.get("f", i), F.lit("")) for i in range(len(schema.fields))]
+    typed = [x.try_cast(f.dataType).alias(f.name) for x, f in zip(text, schema.fields)]
+    whole = F.size("f") == len(schema.fields)
+    for x, f in zip(text, schema.fields):
+        whole = whole & (x.isNull() | x.try_cast(f.dataType).isNotNull())
+    return raw.select("value", F.struct(*typed).alias("row"), whole.alias("whole")), F.col("whole")
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | Sequence[str],
                    sep: str = ",", header: bool = False, strict: bool = True) -> DataFrame:
     """Delimited text with a declared schema (never inferred).
 
     ``header=True`` skips the first line of *each file* (``skip_header_lines=1``).
-    Quotes are not special, as with a plain ``split``. Strict mode fails on a
-    malformed row; tolerant mode turns bad fields into NULL. Empty fields read
-    as NULL and blank lines are skipped.
+    Quotes are not special, as with a plain ``split``. Empty fields read as NULL and
+    blank lines are skipped. Strict mode fails on a malformed line (wrong number of
+    fields, bad number) whatever columns are selected, ``count()`` included;
+    tolerant mode turns missing and bad fields into NULL.
     """
-    if not isinstance(schema, (T.StructType, str)):
-        schema = all_string_schema(schema)  # names only: every field as text
-    return spark.read.csv(path, schema=schema, sep=sep, header=header, quote="\u0000",
-                          escape="\u0000", mode="FAILFAST" if strict else "PERMISSIVE",
-                          enforceSchema=True)
+    schema = _schema(spark, schema)
+    parsed, whole = _parsed(spark, path, schema, sep, header)
+    if strict:
+        # A filter, so no column pruning can leave the check out.
+        parsed = parsed.where(F.when(whole, True).otherwise(
+            F.raise_error(F.concat(F.lit("malformed line: "), F.col("value"))).cast("boolean")))
+    return parsed.select("row.*")
 
 
 def read_delimited_with_rejects(spark: SparkSession, path: str | Sequence[str],
@@ -53,21 +77,12 @@ def read_delimited_with_rejects(spark: SparkSession, path: str | Sequence[str],
     """Tolerant read that keeps what it could not parse: ``(good, rejects)``.
 
     ``good`` has the declared columns; ``rejects`` has the raw text of each
-    malformed line (wrong field count, bad number) in ``_rejected_line`` next to
-    whatever fields did parse. Both come from one parse definition; the caller
-    decides whether a reject fails the job.
+    malformed line in ``_rejected_line`` next to whatever fields did parse. Both
+    are filters of one parse by the same validity, so every line is in exactly one
+    of them whatever columns are selected.
     """
-    if isinstance(schema, str):
-        schema = spark.createDataFrame([], schema).schema
-    elif not isinstance(schema, T.StructType):
-        schema = all_string_schema(schema)
-    with_reject = T.StructType(schema.fields + [T.StructField(REJECT_COL, T.StringType(), True)])
-    parsed = spark.read.csv(path, schema=with_reject, sep=sep, header=header, quote="\u0000",
-                            escape="\u0000", mode="PERMISSIVE", columnNameOfCorruptRecord=REJECT_COL,
-                            enforceSchema=True)
-    good = parsed.where(F.col(REJECT_COL).isNull()).drop(REJECT_COL)
-    rejects = parsed.where(F.col(REJECT_COL).isNotNull())
-    return good, rejects
+    parsed, whole = _parsed(spark, path, _schema(spark, schema), sep, header)
+    return parsed.where(whole).select("row.*"), parsed.where(~whole).select("row.*", F.col("value").alias(REJECT_COL))
 
 
 def read_text_lines(spark: SparkSession, path: str | Sequence[str], header: bool = False) -> DataFrame:

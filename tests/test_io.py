@@ -42,11 +42,17 @@ def test_append_table_twice(spark, tmp_dir):
 def test_bounded_broadcast(spark):
     small = spark.range(10)
     big = spark.range(1000)
-    hinted = bounded_broadcast(small, 100)
+    hinted = bounded_broadcast(small, 1000)
     assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
     plan = big.join(hinted, "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
-    assert bounded_broadcast(big, 100) is big  # over the bound: no hint, the planner decides
+    assert bounded_broadcast(big, 1000) is big  # over the bound: no hint, the planner decides
+
+
+def test_bounded_broadcast_measures_bytes_not_rows(spark):
+    wide = spark.range(3).selectExpr("id", "repeat('x', 100000) AS t", "array(id) AS a")
+    assert bounded_broadcast(wide, 10_000) is wide
+    assert bounded_broadcast(wide.select("id"), 10_000) is not wide
 
 
 def test_checkpoint_root_refuses_a_local_folder_on_a_cluster():
@@ -103,3 +109,27 @@ def test_preview_batches(spark, tmp_dir, capsys):
     stream = sources.read_file_stream(spark, f"{tmp_dir}/src", spark.read.parquet(f"{tmp_dir}/src").schema)
     sinks.preview_batches(stream, f"{tmp_dir}/ckpt", n=1, available_now=True).awaitTermination()
     assert "batch 0" in capsys.readouterr().out
+
+
+def test_rejects_do_not_depend_on_the_columns_selected(spark, tmp_dir):
+    import pytest
+
+    from keyreport.sources.files import read_delimited, read_delimited_with_rejects
+
+    spark.createDataFrame([("1,2",), ("x,2",), ("3",), ("4,5,6",)], "value string").coalesce(1).write.text(tmp_dir + "/b")
+    good, rejects = read_delimited_with_rejects(spark, tmp_dir + "/b", "a int, b int")
+    assert [tuple(r) for r in good.collect()] == [(1, 2)]
+    assert [tuple(r) for r in good.select("a").collect()] == [(1,)] and good.count() == 1
+    assert sorted(r[0] for r in rejects.select("_rejected_line").collect()) == ["3", "4,5,6", "x,2"] and rejects.count() == 3
+    for use in (lambda d: d.count(), lambda d: d.select("a").collect(), lambda d: d.collect()):
+        with pytest.raises(Exception, match="malformed line"):
+            use(read_delimited(spark, tmp_dir + "/b", "a int, b int"))
+    loose = read_delimited(spark, tmp_dir + "/b", "a int, b int", strict=False)
+    assert sorted(map(str, loose.collect())) == sorted(["Row(a=1, b=2)", "Row(a=None, b=2)", "Row(a=3, b=None)", "Row(a=4, b=5)"])
+
+
+def test_null_fields_stay_in_a_message(spark):
+    from keyreport.functions.shaping import encode_row
+
+    df = spark.createDataFrame([(1, None)], "a int, b string").select(encode_row("a", "b").alias("v"))
+    assert bytes(df.first()["v"]) == b'{"a":1,"b":null}'

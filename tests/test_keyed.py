@@ -1,5 +1,4 @@
 import collections
-import random
 
 
 from keyreport.operators import keyed as K
@@ -38,26 +37,29 @@ def brute_groups(data):
     return {k: sorted(c.items()) for k, c in g.items()}
 
 
-def test_group_by_key_small(spark):
-    df = pairs(spark)
-    got = K.group_by_key(df, "k", "v").collect()
-    assert all(r["chunk"] == 0 for r in got)
-    assert {r["k"]: [(i["v"], i["n"]) for i in r["items"]] for r in got} == brute_groups(PAIRS)
+def grouped(frame):
+    merged = collections.defaultdict(list)
+    for r in frame.collect():
+        merged[r["k"]].append((r["v"], r["n"]))
+    return {k: sorted(v) for k, v in merged.items()}
 
 
-def test_group_by_key_splits_hot_key(spark):
-    rnd = random.Random(7)
-    data = [("hot", rnd.randrange(500)) for _ in range(3000)] + [("cold", i) for i in range(3)] + [(None, 1)] * 4
-    df = spark.createDataFrame(data, "k string, v int").repartition(4)
-    got = K.group_by_key(df, "k", "v", chunk_rows=100).collect()
-    merged = collections.defaultdict(list)
-    chunks = collections.defaultdict(set)
-    for r in got:
-        merged[r["k"]] += [(i["v"], i["n"]) for i in r["items"]]
-        chunks[r["k"]].add(r["chunk"])
-        assert len(r["items"]) <= 250  # bounded rows, not one huge list
-    assert {k: sorted(v) for k, v in merged.items()} == brute_groups(data)
-    assert len(chunks["hot"]) > 1 and chunks["cold"] == {0}
+def test_group_by_key_small(spark):
+    out = K.group_by_key(pairs(spark), "k", "v")
+    assert out.columns == ["k", "v", "n"]
+    assert grouped(out) == brute_groups(PAIRS)
+
+
+def test_group_by_key_has_one_shape_for_any_size(spark):
+    small = [("small", i) for i in range(10)]
+    df = spark.createDataFrame(small, "k string, v int").union(
+        spark.range(250_000).selectExpr("'hot' AS k", "CAST(id % 200000 AS INT) AS v"))
+    out = K.group_by_key(df, "k", "v")
+    got = grouped(out)
+    assert got["small"] == [(i, 1) for i in range(10)]
+    assert got["hot"] == [(i, 2 if i < 50_000 else 1) for i in range(200_000)]
+    plan = out._jdf.queryExecution().toString()
+    assert plan.count("Exchange") >= 1 and "Join" not in plan
 
 
 def test_null_safe_condition(spark):

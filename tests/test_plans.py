@@ -5,24 +5,26 @@ import re
 
 import pytest
 
-import __spark_entry__ as ep
+from keyreport.plans import catalog as ep
+from keyreport.plans.reports import flight_delay_table, read_flights
 
 SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
-                "AggregateInPandas", "PythonUDF")
+                "AggregateInPandas", "MapInArrow", "PythonUDF")
 # Queries whose purpose is a user Python function.
-PYTHON_BY_DESIGN = {"process_rows", "map_values", "flat_map", "filter_rows", "combine_custom"}
+PYTHON_BY_DESIGN = {"process_rows", "map_values", "flat_map", "filter_rows", "combine_custom", "combine_bigint",
+                    "flat_map_records", "process_records"}
 # Queries that run a streaming query or write files first; their result is a file read.
 MATERIALIZED = {"stream_fixed", "stream_sliding", "stream_cogroup", "stream_foreach_batch", "delay_table",
                 "text_roundtrip", "csv_header_roundtrip", "report_roundtrip"}
 
 
 def plan(spark, name):
-    df = ep.queries()[name](spark, SF)
+    df = ep.QUERIES[name](spark, SF)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(ep.queries()) - PYTHON_BY_DESIGN - MATERIALIZED))
+@pytest.mark.parametrize("name", sorted(set(ep.QUERIES) - PYTHON_BY_DESIGN - MATERIALIZED))
 def test_core_queries_run_no_python(spark, name):
     p = plan(spark, name)
     assert not any(n in p for n in PYTHON_NODES), p
@@ -47,7 +49,44 @@ def test_filter_pushed_into_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(event_type,error\)", p), p
 
 
-@pytest.mark.parametrize("name", sorted(ep.queries()))
+@pytest.mark.parametrize("name", sorted(ep.QUERIES))
 def test_no_cross_or_nested_loop_join(spark, name):
     p = plan(spark, name)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def final_plan(df):
+    """The plan that ran: the adaptive one after execution."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_delay_table_joins_lines_and_orders_once(spark):
+    p = final_plan(ep.delay_table_rows(spark, SF))
+    assert p.count("lineitem.parquet") == 1 and p.count("orders.parquet") == 1
+    assert len(re.findall(r"[^d]Exchange (?:hash|range|Single|Round)", p)) <= 6
+
+
+def test_flight_table_reads_its_text_once(spark, tmp_dir):
+    spark.createDataFrame([("2019-01-01,1,1,A,B,1,1,1,5,1,1,1",)], "value string").write.text(tmp_dir + "/f")
+    p = final_plan(flight_delay_table(read_flights(spark, tmp_dir + "/f")))
+    assert p.count("FileScan") == 1
+
+
+def test_match_months_deals_no_raw_order_by_customer(spark):
+    p = plan(spark, "match_months")
+    assert p.count("orders.parquet") == 2 and p.count("lineitem.parquet") == 1 and p.count("customer.parquet") == 1
+    for exchange in re.findall(r"Exchange hashpartitioning\(o_custkey[^\n]*\n([^\n]*)", p):
+        assert "HashAggregate" in exchange
+
+
+def test_digit_filter_needs_no_exchange(spark):
+    assert "Exchange" not in plan(spark, "has_digit")
+
+
+def test_grouping_is_one_exchange(spark):
+    p = plan(spark, "group_values")
+    assert p.count("Exchange hashpartitioning") == 1 and "Join" not in p
+    p = plan(spark, "cogroup_full")
+    assert p.count("Exchange hashpartitioning") == 1 and "Join" not in p

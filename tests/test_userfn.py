@@ -39,4 +39,32 @@ def test_combine_per_key_two_levels(spark):
     out = U.combine_per_key(data(spark), "k", "v", lambda s: float(s.sum()), T.DoubleType(), "total")
     assert rows(out) == [("a", 18.0), ("b", 3.0), (None, 12.0)]
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "MapInPandas" in plan  # map-side combine before the shuffle
+    assert "MapInArrow" in plan  # map-side combine before the shuffle
+
+
+def test_combine_per_key_keeps_large_integers_beside_nulls(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(1, big), (1, None), (None, big), (None, 3), (2, None), (2**53 + 3, 1)], "k long, v long")
+    out = U.combine_per_key(df, "k", "v", lambda s: int(s.max()), T.LongType(), "m")
+    assert out.columns == ["k", "m"]
+    assert rows(out) == rows(spark.createDataFrame([(1, big), (None, big), (2, None), (2**53 + 3, 1)], "k long, m long"))
+
+
+def test_arguments_and_records(spark):
+    df = spark.createDataFrame([("a b", 1), ("c", 2), (None, 3)], "t string, v int")
+    plus = U.map_values(lambda s, by: s + by, T.IntegerType(), by=10)
+    assert rows(df.select(plus("v"))) == [(11,), (12,), (13,)]
+    assert U.filter_rows(df, lambda v, least: v >= least, "v", least=2).count() == 2
+
+    def tokens(record, sep):
+        for t in (record["t"] or "").split(sep):
+            yield {"t": t, "v": record["v"]}
+
+    assert rows(U.flat_map(df, U.per_record(tokens), "t string, v int", sep=" ")) == [("", 3), ("a", 1), ("b", 1), ("c", 2)]
+
+    class Even(U.RecordDoFn):
+        def process(self, record):
+            if record["v"] % 2 == 0:
+                yield {"v": record["v"]}
+
+    assert rows(U.par_do(df, Even(), "v int")) == [(2,)]
