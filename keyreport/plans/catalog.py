@@ -41,8 +41,10 @@ from keyreport.sinks.streams import publish_table, write_messages
 from keyreport.sources.files import (
     REJECT_COL, read_delimited, read_delimited_with_rejects, read_lines, read_report, read_table,
 )
-from keyreport.sources.streams import consume, read_messages, read_table_stream
-from keyreport.streaming.windows import run_to_files, windowed_aggregate, windowed_tagged_aggregate
+from keyreport.sources.streams import consume, read_file_stream, read_messages, read_table_stream
+from keyreport.streaming.windows import (
+    run_to_files, windowed_aggregate, windowed_cogroup, windowed_tagged_aggregate,
+)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -490,7 +492,10 @@ FROM ({_sliding_starts_sql("event_type, CAST(value AS DECIMAL(18,2)) AS v")})
 GROUP BY ALL
 """
 
-_CLOSED = "WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events)"
+# How far out of order events may arrive; windows close that much behind the latest.
+LATENESS = "1 day"
+_LATEST = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM events)"
+_CLOSED = f"WHERE window_end <= {_LATEST}"
 
 
 def _fixed_counts(df: DataFrame, lateness: str | None) -> DataFrame:
@@ -518,7 +523,7 @@ def q_sliding_window(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events table read as a file stream (each file once)."""
+    """The events table read as a file stream (each file once, batches by bytes)."""
     schema = t(spark, sf, "events").schema
     return read_table_stream(spark, sf, "events", schema)
 
@@ -527,16 +532,16 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
 def q_stream_fixed(spark: SparkSession, sf: str) -> DataFrame:
     """The fixed-window counts as a streaming query with a
     watermark; append mode emits each window once it is closed."""
-    return run_to_files(spark, _fixed_counts(event_stream(spark, sf), "0 seconds"), "stream_fixed")
+    return run_to_files(spark, _fixed_counts(event_stream(spark, sf), LATENESS), "stream_fixed")
 
 
 @query("stream_sliding", f"SELECT * FROM ({_SLIDING_SQL}) {_CLOSED}")
 def q_stream_sliding(spark: SparkSession, sf: str) -> DataFrame:
     """The sliding-window sums as a streaming query."""
-    return run_to_files(spark, _sliding_sums(event_stream(spark, sf), "0 seconds"), "stream_sliding")
+    return run_to_files(spark, _sliding_sums(event_stream(spark, sf), LATENESS), "stream_sliding")
 
 
-@query("stream_cogroup", f"""
+_STREAM_COGROUP_SQL = f"""
 SELECT * FROM (
   SELECT make_timestamp(s) AS window_start, make_timestamp(s + {_US[SLIDE_SIZE]}) AS window_end, user_id,
          CAST(SUM(CASE WHEN event_type = 'purchase' THEN v END) AS DOUBLE) AS purchase_total,
@@ -546,23 +551,62 @@ SELECT * FROM (
   FROM ({_sliding_starts_sql("user_id, event_type, CAST(value AS DECIMAL(18,2)) AS v",
                               "WHERE event_type IN ('purchase', 'view')")})
   GROUP BY ALL) {_CLOSED}
-""")
+"""
+
+
+def _totals_as_double(out: DataFrame) -> DataFrame:
+    return out.withColumn("purchase_total", F.col("purchase_total").cast("double")) \
+              .withColumn("view_total", F.col("view_total").cast("double"))
+
+
+@query("stream_cogroup", _STREAM_COGROUP_SQL)
 def q_stream_cogroup(spark: SparkSession, sf: str) -> DataFrame:
     """J3 + W8: purchases and views of one event stream co-grouped per sliding
     window and user: one scan of the stream, one stateful aggregate."""
     ev = event_stream(spark, sf).withColumn("value", F.col("value").cast(T.DecimalType(18, 2)))
     out = windowed_tagged_aggregate(ev, "ts", ["user_id"], "event_type", ["purchase", "view"], "value",
-                                    SLIDE_SIZE, SLIDE_PERIOD, "0 seconds")
-    out = out.withColumn("purchase_total", F.col("purchase_total").cast("double")) \
-             .withColumn("view_total", F.col("view_total").cast("double"))
-    return run_to_files(spark, out, "stream_cogroup")
+                                    SLIDE_SIZE, SLIDE_PERIOD, LATENESS)
+    return run_to_files(spark, _totals_as_double(out), "stream_cogroup")
+
+
+@query("stream_two_inputs", _STREAM_COGROUP_SQL)
+def q_stream_two_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    """J3 on two stream inputs: purchases and views, each a stream of its own, meet
+    in one stateful aggregate per sliding window and user."""
+    sides = {kind: event_stream(spark, sf).where(F.col("event_type") == kind)
+             .withColumn("value", F.col("value").cast(T.DecimalType(18, 2))) for kind in ("purchase", "view")}
+    out = windowed_cogroup(sides, "ts", ["user_id"], "value", SLIDE_SIZE, SLIDE_PERIOD, LATENESS)
+    return run_to_files(spark, _totals_as_double(out), "stream_two_inputs")
+
+
+@query("stream_late_rows", f"""
+WITH mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY AS seen FROM events WHERE event_id % 10 <> 0)
+SELECT window_start, window_end, event_type, COUNT(*) AS n FROM (
+  SELECT make_timestamp(s) AS window_start, make_timestamp(s + {_US[FIXED_SIZE]}) AS window_end, event_type, event_id
+  FROM (SELECT {_bucket_sql(FIXED_SIZE)} AS s, event_type, event_id FROM events))
+WHERE (event_id % 10 <> 0 OR window_end > (SELECT seen FROM mark)) AND window_end <= {_LATEST}
+GROUP BY ALL
+""")
+def q_stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """W6 with late rows: a tenth of all events arrives after the others. Rows whose
+    window had closed by then are dropped, the others are counted. The second run
+    resumes from the first one's checkpoint."""
+    base = scratch_dir(spark, "streams", "late")
+    events = t(spark, sf, "events", "event_id", "event_type", "ts")
+    late = F.col("event_id") % 10 == 0
+    out = None
+    for wave in (events.where(~late), events.where(late)):
+        wave.write.mode("append").parquet(f"{base}/in")
+        stream = read_file_stream(spark, f"{base}/in", events.schema)
+        out = run_to_files(spark, _fixed_counts(stream, LATENESS), "stream_late_rows", base=base)
+    return out
 
 
 @query("stream_foreach_batch", """
 SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type
 """)
 def q_stream_foreach_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """S6 + K7: a per-batch consumer. Each micro-batch is counted and written
+    """A per-batch consumer. Each micro-batch is counted and written
     under its batch id (overwrite, so a replayed batch is not counted twice);
     the offsets are committed after the handler returns."""
     base = scratch_dir(spark, "streams", "foreach_batch")
@@ -570,7 +614,7 @@ def q_stream_foreach_batch(spark: SparkSession, sf: str) -> DataFrame:
     def handle(batch: DataFrame, batch_id: int) -> None:
         count_per_key(batch, "event_type").write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
 
-    stream = read_table_stream(spark, sf, "events", t(spark, sf, "events").schema, max_files_per_trigger=1)
+    stream = read_table_stream(spark, sf, "events", t(spark, sf, "events").schema)
     q = consume(stream, handle, f"{base}/checkpoint", available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
@@ -593,7 +637,7 @@ def q_message_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     msgs = read_messages(spark, "parquet", "value binary, timestamp timestamp_ntz", path=f"{base}/topic")
     fields = msgs.select(decode_fields("value").alias("f"), "ts")
     rows = fields.select(F.get("f", 2).alias("event_type"), "ts")
-    counts = windowed_aggregate(rows, "ts", ["event_type"], FIXED_SIZE, {"n": F.count(F.lit(1))})
+    counts = windowed_aggregate(rows, "ts", ["event_type"], FIXED_SIZE, {"n": F.count(F.lit(1))}, lateness=LATENESS)
     out = counts.select(encode_row("window_start", "window_end", "event_type", "n").alias("value"))
     q = write_messages(out, f"{base}/checkpoint", fmt="parquet", available_now=True, path=f"{base}/out")
     q.awaitTermination()

@@ -9,28 +9,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-__all__ = ["read_file_stream", "read_table_stream", "read_messages", "consume"]
+# Input of one micro-batch; size it to the cluster (about 128 MB a core).
+MAX_BYTES = 64 << 30
+
+__all__ = ["MAX_BYTES", "read_file_stream", "read_table_stream", "read_messages", "consume"]
 
 
 def read_file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                     max_files_per_trigger: int | None = None, **options) -> DataFrame:
+                     max_bytes_per_trigger: int | None = MAX_BYTES, **options) -> DataFrame:
     """Files arriving in a folder (or matching a glob) as a stream; each new file
-    is read once, tracked in the query's checkpoint."""
+    is read once, tracked in the query's checkpoint. A micro-batch takes files up to
+    ``max_bytes_per_trigger`` (one at least; None: all there are), so neither a
+    backlog becomes one batch nor each small file a batch of its own."""
     reader = spark.readStream.format(fmt).schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.load(path)
 
 
 def read_table_stream(spark: SparkSession, base: str, name: str, schema: T.StructType,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
+                      max_bytes_per_trigger: int | None = MAX_BYTES) -> DataFrame:
     """The parquet table ``{base}/{name}.parquet`` (one file or a folder of part
     files) as a file stream."""
     base = base.rstrip("/")
     return read_file_stream(spark, f"{base}/{name}.parq[u]et", schema, "parquet",
-                            max_files_per_trigger, basePath=base)
+                            max_bytes_per_trigger, basePath=base)
 
 
 def read_messages(spark: SparkSession, fmt: str = "kafka", schema: T.StructType | str | None = None,
@@ -40,11 +45,15 @@ def read_messages(spark: SparkSession, fmt: str = "kafka", schema: T.StructType
     ``fmt`` is any streaming source with ``value`` and ``timestamp`` columns,
     e.g. ``kafka`` with ``kafka.bootstrap.servers`` and ``subscribe`` options,
     or a file format (give ``schema`` and a ``path`` option). A broker
-    connector jar must be on the classpath; it is not part of this library.
+    connector jar must be on the classpath; it is not part of this library. Bound
+    its batches with the source's own option (``maxOffsetsPerTrigger``); a file
+    format takes ``maxBytesPerTrigger``, ``MAX_BYTES`` if not given.
     """
     reader = spark.readStream.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
+    if schema is not None:
+        options = {"maxBytesPerTrigger": MAX_BYTES} | options
     for k, v in options.items():
         reader = reader.option(k, v)
     df = reader.load()

@@ -119,13 +119,13 @@ def windowed_cogroup(sides: Mapping[str, DataFrame], ts: str, keys: Sequence[str
     return windowed_tagged_aggregate(tagged, ts, keys, "__side", list(sides), value, size, period, lateness)
 
 
-def run_to_files(spark: SparkSession, stream: DataFrame, name: str,
-                 output_mode: str = "append") -> DataFrame:
+def run_to_files(spark: SparkSession, stream: DataFrame, name: str, output_mode: str = "append",
+                 base: str | None = None) -> DataFrame:
     """Run a streaming query over all input available now, appending its output
     to parquet under the shared checkpoint folder, and return that output as a
-    batch DataFrame. The query's checkpoint sits beside it, so a rerun after a
-    failure resumes without duplicate rows."""
-    base = scratch_dir(spark, "streams", name)
+    batch DataFrame. The query's checkpoint sits beside it (``base``: in that folder),
+    so a rerun after a failure, or with later input, resumes without duplicate rows."""
+    base = base or scratch_dir(spark, "streams", name)
     sink, ckpt = f"{base}/out", f"{base}/checkpoint"
     q = (stream.writeStream.format("parquet").outputMode(output_mode)
          .option("path", sink).option("checkpointLocation", ckpt)
