@@ -1,5 +1,6 @@
-"""Summarise the physical plan of every registered query (before execution, as
-AQE starts it): exchanges, join strategies, Python nodes and scan widths.
+"""Summarise the final physical plan of every registered query over the
+reference's operators (after execution): exchanges, join strategies, Python nodes
+and scan widths.
 
 usage: python tools/plan_report.py [sf_dir] > PLANS.md
 """
@@ -12,10 +13,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as ep  # noqa: E402
+from keyreport.plans.catalog import QUERIES, delay_table_rows  # noqa: E402
 from keyreport.session import build_session  # noqa: E402
 
-PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "AggregateInPandas", "FlatMapGroupsInPandas")
+PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "AggregateInPandas", "FlatMapGroupsInPandas")
 
 
 def summary(plan: str) -> dict:
@@ -37,16 +38,18 @@ def summary(plan: str) -> dict:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", 8)
-    print(f"# Physical plans of the registered queries\n\nGenerated by `tools/plan_report.py {sf}`: the plan "
-          "each query starts with (AQE may still turn a sort-merge join into a broadcast join, coalesce "
-          "partitions or split a skewed partition at run time). Streaming and file round-trip queries show "
-          "the plan of reading their written output; their streaming plans are covered by tests.\n")
+    spark = build_session("local[8]", 8, conf={"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    print(f"# Physical plans of the registered queries\n\nGenerated by `tools/plan_report.py {sf}`: the final "
+          "plan of each query after it ran, with runtime broadcasts off (as at scale). Queries that write "
+          "first (streams, files) show the plan of reading their output; `delay_table (before its write)` is "
+          "the frame that `delay_table` writes.\n")
     cols = ["exchanges", "broadcasts", "joins", "partial agg", "python", "scan cols", "pushed"]
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
-    for name, fn in ep.queries().items():
-        plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    for name, fn in [*QUERIES.items(), ("delay_table (before its write)", delay_table_rows)]:
+        df = fn(spark, sf)
+        df.collect() if name == "first_rows" else df._jdf.queryExecution().executedPlan().execute().count()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         s = summary(plan)
         print(f"| `{name}` | " + " | ".join(str(s[c]) for c in cols) + " |")
     spark.stop()
