@@ -53,6 +53,12 @@ from keyreport.llm.queries import query
 ONE_DELETION_BAND = 64
 # Counters of the table of element frequencies, whatever the corpus.
 COUNTERS = 1 << 18
+# Words of the sketches that blocks of members are compared by; members of a key in a
+# block; rows that one task compares with their pivots; pairs it holds at once.
+SHORT_WORDS = 16
+BLOCK = 512
+BLOCK_ROWS = 20_000
+HELD_PAIRS = 1 << 19
 
 
 def bands(num: int, den: int) -> np.ndarray:
@@ -166,11 +172,66 @@ def whole_sets(docs: DataFrame, n: int) -> DataFrame:
     def run(batches):
         for batch in chunks(batches):
             sets = list(shingle_sets(words(batch.column("text"), NOT_SPACE, LOWER), n))
+            sketches = [parity_sketch(u) for u in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").cast(pa.int64()), lists(sets), lists([parity_sketch(u) for u in sets])],
-                names=["doc", "s", "sketch"])
-
-    return docs.select("doc", "text").mapInArrow(run, "doc long, s array<long>, sketch array<long>")
+                [batch.column("doc").cast(pa.int64()), lists(sets), lists(sketches), lists([shortened(x) for x in sketches])],
+                names=["doc", "s", "sketch", "short"])
+
+    return docs.select("doc", "text").mapInArrow(
+        run, "doc long, s array<long>, sketch array<long>, short array<long>")
+
+
+def shortened(sketch: np.ndarray) -> np.ndarray:
+    while len(sketch) > SHORT_WORDS:
+        sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
+    return sketch
+
+
+def near_pairs(members: pa.Table, pivots: pa.Table, num: int, den: int) -> pa.Table:
+    """Pairs (member, pivot) of one key that may be linked by size, place and short
+    sketch. Pairs are formed in numpy, a bounded number at once; only these leave."""
+    found = []
+    if members.num_rows and pivots.num_rows:
+        m = {c: np.asarray(members[c]) for c in ("key", "blk", "doc", "n", "place", "c")}
+        p = {c: np.asarray(pivots[c]) for c in ("key", "blk", "doc", "n", "place", "c")}
+        sketch = []
+        for side in (members, pivots):
+            column = side["short"].combine_chunks()
+            flat, size = np.asarray(column.flatten()).view(U64), np.asarray(column.value_lengths())
+            # Every sketch at each length up to its own: column k holds 2^k words.
+            at = np.cumsum(size) - size
+            sketch.append([flat[at[:, None] + np.minimum(np.arange(1 << k), size[:, None] - 1)]
+                           for k in range(SHORT_WORDS.bit_length())] + [size])
+            for k in range(SHORT_WORDS.bit_length() - 2, -1, -1):
+                longer = np.flatnonzero(size > 1 << k)
+                x = sketch[-1][k + 1][longer]
+                sketch[-1][k][longer] = x[:, :1 << k] ^ x[:, 1 << k:]
+        with np.errstate(over="ignore"):
+            name = [mix(x["key"].view(U64) + x["blk"].astype(U64) * U64(0x9E3779B97F4A7C15)) for x in (m, p)]
+        order = np.argsort(name[1], kind="stable")
+        lo, hi = (np.searchsorted(name[1][order], name[0], side) for side in ("left", "right"))
+        until = np.cumsum(hi - lo)
+        cuts = np.unique(np.concatenate([[0], np.searchsorted(until, np.arange(HELD_PAIRS, until[-1], HELD_PAIRS)),
+                                         [len(lo)]]))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            count = hi[a:b] - lo[a:b]
+            i = np.repeat(np.arange(a, b), count)
+            j = order[np.repeat(lo[a:b] - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+            n, k = m["n"][i], p["n"][j]
+            most = (n + k) * (den - num)
+            ok = ((m["doc"][i] != p["doc"][j]) & (m["c"][i] != p["c"][j]) & (m["key"][i] == p["key"][j])
+                  & (np.minimum(n, k) * den >= np.maximum(n, k) * num)
+                  & ((m["place"][i] + p["place"][j]) * (den + num) <= most))
+            i, j, most = i[ok], j[ok], most[ok]
+            size = np.minimum(sketch[0][-1][i], sketch[1][-1][j])
+            keep = np.zeros(len(i), dtype=bool)
+            for w in range(SHORT_WORDS.bit_length()):
+                at = np.flatnonzero(size == 1 << w)
+                bits = np.bitwise_count(sketch[0][w][i[at]] ^ sketch[1][w][j[at]]).sum(axis=1, dtype=np.int64)
+                keep[at] = bits * (den + num) <= most[at]
+            found.append(np.stack([m["doc"][i[keep]], p["doc"][j[keep]]]))
+    a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
+    return pa.table({"a": i64(np.minimum(a, b)), "b": i64(np.maximum(a, b))})
 
 
 class _Links:
@@ -179,6 +240,8 @@ class _Links:
     def __init__(self, docs: DataFrame, ids: DataFrame, n: int, num: int, den: int):
         self.num, self.den, self.roots = num, den, None
         self.sets = written(whole_sets(join_small(docs, ids, "doc", "left_semi"), n), "jaccard-sets")
+        self.sketches = written(self.sets.select("doc", F.size("s").cast("long").alias("n"), "sketch", "short"),
+                                "jaccard-sketches")
 
     def may_link(self, na: Column, nb: Column, places: Column) -> Column:
         """Whether sets of these sizes can be linked, whose first common element
@@ -199,19 +262,20 @@ class _Links:
         apart = F.aggregate(F.zip_with(fold(x, y), fold(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))),
                             F.lit(0), lambda t, v: t + v)
         na, nb = F.col("n_a"), F.col("n_b")
-        sized = self.sets.select("doc", F.size("s").cast("long").alias("n"), "sketch")
-        left, right = (sized.select(F.col("doc").alias(z), F.col("n").alias(f"n_{z}"),
-                                    F.col("sketch").alias(f"sketch_{z}")) for z in "ab")
-        near = (pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
+        right = self.sketches.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+        left = self.sketches.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+        near = join_small(pairs, right, "b", row_bytes=F.size("sketch_b") * 8 + 48)
+        near = (join_small(near, left, "a", row_bytes=F.size("sketch_a") * 8 + 48)
                 .where(self.may_link(na, nb, F.lit(0)))
                 .where(apart * (self.den + self.num) <= (na + nb) * (self.den - self.num)).select("a", "b").distinct())
         near = written(near, "jaccard-near")
         if not near.isEmpty():
             ids = written(near.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "jaccard-near-ids")
-            sets = join_small(self.sets.select("doc", "s"), ids, "doc", "left_semi")
+            sets = written(join_small(self.sets.select("doc", "s"), ids, "doc", "left_semi"), "jaccard-near-sets")
             left, right = (sets.select(F.col("doc").alias(z), F.col("s").alias(f"s_{z}")) for z in "ab")
             both = F.size(F.array_intersect("s_a", "s_b")).cast("long")
-            near = (near.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
+            near = join_small(near, right, "b", row_bytes=F.size("s_b") * 8 + 32)
+            near = (join_small(near, left, "a", row_bytes=F.size("s_a") * 8 + 32)
                     .select("a", "b", both.alias("i"), (F.size("s_a") + F.size("s_b")).alias("t"))
                     .where(F.col("i") * self.den >= (F.col("t") - F.col("i")) * self.num).select("a", "b"))
             near = written(near, "jaccard-links")
@@ -221,9 +285,30 @@ class _Links:
             self.roots.select(F.col("id").alias("a"), F.col("root").alias("b")))
         self.roots = written(components(known, "jaccard-cc"), "jaccard-roots")
 
+    def in_blocks(self, bucket: DataFrame, pivots: DataFrame) -> DataFrame:
+        """Pairs of members and pivots of a key that may be linked, compared block by
+        block inside tasks: a key's members are dealt over blocks of about ``BLOCK``,
+        its pivots go to each of them."""
+        num, den = self.num, self.den
+        sizes = bucket.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        sizes = written(sizes, "jaccard-blocks")
+        total = bucket.count()
+        part = F.pmod(F.xxhash64("key", "blk"), F.lit(max(1, -(-total // BLOCK_ROWS)))).alias("part")
+        cols = ["key", F.col("blk").cast("long").alias("blk"), "doc", "n", F.col("place").cast("long").alias("place"), "c", "short"]
+        short = self.sketches.select("doc", "short")
+
+        def dealt(rows: DataFrame, blk: Column) -> DataFrame:
+            rows = join_small(rows.select("key", "doc", "n", "place", "c"), short, "doc", row_bytes=F.size("short") * 8 + 48)
+            return join_small(rows, sizes, "key").withColumn("blk", blk).select(part, *cols)
+
+        members = dealt(bucket, F.pmod(F.xxhash64("doc"), F.col("blocks")))
+        chosen = written(dealt(pivots, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "jaccard-pivots")
+        return members.groupBy("part").cogroup(chosen.groupBy("part")).applyInArrow(
+            lambda m, p: near_pairs(m, p, num, den), "a long, b long")
+
     def rounds(self, bucket: DataFrame, most: int | None) -> DataFrame | None:
-        """Up to ``most`` pivot rounds (None: until done, with twice the pivots each
-        time) over ``bucket(key, doc, n, place)``. Returns the rows of keys that
+        """Up to ``most`` pivot rounds (None: until done, with four times the
+        pivots each time) over ``bucket(key, doc, n, place)``. Returns the rows of keys that
         still hold several components, or None."""
         bucket = bucket.withColumn("c", F.col("doc"))
         pivots = bucket.groupBy("key").agg(F.min(F.struct("place", "doc", "n", "c")).alias("p")).select("key", "p.*")
@@ -231,11 +316,13 @@ class _Links:
         while True:
             chosen = pivots.select("key", F.col("doc").alias("pivot"), F.col("n").alias("pn"),
                                    F.col("place").alias("pp"), F.col("c").alias("pc"))
-            met = bucket.join(chosen, "key")
-            pairs = met.where("doc <> pivot AND c <> pc").where(
-                self.may_link(F.col("n"), F.col("pn"), F.col("place") + F.col("pp")))
-            pairs = pairs.select(F.least("pivot", "doc").alias("a"), F.greatest("pivot", "doc").alias("b")).distinct()
-            self.compare(pairs)
+            if most is None:
+                pairs = self.in_blocks(bucket, pivots)
+            else:
+                pairs = bucket.join(chosen, "key").where("doc <> pivot AND c <> pc").where(
+                    self.may_link(F.col("n"), F.col("pn"), F.col("place") + F.col("pp")))
+                pairs = pairs.select(F.least("pivot", "doc").alias("a"), F.greatest("pivot", "doc").alias("b"))
+            self.compare(pairs.distinct())
             rest = bucket.join(chosen.select("key", F.col("pivot").alias("doc")), ["key", "doc"], "left_anti")
             roots = self.roots.select(F.col("id").alias("doc"), "root")
             named = join_small(rest.drop("c"), roots, "doc", "left").withColumn("c", F.coalesce("root", "doc")).drop("root")
@@ -252,7 +339,7 @@ class _Links:
             if most is not None and done >= most:
                 return named.select("key", "doc")
             if most is None:
-                width *= 2
+                width *= 4
             # Next pivots: members of the key's smallest components, so one stranger among many copies ends in one round.
             groups = named.groupBy("key", "c").agg(F.count("*").alias("k"), F.min(F.struct("place", "doc", "n")).alias("p"))
             rank = F.row_number().over(Window.partitionBy("key").orderBy("k", "p"))
