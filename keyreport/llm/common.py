@@ -25,7 +25,7 @@ from keyreport.session import scratch_dir
 # Largest side (bytes of its rows, measured) that join_small may broadcast.
 BROADCAST_BYTES = 32 << 20
 # Text bytes handled at once inside a Python task.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 U64 = np.uint64
 

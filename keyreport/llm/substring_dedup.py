@@ -44,7 +44,7 @@ WIDTH = 20
 ROUNDS = 2
 FAR = np.int64(1) << 60
 # Windows a task holds to find equal ones among them.
-HELD_WINDOWS = 400_000
+HELD_WINDOWS = 200_000
 
 
 def recompress(h: np.ndarray, first: np.ndarray, rounds: int = ROUNDS):
