@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyreport.llm.common import table
+from keyreport.llm.common import table, written
 from keyreport.llm.queries import query
 from keyreport.session import scratch_dir
 
@@ -96,8 +96,9 @@ def op10_token_rollup(spark, sf_dir):
     ones; move English ones to version words-2; revise the counts of poor ones to
     words without punctuation. Two batches are then committed again."""
     rollup = TokenRollup(spark, scratch_dir(spark, "llm", "token-rollup"))
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", "lang", matches(WORDS_1).alias("w1"), matches(WORDS_2).alias("w2"))
+    # The texts are counted once; the batches read a narrow table.
+    docs = written(table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", matches(WORDS_1).alias("w1"), matches(WORDS_2).alias("w2")), "rollup-counts")
     labels = table(spark, sf_dir, "labels")
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
     poor = labels.where("quality = 0").select("doc_id").distinct()
