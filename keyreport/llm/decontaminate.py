@@ -12,10 +12,19 @@ of a class samples steps from a range as long as the class, always with step 0 a
 one of the next three, so that almost all document positions leave after two
 lookups. An item is indexed at three of its words (start, quarter, half), so an
 edit near the start doesn't hide it. Every word position of every document is
-walked. Collisions are verified by the exact word edit distance between
-the whole item and the best matching span around the position; an item is found if
-that is at most ``max_ratio`` of its words. ``repetitions`` follows from a target
-recall at ``recall_ratio`` (simulated with a fixed seed on the driver).
+walked. ``repetitions`` follows from a target recall at ``recall_ratio`` (simulated
+with a fixed seed on the driver) for items of 32 words.
+
+Longer and more edited items are found by straight walks, which always move on and
+keep every step. Of an item of n words with k edits, the n - k words or more that
+stay lie in at most k + 1 unbroken runs, so one run has at least
+``ceil((n - k) / (k + 1))`` words. With k the most edits that ``max_ratio`` allows,
+walks of that length are indexed from every word of the item. So whatever the exact
+distance would accept collides, at every size and ratio.
+
+Collisions are verified by the exact word edit distance between the whole item and
+the best matching span around the position; an item is found if that is at most
+``max_ratio`` of its words.
 
 The benchmark is sent to the tasks in slices of at most ``SLICE_BYTES`` of text; a
 larger one takes several passes. There is no shuffle, and a task holds one chunk.
@@ -82,12 +91,33 @@ def _next(acc: np.ndarray, word: np.ndarray) -> np.ndarray:
         return mix(acc * U64(0x9E3779B97F4A7C15) + word)
 
 
+def most_edits(size: int, max_ratio: float) -> int:
+    return int(max_ratio * size)
+
+
+def straight_anchors(h: np.ndarray, length: int, most: int) -> list[int]:
+    """Starts of runs of ``length`` words; of equal runs at most ``most // 2`` words
+    apart only the first, whose verification covers the others."""
+    last: dict[bytes, int] = {}
+    out = []
+    for a in range(len(h) - length + 1):
+        run = h[a:a + length].tobytes()
+        if run not in last or a - last[run] > most // 2:
+            last[run] = a
+            out.append(a)
+    return out
+
+
 class Walks:
-    """Index of items' sampled walks; items: list of (id, word hashes)."""
+    """Index of items' sampled walks; items: list of (id, word hashes). Straight walks
+    are added if ``max_ratio`` is given."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], repetitions: int):
+    def __init__(self, items: list[tuple[int, np.ndarray]], repetitions: int, max_ratio: float | None = None):
         self.items = items
         self.tables = []  # (coins, steps, Known per step, sorted final hashes, their (item, anchor))
+        self.straight = []  # (steps, Known per step, sorted final hashes, their (item, anchor))
+        if max_ratio is not None:
+            self._index_straight(max_ratio)
         by_class: dict[int, list[tuple[int, int]]] = {}
         for n, (_, h) in enumerate(items):
             for a in sorted({0, len(h) // 4, len(h) // 2}):
@@ -122,10 +152,26 @@ class Walks:
                     firsts += seen[0]
         self.first = Known(firsts)
 
+    def _index_straight(self, max_ratio: float) -> None:
+        by_length: dict[int, list[tuple[int, int]]] = {}
+        for n, (_, h) in enumerate(self.items):
+            most = most_edits(len(h), max_ratio)
+            length = max(1, -(-(len(h) - most) // (most + 1)))
+            by_length.setdefault(length, []).extend((n, a) for a in straight_anchors(h, length, most))
+        for length, anchors in sorted(by_length.items()):
+            seen, acc = [], np.array([self.items[n][1][a] for n, a in anchors], dtype=U64)
+            for k in range(length):
+                if k:
+                    acc = _next(acc, np.array([self.items[n][1][a + k] for n, a in anchors], dtype=U64))
+                seen.append(Known(acc))
+            order = np.argsort(acc, kind="stable")
+            self.straight.append((length, seen, acc[order], [anchors[x] for x in order.tolist()]))
+
     def candidates(self, h: np.ndarray):
         """(position, item, anchor) of colliding walks over the flat words ``h``."""
         start = self.first.holds(h)
-        longest = max((len(t[0]) for t in self.tables), default=0)
+        longest = max([len(t[0]) for t in self.tables] + [t[0] for t in self.straight], default=0)
+        size = len(h)
         h = np.concatenate([h, np.zeros(longest + 1, dtype=U64)])
         found = set()
         with np.errstate(over="ignore"):
@@ -144,6 +190,16 @@ class Walks:
                 left, right = np.searchsorted(final, acc, "left"), np.searchsorted(final, acc, "right")
                 for p, x, y in zip(pos.tolist(), left.tolist(), right.tolist(), strict=True):
                     found.update((p, *named[z]) for z in range(x, y))
+            for length, known, final, named in self.straight:
+                pos = known[0].holds(h[:size])
+                acc = h[pos]
+                for k in range(1, length):
+                    acc = _next(acc, h[pos + k])
+                    stay = known[k].holds(acc)
+                    pos, acc = pos[stay], acc[stay]
+                left, right = np.searchsorted(final, acc, "left"), np.searchsorted(final, acc, "right")
+                for p, x, y in zip(pos.tolist(), left.tolist(), right.tolist(), strict=True):
+                    found.update((p, *named[z]) for z in range(x, y))
         return found
 
 
@@ -165,17 +221,20 @@ def best_span(item: np.ndarray, span: np.ndarray) -> tuple[int, int]:
 def verified(walks: Walks, h: np.ndarray, first: np.ndarray, max_ratio: float):
     """Found items per document: (document, item, distance, first, last word, hits)."""
     best: dict[tuple[int, int], list] = {}
-    tried: dict[tuple[int, int], list[int]] = {}
+    ends: dict[tuple[int, int], int] = {}
+    tried: set[tuple[int, int, int]] = set()
     for p, n, a in sorted(walks.candidates(h)):
         doc = int(np.searchsorted(first, p, "right")) - 1
         item = walks.items[n][1]
-        most = int(max_ratio * len(item))
+        most = most_edits(len(item), max_ratio)
         lo, hi = int(first[doc]), int(first[doc + 1])
         begin = p - a
-        # One verification looks 2 * most words to both sides; nearer candidates are covered by it.
-        if any(abs(begin - x) <= most for x in tried.get((doc, n), ())):
+        # One verification looks 2 * most words to both sides, and a match may begin ``most`` words
+        # from its candidate. The other ``most`` is for left out anchors (half) and candidates (half).
+        near = (doc, n, begin // (most - most // 2 + 1))
+        if near in tried:
             continue
-        tried.setdefault((doc, n), []).append(begin)
+        tried.add(near)
         s = max(lo, begin - 2 * most)
         span = h[s:min(hi, begin + len(item) + 2 * most)]
         # Words that the span lacks are edits: a lower bound before the exact distance.
@@ -187,11 +246,14 @@ def verified(walks: Walks, h: np.ndarray, first: np.ndarray, max_ratio: float):
         _, back = best_span(item[::-1], span[:end][::-1])
         place = (s + end - back - lo, s + end - 1 - lo)
         old = best.get((doc, n))
+        # Candidates come in order of their position, and several may meet one place.
+        fresh = place[0] > ends.get((doc, n), -1)
+        if fresh:
+            ends[doc, n] = place[1]
         if old is None:
             best[doc, n] = [distance, *place, 1]
         else:
-            hits = old[3] + (place[0] > old[2] or place[1] < old[1])
-            best[doc, n] = [*min((distance, *place), tuple(old[:3])), hits]
+            best[doc, n] = [*min((distance, *place), tuple(old[:3])), old[3] + fresh]
     return [(doc, n, *v) for (doc, n), v in sorted(best.items())]
 
 
@@ -237,7 +299,7 @@ def _scan(texts: DataFrame, known: list, reps: int, max_ratio: float) -> DataFra
     sent = texts.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
-        walks = Walks(sent.value, reps)
+        walks = Walks(sent.value, reps, max_ratio)
         for batch in chunks(batches):
             w = words(batch.column("text"), WORD_BYTES, LOWER)
             rows = verified(walks, w.h, w.first, max_ratio)

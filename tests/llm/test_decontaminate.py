@@ -70,3 +70,46 @@ def test_exact_items_of_the_table(spark):
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate(docs, items).collect()}
     texts = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
     assert {(d, r["item_id"]) for r in items.collect() for d, t in texts if r["text"] in t} <= found
+
+
+def edited(rng, item, edits, words):
+    item = list(item)
+    for _ in range(edits):
+        at, kind = int(rng.integers(len(item))), int(rng.integers(3))
+        item[at:at + (kind != 2)] = [] if kind == 1 else [str(rng.choice(words))]
+    return item
+
+
+def test_long_and_much_edited_items_are_all_found(spark):
+    """Every planted copy that the exact distance accepts is found, at any size and ratio."""
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(4000)]
+    sizes = [5, 6, 9, 10, 14, 15, 16, 24, 32, 60, 64, 127, 128, 250, 255, 500]
+    items = [(k, list(rng.choice(words, sizes[k % len(sizes)]))) for k in range(2 * len(sizes))]
+    docs, planted = [], set()
+    for k, item in items:
+        for ratio in (0.1, 0.15, 0.19, 0.2):
+            for _ in range(3):
+                text = edited(rng, item, int(ratio * len(item)), words)
+                planted.add((len(docs), k))
+                docs.append((len(docs), " ".join([*rng.choice(words, 30), *text, *rng.choice(words, 30)])))
+        # One word in each stretch replaced: no longer unbroken run than the bound gives.
+        most = int(0.2 * len(item))
+        text = list(item)
+        for at in np.linspace(0, len(item) - 1, most + 2)[1:-1].round().astype(int):
+            text[at] = "other"
+        planted.add((len(docs), k))
+        docs.append((len(docs), " ".join(text)))
+    found = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame([(k, " ".join(x)) for k, x in items], "item_id long, text string"))
+    rows = {(r["doc_id"], r["item_id"]): r for r in found.collect()}
+    assert planted <= set(rows)
+    assert all(rows[x]["hits"] == 1 for x in planted)
+
+
+def test_items_of_repeated_words(spark):
+    items = [(1, "a " * 50), (2, "a b " * 40)]
+    docs = [(1, "x y " + "a " * 41 + "z " * 9), (2, "a " * 39 + "z " * 11), (3, "a b " * 20 + "c " + "a b " * 19)]
+    found = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["distance"]) for r in found} == {(1, 1, 9), (3, 2, 2)}
