@@ -12,8 +12,15 @@ over it on the driver:
   which lag behind grow dear against the rest;
 * a knapsack dynamic program over the capacity finds the pattern of highest price;
 * it is used as often as half the scarcest of its lengths allows. Uses are whole
-  numbers, so the solution is rounded as it grows; what stays of the histogram when
-  patterns are no longer full is packed best-fit by decreasing length.
+  numbers, so this solution is rounded as it grows; what stays of the histogram when
+  patterns are no longer full is packed best-fit by decreasing length;
+* if that needs more than ``GAP`` above the bound of the tokens, the program is solved
+  with fractional uses: a simplex method whose columns are the knapsack's patterns at
+  the dual prices, until the price of the dearest pattern proves that at most ``GAP``
+  is left to gain (or ``PIVOTS`` columns have entered). Uses are rounded down, what
+  stays is packed best-fit or by the same patterns, whichever takes fewer sequences:
+  at most one sequence per length above the program's optimum. The better of both
+  solutions is taken.
 
 Spark ranks the pieces of each length (in salted groups, so a length that a third
 of all pieces share is no single task) and finds each rank's pattern, sequence and
@@ -42,6 +49,8 @@ END_ID = 2
 RANKED = 100_000
 STEP = 0.5
 LEAST_FILL = 0.995
+GAP = 0.001
+PIVOTS = 1000
 
 
 def pieces(docs: DataFrame, capacity: int, end_id: int, with_ids: bool, json_path: str | None,
@@ -103,8 +112,96 @@ def dearest_pattern(lengths: np.ndarray, prices: np.ndarray, most: np.ndarray, c
     return {i: min(k, int(most[i])) for i, k in out.items()}
 
 
+def linear_program(sizes: np.ndarray, n: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Fractional cover of ``n`` pieces of each of ``sizes`` by patterns: the patterns
+    (one per row, times of each size), their uses, and a lower bound of any cover."""
+    m = len(sizes)
+    each = capacity // sizes
+    cost = np.ones(m)                   # 0: a column that takes one piece too many of a size
+    basis = np.diag(each).astype(float)  # columns
+    inverse = np.diag(1 / each)
+    uses = n / each
+    many = np.full(m, capacity, dtype=np.int64)
+    bound = 0.0
+    for turn in range(PIVOTS):
+        if turn % 64 == 63:
+            inverse = np.linalg.inv(basis)
+            uses = np.maximum(inverse @ n, 0)
+        prices = cost @ inverse
+        low = int(np.argmin(prices))
+        column = np.zeros(m)
+        if prices[low] < -1e-9:
+            column[low], price = -1, 0.0
+        else:
+            for i, k in dearest_pattern(sizes, np.maximum(prices, 0), many, capacity).items():
+                column[i] = k
+            price = 1.0
+            worth = float(prices @ column)
+            bound = max(bound, float(cost @ uses) / max(worth, 1.0))
+            if worth <= 1 + 1e-9 or cost @ uses <= (1 + GAP) * bound:
+                break
+        way = inverse @ column
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = np.where(way > 1e-9, uses / way, np.inf)
+        out = int(np.argmin(ratio))
+        if not np.isfinite(ratio[out]):
+            break
+        step = ratio[out]
+        uses = np.maximum(uses - step * way, 0)
+        uses[out] = step
+        row = inverse[out] / way[out]
+        inverse -= np.outer(way, row)
+        inverse[out] = row
+        basis[:, out], cost[out] = column, price
+    real = cost > 0
+    return basis.T[real].astype(np.int64), uses[real], bound
+
+
+def rounded(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """The linear program's cover in whole sequences that hold the histogram exactly."""
+    sizes = np.array(sorted(histogram), dtype=np.int64)
+    n = np.array([histogram[int(x)] for x in sizes], dtype=np.int64)
+    patterns, uses, _ = linear_program(sizes, n, capacity)
+    out = []
+
+    def use(left: np.ndarray, pattern: np.ndarray, times: int, into: list) -> None:
+        # A size of which fewer pieces are left is taken as often as it goes.
+        while times > 0:
+            pattern = np.minimum(pattern, left)
+            on = np.flatnonzero(pattern)
+            if not len(on):
+                return
+            now = min(times, int((left[on] // pattern[on]).min()))
+            left -= now * pattern
+            times -= now
+            into.append(({int(sizes[i]): int(pattern[i]) for i in on}, now))
+
+    left = n.copy()
+    for pattern, x in zip(patterns, uses, strict=True):
+        use(left, pattern, int(x + 1e-6), out)
+    again, rest = [], left.copy()
+    for k in np.argsort(-(uses + 1e-6) % 1, kind="stable"):
+        use(rest, patterns[k], 1, again)
+    again += best_fit({int(sizes[i]): int(rest[i]) for i in np.flatnonzero(rest)}, capacity)
+    fitted = best_fit({int(sizes[i]): int(left[i]) for i in np.flatnonzero(left)}, capacity)
+    return out + min(fitted, again, key=sequences)
+
+
+def sequences(configs: list[tuple[dict[int, int], int]]) -> int:
+    return sum(uses for _, uses in configs)
+
+
 def configurations(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
     """Patterns ({length: times}, number of sequences) that hold the histogram exactly."""
+    out = priced(histogram, capacity)
+    least = -(-sum(x * k for x, k in histogram.items()) // capacity)
+    if sequences(out) <= (1 + GAP) * least:
+        return out
+    return min(out, rounded(histogram, capacity), key=sequences)
+
+
+def priced(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Whole uses of patterns at multiplicative prices, then best fit."""
     out = []
     if histogram.get(capacity):
         out.append(({capacity: 1}, histogram[capacity]))

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from keyreport.llm.packing import configurations, pack
+from keyreport.llm.packing import configurations, linear_program, pack
 from keyreport.llm.tokens import JSON, encoder
 
 
@@ -60,6 +60,34 @@ def test_few_sequences_on_a_mixed_histogram():
     assert used <= 1.002 * -(-int(sizes.sum()) // 1024)
 
 
+def skewed():
+    rng = np.random.default_rng(3)
+    yield {532: 4000, 302: 2000, 278: 4000, 206: 6000}
+    yield {342: 9000, 171: 3000, 600: 2500, 100: 700}
+    for m in (3, 6, 12, 40):
+        sizes = rng.choice(np.arange(60, 700), m, replace=False)
+        yield {int(x): int(k) for x, k in zip(sizes, rng.integers(500, 20_000, m), strict=True)}
+    yield {int(x): int(k) for x, k in zip(range(520, 1000, 4), rng.integers(1, 900, 120), strict=True)}
+
+
+@pytest.mark.parametrize("histogram", list(skewed()))
+def test_few_sequences_on_skewed_histograms(histogram):
+    """Close to the configuration program's bound, also where no pattern is full."""
+    found = configurations(histogram, 1024)
+    total = Counter()
+    for pattern, uses in found:
+        assert uses > 0 and sum(x * k for x, k in pattern.items()) <= 1024
+        total.update({x: k * uses for x, k in pattern.items()})
+    assert total == Counter(histogram)
+    sizes = np.array(sorted(histogram))
+    bound = linear_program(sizes, np.array([histogram[int(x)] for x in sizes]), 1024)[2]
+    assert bound <= sum(uses for _, uses in found) <= 1.001 * bound + len(histogram)
+
+
+def test_the_best_packing_of_patterns_that_are_not_full():
+    assert sum(uses for _, uses in configurations({532: 4000, 302: 2000, 278: 4000, 206: 6000}, 1024)) == 5000
+
+
 def same_ids(text):
     assert encoder().ids_bytes(text) == np.array(WHOLE.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
