@@ -7,16 +7,17 @@ the last return the columns of ``documents``.
 1. ``language``: rows whose text has no letter, or whose calibrated language
    probability is below ``MIN_LANGUAGE_SCORE``, go.
 2. ``near_duplicates``: of each group linked by five-word shingles at a Jaccard
-   similarity of at least 0.8, the row with the smallest doc_id stays. Texts
-   without words are linked with nothing and stay.
+   similarity of at least 0.8, the row with the smallest doc_id (null ids last)
+   stays. Texts without words are linked with nothing and stay.
 3. ``substrings``: words covered by a repeated 20-word window that also starts
-   earlier go from the text; a text that loses nothing is unchanged; a row that
-   loses all its words goes.
+   earlier (by doc_id, null ids last, and place) go from the text; a text that
+   loses nothing is unchanged; a row that loses all its words goes.
 4. ``decontamination``: rows that hold a benchmark item go.
 5. ``packing``: the rest, tokenised and packed into sequences of 1024.
 
-Rows with a null doc_id can't be named by the pair operators: they pass stages 2
-and 4 unless judged by themselves. An empty table stays empty. Extra columns are
+Stages 2 to 4 give each of their rows a key of its own, written once, and judge rows
+by it: rows with a null or repeated doc_id are judged each by its own text. Rows that
+share an id are ordered by that key. An empty table stays empty. Extra columns are
 carried along up to the last stage.
 """
 
@@ -44,15 +45,42 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(sure).select("record.*")
 
 
+def keyed(docs: DataFrame, ordered: bool = False) -> tuple[DataFrame, str]:
+    """``docs`` with a unique number per row, written, and that column's name; if
+    ``ordered``, numbers grow with doc_id, nulls last."""
+    taken = {c.lower() for c in docs.columns}
+    key = "row_key"
+    while key in taken:
+        key += "_"
+    rows = docs.withColumn(key, F.monotonically_increasing_id())
+    if ordered:
+        # The number splits a frequent id over sorted partitions.
+        rows = rows.orderBy(F.col("doc_id").asc_nulls_last(), key).withColumn(key, F.monotonically_increasing_id())
+    return written(rows, "pipeline-rows"), key
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    return join_small(rows, gone, key, "left_anti").select(*(F.col(f"`{c}`") for c in columns))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     num, den = SIMILARITY
-    classes = ngram_jaccard(docs, n=SHINGLE_WORDS, num=num, den=den)
-    gone = classes.where("component_id <> doc_id").select("doc_id").distinct()
-    return join_small(docs, written(gone, "pipeline-near"), "doc_id", "left_anti")
+    rows, key = keyed(docs)
+    classes = ngram_jaccard(rows, n=SHINGLE_WORDS, num=num, den=den, id_col=key)
+    linked = written(classes.where("component_id <> doc_id")
+                     .select(F.col("doc_id").alias(key), F.col("component_id").alias("root")), "pipeline-linked")
+    roots = linked.select(F.col("root").alias(key), "root").distinct()
+    members = written(linked.union(roots), "pipeline-members")
+    ids = rows.select(key, F.col("doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", key)).alias("first")
+    stay = join_small(ids, members, key).groupBy("root").agg(first).select(F.col(f"first.{key}").alias(key))
+    gone = join_small(members.select(key), written(stay, "pipeline-stay"), key, "left_anti")
+    return without(rows, written(gone, "pipeline-near"), key, docs.columns)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = substring_dedup(docs, width=PASSAGE_WORDS, joined=False)
+    rows, key = keyed(docs, ordered=True)
+    kept = substring_dedup(rows, width=PASSAGE_WORDS, joined=False, id_col=key)
     changed = F.col("n_removed") > 0
     new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
     return kept.where("n_removed < n_words OR n_words = 0").select(*(
@@ -61,8 +89,10 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return join_small(docs, written(found, "pipeline-leaks"), "doc_id", "left_anti")
+    rows, key = keyed(docs)
+    found = decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col=key)
+    gone = found.select(F.col("doc_id").alias(key)).distinct()
+    return without(rows, written(gone, "pipeline-leaks"), key, docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,6 +63,34 @@ def test_clean_documents_stay(spark):
     assert len(ids) > 0.8 * docs.count()
 
 
+def test_null_and_repeated_ids(spark):
+    """Rows are judged each by its own text, whatever their ids."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
+    text = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    docs = lambda rows: written(spark.createDataFrame(
+        [(d, t, "en", "a", len(t)) for d, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long").coalesce(1), "test-ids")
+    got = lambda f: sorted(((r["doc_id"], r["text"]) for r in f.collect()), key=str)
+    want = lambda rows: sorted(rows, key=str)
+
+    rows = [(None, text("a")), (None, text("a")), (None, text("b")), (7, text("c")), (7, text("c")), (7, text("d")),
+            (3, text("e")), (9, text("e")), (9, text("f")), (None, text("g")), (5, text("g"))]
+    assert got(pipeline.near_duplicates(spark, docs(rows), SF)) == want(
+        [(None, text("a")), (None, text("b")), (7, text("c")), (7, text("d")), (3, text("e")), (9, text("f")),
+         (5, text("g"))])
+
+    p, q = text("p", 30), text("q", 30)
+    rows = [(None, f"{p} {text('h')}"), (None, f"{p} {text('i')}"), (4, f"{q} {text('j')}"), (4, f"{q} {text('k')}"),
+            (None, text("l")), (None, text("l")), (2, f"{text('m')} {q}")]
+    left = [t for _, t in got(pipeline.substrings(spark, docs(rows), SF))]
+    assert sum("p0 " in t for t in left) == 1 and sum("q0 " in t for t in left) == 1
+    assert sum("l0 " in t for t in left) == 1 and len(left) == 6
+    assert f"{text('m')} {q}" in left  # the smallest id comes first
+
+    rows = [(None, f"{text('r')} {item}"), (None, text("s")), (8, item), (8, text("t"))]
+    assert got(pipeline.decontamination(spark, docs(rows), SF)) == want([(None, text("s")), (8, text("t"))])
+
+
 def test_empty_table(spark, nothing):
     docs = nothing.select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in pipeline.STAGES:
