@@ -5,7 +5,8 @@ as a table in the shared folder and reads it back as the next stage's docs. All
 the last return the columns of ``documents``.
 
 1. ``language``: rows whose text has no letter, or whose calibrated language
-   probability is below ``MIN_LANGUAGE_SCORE``, go.
+   probability is below ``MIN_LANGUAGE_SCORE``, go. If no row that may be learned
+   from has a lang, nothing is known of languages and all texts with a letter stay.
 2. ``near_duplicates``: of each group linked by five-word shingles at a Jaccard
    similarity of at least 0.8, the row with the smallest doc_id (null ids last)
    stays. Texts without words are linked with nothing and stay.
@@ -40,7 +41,10 @@ PASSAGE_WORDS = 20
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = predict(docs, fit(docs))
+    model = fit(docs)
+    if not model.labels:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = predict(docs, model)
     sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
     return found.where(sure).select("record.*")
 

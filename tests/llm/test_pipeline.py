@@ -63,6 +63,13 @@ def test_clean_documents_stay(spark):
     assert len(ids) > 0.8 * docs.count()
 
 
+def test_documents_without_any_language_stay(spark):
+    docs = spark.createDataFrame([(1, "One two", None), (2, "12 34", None), (3, None, None), (4, "été 中文", None)],
+                                 "doc_id long, text string, lang string")
+    out = pipeline.language(spark, docs, SF)
+    assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == [1, 4]
+
+
 def test_null_and_repeated_ids(spark):
     """Rows are judged each by its own text, whatever their ids."""
     item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
