@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from keyreport.llm import (  # noqa: F401
-    decontaminate, language_id, license_scan, ngram_jaccard, packing, sharding, substring_dedup, token_rollup, topk, url_filter,
+    decontaminate, language_id, license_scan, line_dedup, ngram_jaccard, packing, sharding, substring_dedup, token_rollup, topk,
+    url_filter,
 )
 from keyreport.llm.queries import ORACLE_SQL, QUERIES
 
