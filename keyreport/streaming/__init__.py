@@ -2,3 +2,4 @@
 and give DataFrames and serve batch and streaming frames alike."""
 
 from keyreport.streaming.windows import *  # noqa: F401,F403
+from keyreport.streaming.state import *  # noqa: F401,F403

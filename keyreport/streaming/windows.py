@@ -12,7 +12,10 @@ arrives is dropped and counted in ``numRowsDroppedByWatermark``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+import re
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +24,9 @@ from pyspark.sql import types as T
 from keyreport.session import scratch_dir
 
 __all__ = [
-    "EVENT_TIME", "as_event_time", "fixed_window", "sliding_window",
+    "EVENT_TIME", "as_event_time", "window_bound", "fixed_window", "sliding_window",
     "windowed_aggregate", "windowed_tagged_aggregate", "windowed_cogroup", "run_to_files",
+    "Measure", "sum_of", "count_of", "min_of", "max_of", "mean_of", "pane_aggregate", "windowed_outer_join",
 ]
 
 EVENT_TIME = "__event_time"
@@ -44,7 +48,7 @@ def as_event_time(df: DataFrame, ts: str, out: str = EVENT_TIME) -> tuple[DataFr
     return df.withColumn(out, col), ntz
 
 
-def _bound(c: Column, ntz: bool) -> Column:
+def window_bound(c: Column, ntz: bool) -> Column:
     """A window bound back in the input's type (UTC wall-clock for NTZ)."""
     if not ntz:
         return c
@@ -75,11 +79,119 @@ def windowed_aggregate(df: DataFrame, ts: str, keys: Sequence[str], size: str,
         df = df.withWatermark(EVENT_TIME, lateness)
     w = sliding_window(EVENT_TIME, size, period) if period else fixed_window(EVENT_TIME, size)
     out = df.groupBy(w.alias("window"), *keys).agg(*[c.alias(n) for n, c in aggs.items()])
-    return out.select(_bound(F.col("window.start"), ntz).alias("window_start"),
-                      _bound(F.col("window.end"), ntz).alias("window_end"),
+    return out.select(window_bound(F.col("window.start"), ntz).alias("window_start"),
+                      window_bound(F.col("window.end"), ntz).alias("window_end"),
                       *keys, *aggs.keys())
 
 
+@dataclass(frozen=True)
+class Measure:
+    """An aggregate in two steps: ``parts`` over rows, each merged by the function beside
+    it, and ``final`` over the merged parts."""
+    parts: Sequence[tuple[Column, Callable[[Column], Column]]]
+    final: Callable[..., Column] = staticmethod(lambda part: part)
+
+
+def _c(col: str | Column) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
+def sum_of(col: str | Column) -> Measure:
+    return Measure([(F.sum(_c(col)), F.sum)])
+
+
+def count_of(col: str | Column | None = None) -> Measure:
+    """Rows, or rows whose ``col`` isn't NULL."""
+    return Measure([(F.count(F.lit(1) if col is None else _c(col)), F.sum)])
+
+
+def min_of(col: str | Column) -> Measure:
+    return Measure([(F.min(_c(col)), F.min)])
+
+
+def max_of(col: str | Column) -> Measure:
+    return Measure([(F.max(_c(col)), F.max)])
+
+
+def mean_of(col: str | Column) -> Measure:
+    """The mean as a double; NULL values don't count."""
+    return Measure([(F.sum(_c(col)), F.sum), (F.count(_c(col)), F.sum)],
+                   lambda total, n: F.when(n > 0, total.cast("double") / n))
+
+
+# Lengths of the interval units that have one.
+_UNITS = {"microsecond": 1, "millisecond": 10**3, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6,
+          "day": 86400 * 10**6, "week": 7 * 86400 * 10**6}
+
+
+def _micros(interval: str) -> int:
+    found = re.findall(r"(\d+)\s+([a-z]+?)s?(?=\s|$)", interval.lower())
+    if not found or any(u not in _UNITS for _, u in found):
+        raise ValueError(f"not a fixed interval: {interval!r}")
+    return sum(int(n) * _UNITS[u] for n, u in found)
+
+
+def pane_aggregate(df: DataFrame, ts: str, keys: Sequence[str], size: str, period: str,
+                   measures: Mapping[str, Measure], lateness: str | None = "0 seconds") -> DataFrame:
+    """Sliding windows over panes: ``window_start, window_end, keys..., measures``, the rows of
+    ``windowed_aggregate`` with the same window.
+
+    Every row falls into one pane, as long as the greatest common divisor of ``size`` and
+    ``period``, and is aggregated there once (map-side combined); only panes are copied
+    into the size / period windows that hold them. So a day every minute costs a row one
+    update rather than 1,440. On a stream both steps are stateful operators of one
+    query; the first keeps a state row per open pane and key, the second one per open
+    window and key.
+    """
+    pane = math.gcd(_micros(size), _micros(period))
+    df, ntz = as_event_time(df, ts)
+    if lateness is not None:
+        df = df.withWatermark(EVENT_TIME, lateness)
+    parts = {f"__p{i}_{j}": part for i, m in enumerate(measures.values()) for j, part in enumerate(m.parts)}
+    panes = df.groupBy(F.window(EVENT_TIME, f"{pane} microseconds").alias("__pane"), *keys).agg(
+        *[step.alias(name) for name, (step, _) in parts.items()])
+    # The last instant of a pane is in the same windows as all its rows.
+    wide = F.window(F.window_time("__pane"), size, period).alias("window")
+    out = panes.groupBy(wide, *keys).agg(*[merge(F.col(name)).alias(name) for name, (_, merge) in parts.items()])
+    finals = [m.final(*[F.col(f"__p{i}_{j}") for j in range(len(m.parts))]).alias(name)
+              for i, (name, m) in enumerate(measures.items())]
+    return out.select(window_bound(F.col("window.start"), ntz).alias("window_start"),
+                      window_bound(F.col("window.end"), ntz).alias("window_end"), *keys, *finals)
+
+
+def windowed_outer_join(sides: Mapping[str, tuple[DataFrame, Mapping[str, Column]]], ts: str, keys: Sequence[str],
+                        size: str, period: str | None = None, lateness: str | None = "0 seconds") -> DataFrame:
+    """Two inputs, each aggregated per (window, keys) by aggregates of its own, met in a full
+    outer join: ``window_start, window_end, keys..., <tag>_<name>...`` with NULL where a
+    side has no row. NULL keys meet.
+
+    On streams this is two stateful aggregates with a watermark each and a stream-stream
+    join: a closed window waits in the join's state for the other side and comes out
+    alone once the later of both watermarks has passed its end. Sides that are sums and
+    counts need no join, see ``windowed_cogroup``; this is for any other aggregates.
+    """
+    if len(sides) != 2:
+        raise ValueError("a windowed outer join has two sides")
+    frames, ntz = [], False
+    for tag, (df, aggs) in sides.items():
+        df, ntz = as_event_time(df, ts)
+        if lateness is not None:
+            df = df.withWatermark(EVENT_TIME, lateness)
+        w = sliding_window(EVENT_TIME, size, period) if period else fixed_window(EVENT_TIME, size)
+        frames.append(df.groupBy(w.alias(f"{tag}_window"), *[F.col(k).alias(f"{tag}__{k}") for k in keys]).agg(
+            *[c.alias(f"{tag}_{n}") for n, c in aggs.items()]))
+    (a, b), (left, right) = sides, frames
+    met = F.col(f"{a}_window") == F.col(f"{b}_window")
+    for k in keys:
+        met = met & F.col(f"{a}__{k}").eqNullSafe(F.col(f"{b}__{k}"))
+    both = left.join(right, met, "full_outer")
+    window = F.coalesce(f"{a}_window", f"{b}_window")
+    return both.select(
+        window_bound(window["start"], ntz).alias("window_start"), window_bound(window["end"], ntz).alias("window_end"),
+        *[F.coalesce(f"{a}__{k}", f"{b}__{k}").alias(k) for k in keys],
+        *[f"{tag}_{n}" for tag, (_, aggs) in sides.items() for n in aggs])
+
+
 def windowed_tagged_aggregate(df: DataFrame, ts: str, keys: Sequence[str], tag: str | Column,
                               tags: Sequence[str], value: str, size: str, period: str | None = None,
                               lateness: str | None = "0 seconds") -> DataFrame:
