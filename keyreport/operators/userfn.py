@@ -6,8 +6,10 @@ Arrow-batched pandas calls so that a batch, not a row, crosses into Python.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -15,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-__all__ = ["map_values", "flat_map", "filter_rows", "par_do", "per_record", "combine_per_key", "DoFn", "RecordDoFn"]
+__all__ = ["map_values", "flat_map", "filter_rows", "par_do", "per_record", "combine_per_key", "combine_accumulators",
+           "CombineFn", "DoFn", "RecordDoFn"]
 
 
 def map_values(fn: Callable[..., pd.Series], return_type: T.DataType | str, **arguments) -> Callable[..., Column]:
@@ -112,52 +115,132 @@ def par_do(df: DataFrame, do_fn: DoFn, schema: T.StructType | str) -> DataFrame:
     return df.mapInPandas(run, schema)
 
 
-def combine_per_key(df: DataFrame, keys: str | Sequence[str], value: str,
-                    combine: Callable[[pd.Series], object], return_type: T.DataType | str,
-                    alias: str = "combined") -> DataFrame:
-    """``CombinePerKey(fn)`` with a Python combine function.
+class CombineFn:
+    """A combiner with an accumulator of its own type: ``create``, ``add`` a batch of
+    values, ``merge`` accumulators in any order and grouping, ``extract`` the result.
 
-    ``combine`` maps a Series of values to one value and, as for any combiner,
-    must be associative and commutative (``combine`` of partial results equals
-    ``combine`` of all values). It runs first inside each input partition, over
-    Arrow batches, so only one partial row per key and partition is shuffled;
-    then once more per key over those partials. A hot key therefore never sends
-    its raw values to one task. NULL values are left out before Python sees them (so a
-    BIGINT stays one); a key with NULLs only has a NULL result.
+    ``state_type`` and ``result_type`` are DDL types; a struct is a dict and an array a
+    list in Python. Values come as an Arrow array without NULLs."""
+
+    state_type: str
+    result_type: str
+
+    def create(self):
+        return None
+
+    def add(self, state, values: pa.Array):
+        raise NotImplementedError
+
+    def merge(self, states: list):
+        raise NotImplementedError
+
+    def extract(self, state):
+        return state
+
+
+class _Plain(CombineFn):
+    """One function of a Series, for values, partial results and the result alike."""
+
+    def __init__(self, combine: Callable[[pd.Series], object], result_type: str):
+        self.combine, self.state_type, self.result_type = combine, result_type, result_type
+
+    def add(self, state, values: pa.Array):
+        return self.combine(values.to_pandas())
+
+    def merge(self, states: list):
+        # Through Arrow, so that whole numbers stay such.
+        return self.combine(pa.array(states).to_pandas())
+
+
+# Keys a task holds before it sends their accumulators on.
+HELD_KEYS = 100_000
+
+
+def combine_accumulators(df: DataFrame, keys: str | Sequence[str], value: str, fn: CombineFn,
+                         alias: str = "combined", merge_tasks: int = 1) -> DataFrame:
+    """``CombinePerKey(fn)`` with an accumulator: ``keys..., alias``.
+
+    One scan and one shuffle: each input task adds its values batch by batch, at most
+    ``HELD_KEYS`` keys at a time, and sends an accumulator per key, never values;
+    accumulators of a key are merged behind the shuffle. ``merge_tasks`` above 1 merges
+    in that many tasks per key first, for large accumulators of hot keys. NULL keys are a
+    key. NULL values are left out; a key with NULLs only has a NULL result.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    rtype = return_type if isinstance(return_type, str) else return_type.simpleString()
     codes = [f"__k{i}" for i in range(len(keys))]
-    partial_schema = ", ".join(
-        [f"`{c}` {df.schema[k].dataType.simpleString()}" for c, k in zip(codes, keys)] + [f"__partial {rtype}"])
-    arrow_type = to_arrow_type(df.sparkSession.createDataFrame([], f"x {rtype}").schema["x"].dataType)
+    types = [f"`{c}` {df.schema[k].dataType.simpleString()}" for c, k in zip(codes, keys)]
+    state_schema = ", ".join([*types, f"__state {fn.state_type}"])
+    arrow_type = to_arrow_type(df.sparkSession.createDataFrame([], f"x {fn.state_type}").schema["x"].dataType)
 
-    def reduce_table(table: pa.Table) -> pa.Table:
+    def grouped(table: pa.Table) -> tuple[pa.Table, list[pa.Array]]:
         # Keys are numbered in Arrow, so a NULL among them changes no type.
-        number = table.select(codes).append_column("__n", pa.array(range(table.num_rows), pa.int64()))
+        number = table.select(codes).append_column("__n", pa.array(np.arange(table.num_rows)))
         groups = number.group_by(codes, use_threads=False).aggregate([("__n", "list")])
-        values = table.column("__partial").to_pandas()
-        out = [combine(values.iloc[rows]) for rows in groups.column("__n_list").to_pylist()]
-        return groups.select(codes).append_column("__partial", pa.array(out, arrow_type, from_pandas=True))
+        rows = groups.column("__n_list").combine_chunks()
+        cut = rows.offsets.to_numpy()
+        return groups.select(codes), [rows.values.slice(a, b - a) for a, b in itertools.pairwise(cut)]
+
+    def with_states(groups: pa.Table, states: list) -> pa.Table:
+        return groups.append_column("__state", pa.array(states, arrow_type, from_pandas=True))
+
+    def added(batch: pa.RecordBatch) -> pa.Table:
+        table = pa.Table.from_batches([batch])
+        groups, rows = grouped(table)
+        values = batch.column("__value")
+        parts = [values.take(r).drop_null() for r in rows]
+        return with_states(groups, [fn.add(fn.create(), v) if len(v) else None for v in parts])
+
+    def merged(tables: list[pa.Table]) -> pa.Table:
+        table = pa.concat_tables(tables)
+        groups, rows = grouped(table)
+        states = table.column("__state").to_pylist()
+        return with_states(groups, [_merge(fn, [states[i] for i in r.to_numpy()]) for r in rows])
 
     def map_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[pa.Table] = []
         for batch in batches:
             if batch.num_rows:
-                parts.append(reduce_table(pa.Table.from_batches([batch])))
-            if len(parts) >= 64:  # keep memory bounded by distinct keys
-                parts = [reduce_table(pa.concat_tables(parts))]
+                parts.append(added(batch))
+            if len(parts) >= 64 or sum(p.num_rows for p in parts) > HELD_KEYS:
+                parts = [merged(parts)]
+                if parts[0].num_rows > HELD_KEYS:
+                    yield from parts.pop().to_batches()
         if parts:
-            yield from reduce_table(pa.concat_tables(parts)).to_batches()
-
-    @F.pandas_udf(rtype)
-    def final(s: pd.Series) -> object:
-        return combine(s)
-
-    rows = df.select(*[F.col(k).alias(c) for k, c in zip(keys, codes)], F.col(value).alias("__partial"))
-    # The final aggregate meets no NULL either; keys without a value are added natively.
-    partial = rows.where("__partial IS NOT NULL").mapInArrow(map_side, partial_schema)
-    found = partial.groupBy(*codes).agg(final(F.col("__partial")).alias(alias))
-    bare = rows.groupBy(*codes).agg(F.count("__partial").alias("__v")).where("__v = 0").select(
-        *codes, F.lit(None).cast(rtype).alias(alias))
-    return found.union(bare).select(*[F.col(c).alias(k) for c, k in zip(codes, keys)], alias)
+            yield from merged(parts).to_batches()
+
+    def merge_all(states: pa.Array) -> object:
+        return _merge(fn, states.to_pylist())
+
+    def final(states: pa.Array) -> object:
+        state = _merge(fn, states.to_pylist())
+        return None if state is None else fn.extract(state)
+
+    for call in (merge_all, final):
+        call.__annotations__ = {"states": pa.Array, "return": object}
+    rows = df.select(*[F.col(k).alias(c) for k, c in zip(keys, codes)], F.col(value).alias("__value"))
+    partial = rows.mapInArrow(map_side, state_schema)
+    if merge_tasks > 1:
+        salted = partial.withColumn("__salt", F.spark_partition_id() % merge_tasks)
+        partial = salted.groupBy(*codes, "__salt").agg(F.arrow_udf(merge_all, fn.state_type)("__state").alias("__state"))
+    found = partial.groupBy(*codes).agg(F.arrow_udf(final, fn.result_type)("__state").alias(alias))
+    return found.select(*[F.col(c).alias(k) for c, k in zip(codes, keys)], alias)
+
+
+def _merge(fn: CombineFn, states: list):
+    known = [s for s in states if s is not None]
+    return known[0] if len(known) == 1 else fn.merge(known) if known else None
+
+
+def combine_per_key(df: DataFrame, keys: str | Sequence[str], value: str,
+                    combine: Callable[[pd.Series], object], return_type: T.DataType | str,
+                    alias: str = "combined") -> DataFrame:
+    """``CombinePerKey(fn)`` with a Python combine function.
+
+    ``combine`` maps a Series of values to one value and, as for any combiner,
+    must be associative and commutative (``combine`` of partial results equals
+    ``combine`` of all values). It is a ``CombineFn`` whose accumulator is the result: see
+    ``combine_accumulators`` for the plan. NULL values are left out before Python sees
+    them (so a BIGINT stays one); a key with NULLs only has a NULL result.
+    """
+    rtype = return_type if isinstance(return_type, str) else return_type.simpleString()
+    return combine_accumulators(df, keys, value, _Plain(combine, rtype), alias)

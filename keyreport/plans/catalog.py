@@ -938,4 +938,4 @@ def q_report_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Further queries register themselves here.
-from keyreport.plans import catalog_streams  # noqa: E402,F401
+from keyreport.plans import catalog_functions, catalog_streams  # noqa: E402,F401
