@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 __all__ = [
     "WHITESPACE_CLASS", "SPLIT_PATTERN", "DIGIT_CLASS", "literal_regex", "split_fields", "tokens",
-    "explode_tokens", "named_record", "with_year_month", "year_month",
+    "explode_tokens", "named_record", "zip_to_map", "map_names", "map_columns", "with_year_month", "year_month",
     "composite_key", "unpack_key", "key_by", "clamp_min", "round_half_up", "python_round", "join_fields",
     "nest", "flatten_struct", "first_of_lists", "decode_fields", "encode_row",
     "parse_int", "parse_number",
@@ -85,6 +85,41 @@ def named_record(arr: str | Column, names: Sequence[str], strict: bool = False)
     return [F.get(a, i).alias(n) for i, n in enumerate(names)]
 
 
+def zip_to_map(names: str | Column, values: str | Column) -> Column:
+    """``dict(zip(names, values))`` of two arrays, for names that are data: the shorter one
+    decides, of a repeated name the last value counts, NULL names are left out."""
+    n, v = _c(names), _c(values)
+
+    def pairs(both: Column) -> Column:
+        size = F.least(F.size(both["n"]), F.size(both["v"]))
+        used = F.slice(both["n"], 1, size)
+        entries = F.transform(used, lambda name, i: F.struct(name.alias("k"), F.get(both["v"], i).alias("x"), i.alias("i")))
+        last = lambda e: F.array_position(F.reverse(used), e["k"]) == size - e["i"]
+        kept = F.filter(entries, lambda e: e["k"].isNotNull() & last(e))
+        return F.map_from_arrays(kept["k"], kept["x"])
+
+    # The lambda's variable holds both arrays, so they are computed once per row.
+    return F.get(F.transform(F.array(F.struct(n.alias("n"), v.alias("v"))), pairs), 0)
+
+
+def map_names(df: DataFrame, col: str, alias: str = "n") -> DataFrame:
+    """The names that occur in a map column, with the number of rows that have them."""
+    return df.select(F.explode(F.map_keys(col)).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias(alias))
+
+
+def map_columns(df: DataFrame, col: str, names: Sequence[str] | None = None, max_names: int = 1000) -> DataFrame:
+    """A map column as one column per name, beside the other columns; NULL where a row has
+    no such name. Without ``names`` they are found in the data first (one aggregate), sorted;
+    more than ``max_names`` are an error, as no table is that wide."""
+    if names is None:
+        found = map_names(df, col).select("name").orderBy("name").limit(max_names + 1).collect()
+        if len(found) > max_names:
+            raise ValueError(f"{col} holds more than {max_names} names")
+        names = [r["name"] for r in found]
+    others = [c for c in df.columns if c != col]
+    return df.select(*[F.col(f"`{c}`") for c in others], *[F.try_element_at(col, F.lit(n)).alias(n) for n in names])
+
+
 def year_month(date_col: str | Column) -> Column:
     """``YYYY-MM`` from a date text (first two ``-`` parts) or a date/timestamp."""
     c = _c(date_col)

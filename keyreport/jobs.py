@@ -3,7 +3,7 @@
     python -m keyreport.jobs delay-report  --input flights/ --header --output out/
     python -m keyreport.jobs delay-table   --input flights/ --header --table db.delays [--path p]
     python -m keyreport.jobs monthly-report --cases cases/ --rain rain/ --output report/
-    python -m keyreport.jobs tokens        --input text/ --output counts/ [--words quatro,três]
+    python -m keyreport.jobs tokens        --input text/ --output counts/ [--words blue,green]
     python -m keyreport.jobs stream-delay-report --source-format kafka \\
         --source-option kafka.bootstrap.servers=h:9092 --source-option subscribe=flights \\
         --window "5 seconds" [--period "5 seconds"] --sink-format kafka \\

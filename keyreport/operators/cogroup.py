@@ -45,7 +45,7 @@ def cogroup(sides: Mapping[str, DataFrame], keys: str | Sequence[str],
     so the shape doesn't depend on a group's size and a hot key meets no single task.
 
     ``require_all`` keeps only keys present on every side, by a semi-join with one
-    pre-aggregated row per key (NULL keys meet).
+    row per key that is aggregated from these rows (NULL keys meet).
     """
     keys = _keys(keys)
     tags = list(sides)
@@ -53,10 +53,11 @@ def cogroup(sides: Mapping[str, DataFrame], keys: str | Sequence[str],
     out = long.groupBy(*keys, TAG, *tags).agg(F.count(F.lit(1)).alias(count_col))
     if not require_all:
         return out
-    has = [F.max((F.col(TAG) == t).cast("int")).alias(f"__has_{i}") for i, t in enumerate(tags)]
-    present = long.groupBy(*keys).agg(*has)
+    # Both uses of ``out`` need all its columns, so its one scan and shuffle serves both.
+    has = [F.max(F.when(F.col(TAG) == t, F.col(count_col))).alias(f"__has_{i}") for i, t in enumerate(tags)]
+    present = out.groupBy(*keys).agg(*has)
     for i in range(len(tags)):
-        present = present.where(F.col(f"__has_{i}") == 1)
+        present = present.where(F.col(f"__has_{i}") > 0)
     names = [f"__k{i}" for i in range(len(keys))]
     present = present.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
     return out.join(present, null_safe_join_condition(out, present, keys, names), "left_semi")

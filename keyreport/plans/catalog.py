@@ -39,7 +39,7 @@ from keyreport.session import bounded_broadcast, scratch_dir
 from keyreport.sinks.files import append_table, write_delimited, write_lines
 from keyreport.sinks.streams import publish_table, write_messages
 from keyreport.sources.files import (
-    REJECT_COL, read_delimited, read_delimited_with_rejects, read_lines, read_report, read_table,
+    REJECT_COL, read_delimited, read_delimited_marked, read_lines, read_report, read_table,
 )
 from keyreport.sources.streams import consume, read_file_stream, read_messages, read_table_stream
 from keyreport.streaming.windows import (
@@ -826,10 +826,11 @@ def q_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
     line = F.when(whole & (F.col("o_orderstatus") != "F"), F.concat_ws("|", key, date)) \
         .when(whole, F.concat(F.lit("x"), key, F.lit("|"), date)).otherwise(key)
     write_lines(o, path, line)
-    good, rejects = read_delimited_with_rejects(spark, path, "o_orderkey bigint, o_orderdate date", sep="|")
-    return good.select(F.lit("good").alias("kind"), F.col("o_orderkey").cast("string").alias("line"),
-                       F.col("o_orderdate").cast("string").alias("placed")) \
-        .union(rejects.select(F.lit("reject"), REJECT_COL, F.lit("")))
+    rows = read_delimited_marked(spark, path, "o_orderkey bigint, o_orderdate date", sep="|")
+    good = F.col(REJECT_COL).isNull()
+    return rows.select(F.when(good, "good").otherwise("reject").alias("kind"),
+                       F.when(good, F.col("o_orderkey").cast("string")).otherwise(F.col(REJECT_COL)).alias("line"),
+                       F.when(good, F.col("o_orderdate").cast("string")).otherwise("").alias("placed"))
 
 
 # ------------------------------------------------- report families over text
@@ -938,4 +939,4 @@ def q_report_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Further queries register themselves here.
-from keyreport.plans import catalog_functions, catalog_streams  # noqa: E402,F401
+from keyreport.plans import catalog_functions, catalog_records, catalog_streams  # noqa: E402,F401

@@ -72,15 +72,14 @@ def batch_files(spark: SparkSession, checkpoint: str, source: int = 0) -> DataFr
     files = log.where("e.path IS NOT NULL").select(F.col("e.batchId").alias("logged"), F.col("e.path").alias("file")).distinct()
     upto = _offset_log(spark, checkpoint).select("batch_id", F.get_json_object(
         F.get("lines", 2 + source), "$.logOffset").cast("long").alias("upto"))
-    # One row per batch; a batch without data repeats the offset before it.
+    # One row per kept batch; a batch without data repeats the offset before it.
     steps = upto.groupBy("upto").agg(F.min("batch_id").alias("batch_id"))
-    window = Window.orderBy("upto")
-    steps = steps.select("batch_id", "upto", F.lag("upto").over(window).alias("after"), F.lag("batch_id").over(window).alias("prior"))
-    # One row per kept batch, so it may be broadcast.
+    steps = steps.withColumn("after", F.lag("upto").over(Window.orderBy("upto")))
     # The oldest entry left says nothing of what came before it, unless it is the first batch.
-    steps = steps.where("after IS NOT NULL OR batch_id = 0")
-    met = (F.col("logged") <= F.col("upto")) & (F.col("after").isNull() | (F.col("logged") > F.col("after")))
-    return files.join(F.broadcast(steps), met, "left").select("batch_id", "file")
+    start = F.when(F.col("batch_id") == 0, F.lit(0)).otherwise(F.col("after") + 1)
+    steps = steps.select("batch_id", "upto", start.alias("start")).where("start <= upto")
+    steps = steps.select("batch_id", F.explode(F.sequence("start", "upto")).alias("logged"))
+    return files.join(steps, "logged", "left").select("batch_id", "file")
 
 
 def _same_form(path: str) -> Column:

@@ -28,9 +28,9 @@ def test_monthly_report_job(spark, tmp_dir):
 
 
 def test_tokens_job(spark, tmp_dir):
-    src = write(tmp_dir, "p.txt", "um dois  três\nquatro três. três\n")
-    jobs.main(["tokens", "--input", src, "--output", f"{tmp_dir}/t", "--words", "três,quatro", "--count"], spark)
-    assert lines(spark, f"{tmp_dir}/t") == ["quatro;1", "três;2"]
+    src = write(tmp_dir, "p.txt", "red grün  green\nblue green. green\n")
+    jobs.main(["tokens", "--input", src, "--output", f"{tmp_dir}/t", "--words", "green,blue", "--count"], spark)
+    assert lines(spark, f"{tmp_dir}/t") == ["blue;1", "green;2"]
 
 
 def test_publish_then_windowed_stream_job(spark, tmp_dir):
