@@ -6,22 +6,27 @@ character n-grams.
   by inverse document frequency. Document frequencies are counted over every
   row that may be learned from.
 * Training: follow-the-regularised-leader (proximal, per coordinate) with elastic
-  net penalties, on the driver over a sample of at most ``SAMPLE`` rows, spread
-  evenly over the labels (smallest hash of the id first). One row has at most
-  ``FEATURES`` numbers, so the sample is bounded.
+  net penalties, on the driver over a sample of at most ``SAMPLE`` rows (one per label
+  at least), spread evenly over the labels: the smallest hashes of id and text first.
+  Rows equal in id, text and label are one row of the sample. Rows far above the hash
+  that a label's share needs never reach the ranking. One row has at most ``FEATURES``
+  numbers, so the sample is bounded.
 * Calibration: one temperature, fitted to the log loss of a fifth of the sample
   that isn't trained on.
 
-Prediction reads every whole text, in one pass without a shuffle.
+Prediction reads every whole text, in one pass without a shuffle: a scalar Arrow
+function of the text, so the other columns stay in the JVM.
 
 Rows learned from have a label and crc32(id as text) mod 4 other than 2; the rest
 is held out. Defined results: text null or without a letter: ``und``, score 0.
 Null id: neither learned from nor held out. Nothing to learn from: ``und``
-everywhere. Rows that repeat an id are predicted each. Other columns are ignored.
+everywhere. Rows that repeat an id are predicted each. More than ``MAX_LABELS`` labels
+are an error, as the model has a column for each. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,14 +34,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from keyreport.llm.common import CHUNK_BYTES, chunks, join_small, table, texts_of, written
+from keyreport.llm.common import CHUNK_BYTES, chunks, join_small, table, written
 from keyreport.llm.queries import query
 
 FEATURES = 1 << 15
 SIZES = (1, 2, 3)
 SAMPLE = 2400
+MAX_LABELS = 400
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
 SCALE = 64.0
@@ -173,6 +178,22 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def with_hash(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("h", F.xxhash64("id", "text"))
+
+
+def sample_rows(rows: DataFrame, sizes: dict[str, int], share: int) -> DataFrame:
+    """``lang, id, h, part`` of the ``share`` rows of each label with the smallest hashes."""
+    bounds = rows.sparkSession.createDataFrame(  # one row per label
+        [(x, min((1 << 63) - 1, ((3 * share + 100) << 63) // n)) for x, n in sizes.items()], "lang string, most long")
+    place = F.shiftrightunsigned("h", 1)
+    near = with_hash(rows).join(F.broadcast(bounds), "lang").where(place < F.col("most"))
+    once = near.select("lang", "id", "h").distinct()
+    order = Window.partitionBy("lang").orderBy(place, "h", "id")
+    ranked = once.withColumn("r", F.row_number().over(order)).where(F.col("r") <= share)
+    return ranked.select("lang", "id", "h", (F.col("r") % 5).alias("part"))
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> Model:
     """Learn from the rows of ``docs`` that aren't held out and have a label and text."""
@@ -180,16 +201,19 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
                        F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(~held_out(F.col("id")) & F.col("id").isNotNull() & F.col("lang").isNotNull()
                       & F.col("text").isNotNull())
-    labels = sorted(r["lang"] for r in rows.select("lang").distinct().limit(sample).collect())
+    per_label = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    sizes = {r["lang"]: r["rows"] for r in per_label.limit(MAX_LABELS + 1).collect()}
+    labels = sorted(sizes)
+    if len(labels) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels to learn")
     if not labels:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros(0), 1.0)
     total, df = document_frequencies(rows)
     idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (rows.select("id", "lang").withColumn("r", F.row_number().over(order))
-              .where(F.col("r") <= max(1, sample // len(labels))).select("id", "lang", (F.col("r") % 5).alias("part")))
-    chosen = written(chosen, "language-sample")
-    got = counted(join_small(rows, chosen, ["id", "lang"])).limit(sample).collect()
+    chosen = written(sample_rows(rows, sizes, max(1, sample // len(labels))), "language-sample")
+    # The join meets a chosen row once per equal row; one of them is enough.
+    again = join_small(with_hash(rows), chosen, ["lang", "id", "h"]).dropDuplicates(["lang", "id", "h"])
+    got = counted(again).collect()
     number = {x: i for i, x in enumerate(labels)}
     data = []
     for r in sorted(got, key=lambda r: (r["lang"], r["part"], r["x"][:8], len(r["x"]))):
@@ -206,31 +230,37 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """(record, lang_pred, score) per row of ``docs``: record is a struct of its
     columns, score the calibrated probability."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES x labels numbers
-    docs = docs.select(F.struct("*").alias("record"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
 
-    def run(batches):
+    def judged(texts: list[str], model: Model, dense: np.ndarray) -> tuple[list[str], np.ndarray]:
+        known = np.array([bool(model.labels) and _LETTER.search(t) is not None for t in texts], dtype=bool)
+        score, pred = np.zeros(len(texts)), [UNKNOWN] * len(texts)
+        if known.any():
+            sums, size = np.zeros((len(texts), len(model.labels))), np.zeros(len(texts))
+            for x, owner in columns_of(texts):
+                size += np.bincount(owner, minlength=len(texts))
+                for c, w in enumerate(dense):
+                    sums[:, c] += np.bincount(owner, weights=w[x], minlength=len(texts))
+            p = softmax((sums / np.maximum(size, 1)[:, None] + model.bias) / model.temperature)
+            best = p.argmax(axis=1)
+            score = np.where(known, p.max(axis=1), 0.0)
+            pred = [model.labels[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
+        return pred, score
+
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = sent.value
         dense = np.ascontiguousarray(model.weights.T)
-        for part in chunks(batches, f"record.{text_col}", CHUNK_BYTES // 2):
-            texts = [t or "" for t in texts_of(part, f"record.{text_col}").to_pylist()]
-            known = np.array([bool(model.labels) and _LETTER.search(t) is not None for t in texts], dtype=bool)
-            score, pred = np.zeros(len(texts)), [UNKNOWN] * len(texts)
-            if known.any():
-                sums, size = np.zeros((len(texts), len(model.labels))), np.zeros(len(texts))
-                for x, owner in columns_of(texts):
-                    size += np.bincount(owner, minlength=len(texts))
-                    for c, w in enumerate(dense):
-                        sums[:, c] += np.bincount(owner, weights=w[x], minlength=len(texts))
-                p = softmax((sums / np.maximum(size, 1)[:, None] + model.bias) / model.temperature)
-                best = p.argmax(axis=1)
-                score = np.where(known, p.max(axis=1), 0.0)
-                pred = [model.labels[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column("record"), pa.array(pred, pa.string()), pa.array(score)],
-                                             names=["record", "lang_pred", "score"])
-
-    return docs.mapInArrow(run, schema)
+        for texts in batches:
+            preds, scores = [], []
+            for part in chunks([pa.RecordBatch.from_arrays([texts], names=["text"])], limit=CHUNK_BYTES // 2):
+                pred, score = judged([t or "" for t in part.column("text").to_pylist()], model, dense)
+                preds += pred
+                scores.append(score)
+            yield pa.StructArray.from_arrays([pa.array(preds, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
+                                             names=["lang_pred", "score"])
+
+    found = docs.select(F.struct("*").alias("record"), judge(F.col(text_col).cast("string")).alias("found"))
+    return found.select("record", "found.lang_pred", "found.score")
 
 
 @query("op7_language_id")

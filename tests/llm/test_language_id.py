@@ -1,10 +1,12 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
+from keyreport.llm import language_id
 from keyreport.llm.catalog import QUERIES
-from keyreport.llm.language_id import columns_of, fit, predict, temperature_for
+from keyreport.llm.language_id import columns_of, fit, predict, temperature_for, train
 
 
 @pytest.fixture(scope="module")
@@ -55,3 +57,84 @@ def test_temperature_undoes_overconfidence():
     y = np.array([rng.choice(3, p=q) for q in p])
     assert temperature_for(4 * logits, y) == pytest.approx(4, rel=0.15)
     assert temperature_for(np.zeros((0, 3)), np.zeros(0, int)) == 1.0
+
+
+def learnable(n):
+    """Ids that may be learned from."""
+    return [i for i in range(4 * n) if zlib.crc32(str(i).encode()) % 4 != 2][:n]
+
+
+def test_repeated_ids_and_rows_do_not_multiply_the_sample(spark, monkeypatch):
+    a, b = learnable(2)
+    rows = [(a if i % 3 else b, f"the word {i} of a text", "en" if i % 2 else "de") for i in range(600)]
+    rows += [(a, "one row many times", "fr")] * 300
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = []
+    monkeypatch.setattr(language_id, "train", lambda data, labels: got.extend(data) or train(data, labels))
+    fit(frame, sample=90)
+    assert len([x for x in got if x[0] == 2]) <= 1  # equal rows are one row
+    assert 40 <= len(got) <= 60  # four fifths of 30 for two labels, and the one row if it is among them
+    assert fit(frame, sample=90).labels == ["de", "en", "fr"]
+
+
+def test_every_label_is_learned_or_refused(spark, monkeypatch):
+    rows = [(i, f"text {i}", f"l{i % 40}") for i in learnable(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(fit(frame, sample=10).labels) == 40  # a row for each, though the sample is smaller
+    monkeypatch.setattr(language_id, "MAX_LABELS", 39)
+    with pytest.raises(ValueError):
+        fit(frame)
+
+
+def test_training_equals_a_slow_twin(monkeypatch):
+    monkeypatch.setattr(language_id, "FEATURES", 12)
+    rng = np.random.default_rng(4)
+    rows = []
+    for _ in range(30):
+        x = np.sort(rng.choice(12, 4, replace=False))
+        rows.append((int(rng.integers(3)), x, rng.random(4) * 5))
+    z, n = [[0.0] * 3 for _ in range(13)], [[0.0] * 3 for _ in range(13)]
+
+    def weight(i, c):
+        if abs(z[i][c]) <= language_id.L1:
+            return 0.0
+        sign = 1 if z[i][c] > 0 else -1
+        return -(z[i][c] - sign * language_id.L1) / ((language_id.BETA + n[i][c] ** 0.5) / language_id.ALPHA + language_id.L2)
+
+    order = np.random.default_rng(11)
+    for _ in range(language_id.EPOCHS):
+        for k in order.permutation(len(rows)):
+            y, x, v = rows[k]
+            row = [*zip(x.tolist(), v.tolist()), (12, 1.0)]
+            w = {i: [weight(i, c) for c in range(3)] for i, _ in row}
+            score = [sum(w[i][c] * u for i, u in row) for c in range(3)]
+            e = [np.exp(s - max(score)) for s in score]
+            for i, u in row:
+                for c in range(3):
+                    g = u * (e[c] / sum(e) - (c == y))
+                    step = ((n[i][c] + g * g) ** 0.5 - n[i][c] ** 0.5) / language_id.ALPHA
+                    z[i][c] += g - step * w[i][c]
+                    n[i][c] += g * g
+    weights, bias = train(rows, 3)
+    assert np.allclose(weights, [[weight(i, c) for c in range(3)] for i in range(12)])
+    assert np.allclose(bias, [weight(12, c) for c in range(3)])
+
+
+def test_prediction_equals_a_slow_twin(documents, model):
+    out = predict(documents, model).select("record.text", "lang_pred", "score").collect()
+    for text, lang, score in out:
+        if lang == "und" or len(text) > 20_000:
+            continue
+        counts = Counter(int(c) for x, _ in columns_of([text]) for c in x)
+        total = sum(counts.values())
+        s = [(sum(n * float(model.weights[c, k]) for c, n in counts.items()) / total + model.bias[k]) / model.temperature
+             for k in range(len(model.labels))]
+        p = np.exp(np.array(s) - max(s))
+        p /= p.sum()
+        assert score == pytest.approx(p.max(), abs=1e-6) and lang == model.labels[int(p.argmax())]
+
+
+def test_other_columns_stay_in_the_jvm(spark, model):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = predict(docs, model)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and "MapInArrow" not in plan and "Exchange" not in plan
