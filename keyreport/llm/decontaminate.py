@@ -1,56 +1,65 @@
 """Benchmark passages in documents, by a random-walk embedding and bit sampling.
 
-Texts are sequences of lower-cased alphanumeric words. A random walk reads a
-sequence: at step j it stands on word i, writes it, and moves on by a coin that
-depends on (repetition, j, word). The written sequence embeds the edit distance:
-after an edit two walks meet again soon, so near sequences have near embeddings in
-Hamming distance. Bit sampling keeps K steps of the embedding; two windows collide
-in a repetition if they agree in all of them.
-
-Items are grouped by size class (powers of two of their words). Each repetition
-of a class samples steps from a range as long as the class, always with step 0 and
-one of the next three, so that almost all document positions leave after two
-lookups. An item is indexed at three of its words (start, quarter, half), so an
-edit near the start doesn't hide it. Every word position of every document is
-walked. ``repetitions`` follows from a target recall at ``recall_ratio`` (simulated
-with a fixed seed on the driver) for items of 32 words.
-
-Longer and more edited items are found by straight walks, which always move on and
-keep every step. Of an item of n words with k edits, the n - k words or more that
-stay lie in at most k + 1 unbroken runs, so one run has at least
-``ceil((n - k) / (k + 1))`` words. With k the most edits that ``max_ratio`` allows,
-walks of that length are indexed from every word of the item. So whatever the exact
-distance would accept collides, at every size and ratio.
+Texts are sequences of lower-cased alphanumeric words; a character of a script that is
+written without spaces is a word of its own. A random walk reads a sequence: at step j
+it stands on word i, writes it, and moves on by a coin that depends on (repetition, j,
+word). The written sequence embeds the edit distance: after an edit two walks meet again
+soon, so near sequences have near embeddings in Hamming distance. Bit sampling keeps some
+steps of the embedding, one or two apart; two windows collide in a repetition if they
+agree in the sampled steps.
+
+* Windows start at every word of an item and at every word of every document.
+* How many steps are sampled follows from the exact distance: of an item of n words with
+  k edits, the n - k words or more that stay lie in at most k + 1 unbroken stretches, so
+  one of them has ``ceil((n - k) / (k + 1))`` words. With k the most edits that
+  ``max_ratio`` allows, a window is sampled until it has written that many different
+  places (``MOST_PLACES`` at most).
+* A sample that windows of more than ``SHARED`` items have in common (a common phrase) is
+  sampled further, until it is rarer or the window ends, so it doesn't lead to all of them.
+* ``repetitions`` of each such class follow from the target ``recall``: simulated with a
+  fixed seed on the driver for items at ``max_ratio``, with edits at random and evenly
+  spread, which leaves no longer stretch than the bound.
 
 Collisions are verified by the exact word edit distance between the whole item and
-the best matching span around the position; an item is found if that is at most
-``max_ratio`` of its words.
+the best matching span around the position, once per item and window; an item is found
+if that is at most ``max_ratio`` of its words. Items too short for an edit are found where
+they stand whole. Items of equal words are searched once.
 
 The benchmark is sent to the tasks in slices of at most ``SLICE_BYTES`` of text; a
-larger one takes several passes. There is no shuffle, and a task holds one chunk.
+larger one takes several passes. A worker builds a slice's index once. There is no
+shuffle, and a task holds one chunk.
 
-Defined results: texts or items that are null, empty or have fewer than
-``min_words`` words give no row. Equal items under several ids each give their row.
-Rows that repeat an id each give theirs. Other columns are ignored.
+Defined results: texts or items that are null or have no words, or items of fewer than
+``min_words`` words (none by default), give no row. Equal items under several ids each
+give their row. Rows that repeat an id each give theirs. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyreport.llm.common import LOWER, U64, WORD_BYTES, chunks, mix, table, words
 from keyreport.llm.queries import query
 
-SAMPLES = 6
-MIN_WORDS = 5
+MIN_WORDS = 1
 MAX_RATIO = 0.2
-RECALL, RECALL_RATIO = 0.99, 0.1
+RECALL = 0.9999
+# Different places that a window's sample has at most, and steps it may take.
+MOST_PLACES, MOST_SAMPLES = 5, 40
+# Items that may share a sample.
+SHARED = 8
 SLICE_BYTES = 8 << 20
+# Characters of scripts written without spaces: Thai to Burmese, kana, ideographs.
+UNSPACED = r"([\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}" \
+    r"\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}])"
 SCHEMA = "doc_id long, item_id long, item_words int, distance int, first_word long, last_word long, hits int"
 
 
@@ -59,14 +68,16 @@ def coins(rep: int, steps: int) -> np.ndarray:
     return rng.integers(1, 2**63, steps, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 
 
-def sampled(rep: int, size_class: int) -> list[int]:
-    rng = np.random.default_rng(70_001 + 64 * rep + size_class)
-    steps = 1 << size_class
-    if steps <= SAMPLES:
-        return list(range(steps))
-    early = int(rng.integers(1, 4))
-    later = np.arange(early + 1, steps)
-    return [0, early, *sorted(int(x) for x in rng.choice(later, min(SAMPLES - 2, len(later)), replace=False))]
+def sampled(rep: int, places: int) -> list[int]:
+    """The sampled steps of a repetition for windows of so many places."""
+    rng = np.random.default_rng(70_001 + 64 * rep + places)
+    return [0, *np.cumsum(rng.integers(1, 3, MOST_SAMPLES)).tolist()]
+
+
+def places_for(size: int, max_ratio: float) -> int:
+    """Length of the unbroken stretch that the allowed edits must leave, bounded."""
+    most = most_edits(size, max_ratio)
+    return min(MOST_PLACES, -(-(size - most) // (most + 1)))
 
 
 class Known:
@@ -95,112 +106,103 @@ def most_edits(size: int, max_ratio: float) -> int:
     return int(max_ratio * size)
 
 
-def straight_anchors(h: np.ndarray, length: int, most: int) -> list[int]:
-    """Starts of runs of ``length`` words; of equal runs at most ``most // 2`` words
-    apart only the first, whose verification covers the others."""
-    last: dict[bytes, int] = {}
-    out = []
-    for a in range(len(h) - length + 1):
-        run = h[a:a + length].tobytes()
-        if run not in last or a - last[run] > most // 2:
-            last[run] = a
-            out.append(a)
-    return out
-
-
 class Walks:
-    """Index of items' sampled walks; items: list of (id, word hashes). Straight walks
-    are added if ``max_ratio`` is given."""
+    """Index of the items' sampled walks; items: list of (ids, word hashes)."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], repetitions: int, max_ratio: float | None = None):
+    def __init__(self, items: list[tuple], max_ratio: float, repetitions: dict[int, int]):
         self.items = items
-        self.tables = []  # (coins, steps, Known per step, sorted final hashes, their (item, anchor))
-        self.straight = []  # (steps, Known per step, sorted final hashes, their (item, anchor))
-        if max_ratio is not None:
-            self._index_straight(max_ratio)
-        by_class: dict[int, list[tuple[int, int]]] = {}
-        for n, (_, h) in enumerate(items):
-            for a in sorted({0, len(h) // 4, len(h) // 2}):
-                by_class.setdefault(int(math.log2(len(h))), []).append((n, a))
-        firsts = []
-        for size_class, anchors in sorted(by_class.items()):
-            for rep in range(repetitions):
-                steps = sampled(rep, size_class)
-                coin = coins(rep, steps[-1] + 1)
-                seen: list[list[int]] = [[] for _ in steps]
-                final = []
-                for n, a in anchors:
-                    h = items[n][1]
-                    i, acc, k, trail = a, U64(0), 0, []
+        self.tables = []  # per class and repetition: (coins, steps, Known per step, terminals per step)
+        words_of = [h for _, h in items]
+        size = np.array([len(h) for h in words_of], dtype=np.int64)
+        flat = np.concatenate([*words_of, np.zeros(1, U64)])
+        first = np.concatenate([[0], np.cumsum(size)])
+        need = np.array([places_for(n, max_ratio) for n in size.tolist()], dtype=np.int64)
+        firsts = [np.zeros(0, U64)]
+        for places in np.unique(need).tolist():
+            mine = np.flatnonzero(need == places)
+            item = np.repeat(mine, size[mine])
+            anchor = np.arange(len(item)) - np.repeat(np.cumsum(size[mine]) - size[mine], size[mine])
+            for rep in range(repetitions[places]):
+                built = self._built(flat, first, item, anchor, places, rep)
+                self.tables.append(built)
+                firsts.append(built[2][0].sorted)
+        self.first = Known(np.concatenate(firsts))
+
+    @staticmethod
+    def _built(flat, first, item, anchor, places, rep):
+        steps = sampled(rep, places)
+        coin = coins(rep, steps[-1] + 1)
+        pos, end = first[item] + anchor, first[item + 1]
+        acc, seen, before = flat[pos], np.ones(len(pos), dtype=np.int64), pos
+        known, terminal = [], []
+        for k, step in enumerate(steps):
+            if k:
+                for j in range(steps[k - 1], step):
                     with np.errstate(over="ignore"):
-                        for j in range(steps[-1] + 1):
-                            if i >= len(h):
-                                break
-                            if j == steps[k]:
-                                acc = h[i] if k == 0 else _next(np.array([acc]), h[i])[0]
-                                trail.append(acc)
-                                k += 1
-                            i += int((h[i] * coin[j]) >> U64(63))
-                    if k == len(steps):
-                        for s, x in zip(seen, trail, strict=True):
-                            s.append(x)
-                        final.append((int(acc), n, a))
-                if final:
-                    final.sort()
-                    self.tables.append((coin, steps, [Known(s) for s in seen],
-                                        np.array([x for x, _, _ in final], dtype=U64), [x[1:] for x in final]))
-                    firsts += seen[0]
-        self.first = Known(firsts)
-
-    def _index_straight(self, max_ratio: float) -> None:
-        by_length: dict[int, list[tuple[int, int]]] = {}
-        for n, (_, h) in enumerate(self.items):
-            most = most_edits(len(h), max_ratio)
-            length = max(1, -(-(len(h) - most) // (most + 1)))
-            by_length.setdefault(length, []).extend((n, a) for a in straight_anchors(h, length, most))
-        for length, anchors in sorted(by_length.items()):
-            seen, acc = [], np.array([self.items[n][1][a] for n, a in anchors], dtype=U64)
-            for k in range(length):
-                if k:
-                    acc = _next(acc, np.array([self.items[n][1][a + k] for n, a in anchors], dtype=U64))
-                seen.append(Known(acc))
-            order = np.argsort(acc, kind="stable")
-            self.straight.append((length, seen, acc[order], [anchors[x] for x in order.tolist()]))
+                        pos = np.minimum(pos + ((flat[pos] * coin[j]) >> U64(63)).astype(np.int64), end)
+                # Walks that left their item ended with the step before.
+                on = pos < end
+                item, anchor, pos, end, acc, seen, before = (x[on] for x in (item, anchor, pos, end, acc, seen, before))
+                acc = _next(acc, flat[pos])
+                seen = seen + (pos != before)
+                before = pos
+            known.append(Known(acc))
+            # Does the walk stay in its item up to the next sampled step?
+            ahead, last = pos, k + 1 == len(steps)
+            for j in range(step, step if last else steps[k + 1]):
+                with np.errstate(over="ignore"):
+                    ahead = np.minimum(ahead + ((flat[ahead] * coin[j]) >> U64(63)).astype(np.int64), end)
+            ends = (ahead >= end) | last
+            enough = seen >= places
+            stops = (enough & (ends | (items_sharing(acc, item) <= SHARED))) | (ends & (anchor == 0))
+            order = np.flatnonzero(stops)
+            order = order[np.argsort(acc[order], kind="stable")]
+            terminal.append((acc[order], item[order], anchor[order]))
+            go = ~stops & ~ends
+            item, anchor, pos, end, acc, seen, before = (x[go] for x in (item, anchor, pos, end, acc, seen, before))
+            if not len(pos):
+                break
+        return coin, steps[:len(known)], known, terminal
 
     def candidates(self, h: np.ndarray):
-        """(position, item, anchor) of colliding walks over the flat words ``h``."""
+        """(position, item, anchor) arrays of colliding windows over the flat words ``h``."""
         start = self.first.holds(h)
-        longest = max([len(t[0]) for t in self.tables] + [t[0] for t in self.straight], default=0)
-        size = len(h)
+        longest = max((t[1][-1] for t in self.tables), default=0)
         h = np.concatenate([h, np.zeros(longest + 1, dtype=U64)])
-        found = set()
-        with np.errstate(over="ignore"):
-            for coin, steps, known, final, named in self.tables:
-                pos = start[known[0].holds(h[start])]
-                cur, acc, k = pos, h[pos], 1
-                for j in range(steps[-1]):
-                    if not len(pos):
-                        break
-                    cur = cur + ((h[cur] * coin[j]) >> U64(63)).astype(np.int64)
-                    if k < len(steps) and j + 1 == steps[k]:
-                        acc = _next(acc, h[cur])
-                        stay = known[k].holds(acc)
-                        pos, cur, acc = pos[stay], cur[stay], acc[stay]
-                        k += 1
-                left, right = np.searchsorted(final, acc, "left"), np.searchsorted(final, acc, "right")
-                for p, x, y in zip(pos.tolist(), left.tolist(), right.tolist(), strict=True):
-                    found.update((p, *named[z]) for z in range(x, y))
-            for length, known, final, named in self.straight:
-                pos = known[0].holds(h[:size])
-                acc = h[pos]
-                for k in range(1, length):
-                    acc = _next(acc, h[pos + k])
+        out = [np.zeros((3, 0), dtype=np.int64)]
+        for coin, steps, known, terminal in self.tables:
+            pos = start[known[0].holds(h[start])]
+            cur, acc = pos, h[pos]
+            for k, step in enumerate(steps):
+                if k:
+                    for j in range(steps[k - 1], step):
+                        with np.errstate(over="ignore"):
+                            cur = cur + ((h[cur] * coin[j]) >> U64(63)).astype(np.int64)
+                    acc = _next(acc, h[cur])
                     stay = known[k].holds(acc)
-                    pos, acc = pos[stay], acc[stay]
+                    pos, cur, acc = pos[stay], cur[stay], acc[stay]
+                if not len(pos):
+                    break
+                final, item, anchor = terminal[k]
                 left, right = np.searchsorted(final, acc, "left"), np.searchsorted(final, acc, "right")
-                for p, x, y in zip(pos.tolist(), left.tolist(), right.tolist(), strict=True):
-                    found.update((p, *named[z]) for z in range(x, y))
-        return found
+                many = right - left
+                at = np.repeat(left - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                out.append(np.stack([np.repeat(pos, many), item[at], anchor[at]]))
+        return np.concatenate(out, axis=1)
+
+
+def items_sharing(acc: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """For each sample, of how many items windows have it."""
+    if not len(acc):
+        return np.zeros(0, dtype=np.int64)
+    order = np.lexsort((item, acc))
+    a, i = acc[order], item[order]
+    new = np.concatenate([[True], a[1:] != a[:-1]])
+    group = np.cumsum(new) - 1
+    each = np.bincount(group, weights=np.concatenate([[True], (a[1:] != a[:-1]) | (i[1:] != i[:-1])])).astype(np.int64)
+    out = np.empty(len(acc), dtype=np.int64)
+    out[order] = each[group]
+    return out
 
 
 def best_span(item: np.ndarray, span: np.ndarray) -> tuple[int, int]:
@@ -218,23 +220,40 @@ def best_span(item: np.ndarray, span: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
+def windows_to_verify(walks: Walks, h: np.ndarray, first: np.ndarray, max_ratio: float):
+    """(document, item, begin of the window) of the candidates, each window of an item once."""
+    p, n, a = walks.candidates(h)
+    doc = np.searchsorted(first, p, "right") - 1
+    most = np.array([most_edits(len(x), max_ratio) for _, x in walks.items] or [0], dtype=np.int64)[n]
+    # One verification looks 2 * most words to both sides, and a match may begin ``most`` words
+    # from its candidate; the other ``most`` is the width of a window.
+    begin = p - a
+    width = most - most // 2 + 1
+    order = np.lexsort((begin, begin // width, n, doc))
+    key = np.stack([doc, n, begin // width])[:, order]
+    new = np.ones(key.shape[1], dtype=bool)
+    new[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0)
+    one = order[new]
+    return zip(doc[one].tolist(), n[one].tolist(), begin[one].tolist())
+
+
 def verified(walks: Walks, h: np.ndarray, first: np.ndarray, max_ratio: float):
     """Found items per document: (document, item, distance, first, last word, hits)."""
     best: dict[tuple[int, int], list] = {}
     ends: dict[tuple[int, int], int] = {}
-    tried: set[tuple[int, int, int]] = set()
-    for p, n, a in sorted(walks.candidates(h)):
-        doc = int(np.searchsorted(first, p, "right")) - 1
+    for doc, n, begin in windows_to_verify(walks, h, first, max_ratio):
         item = walks.items[n][1]
         most = most_edits(len(item), max_ratio)
         lo, hi = int(first[doc]), int(first[doc + 1])
-        begin = p - a
-        # One verification looks 2 * most words to both sides, and a match may begin ``most`` words
-        # from its candidate. The other ``most`` is for left out anchors (half) and candidates (half).
-        near = (doc, n, begin // (most - most // 2 + 1))
-        if near in tried:
+        if most == 0:
+            # No edit is allowed, and the window's begin is the match's.
+            if begin < lo or begin + len(item) > hi or (h[begin:begin + len(item)] != item).any():
+                continue
+            found = best.setdefault((doc, n), [0, begin - lo, begin - lo + len(item) - 1, 0])
+            if begin - lo > ends.get((doc, n), -1):
+                found[3] += 1
+                ends[doc, n] = begin - lo + len(item) - 1
             continue
-        tried.add(near)
         s = max(lo, begin - 2 * most)
         span = h[s:min(hi, begin + len(item) + 2 * most)]
         # Words that the span lacks are edits: a lower bound before the exact distance.
@@ -257,28 +276,61 @@ def verified(walks: Walks, h: np.ndarray, first: np.ndarray, max_ratio: float):
     return [(doc, n, *v) for (doc, n), v in sorted(best.items())]
 
 
-def repetitions_for(recall: float, ratio: float, samples: int = 400, size: int = 32) -> int:
-    """Repetitions after which a passage of ``size`` words with ``ratio`` of them
-    edited (a third each replaced, dropped, inserted) is found with that recall."""
+def _edited(rng: np.random.Generator, item: np.ndarray, most: int, spread: bool) -> np.ndarray:
+    if spread:
+        text = item.copy()
+        text[np.linspace(0, len(item) - 1, most + 2)[1:-1].round().astype(int)] = U64(1)
+        return text
+    text = list(item)
+    for _ in range(most):
+        at, kind = int(rng.integers(len(text))), int(rng.integers(3))
+        text[at:at + (kind != 2)] = [] if kind == 1 else [U64(rng.integers(1, 2**62))]
+    return np.array(text, dtype=U64)
+
+
+@functools.cache
+def repetitions_for(recall: float, max_ratio: float, size: int, samples: int = 60) -> int:
+    """Repetitions after which a passage of ``size`` words with ``max_ratio`` of them edited
+    is found with that recall: from the share that single repetitions find."""
     rng = np.random.default_rng(5)
-    hits = 0
-    for _ in range(samples):
-        item = rng.integers(1, 2**62, size).astype(U64)
-        text = list(item)
-        for _ in range(max(1, round(ratio * size))):
-            at, kind = int(rng.integers(len(text))), int(rng.integers(3))
-            text[at:at + (kind != 2)] = [] if kind == 1 else [U64(rng.integers(1, 2**62))]
-        hits += bool(Walks([(0, item)], 1).candidates(np.array(text, dtype=U64)))
-    p = min(max(hits / samples, 0.01), 0.99)
+    most, places = most_edits(size, max_ratio), places_for(size, max_ratio)
+    if not most:
+        return 1
+    least = 1.0
+    for spread in (False, True):
+        hits = 0
+        for _ in range(samples):
+            item = rng.integers(2, 2**62, size).astype(U64)
+            walks = Walks([((0,), item)], max_ratio, {places: 4})
+            text = _edited(rng, item, most, spread)
+            whole, walks.tables = walks.tables, []
+            for one in whole:
+                walks.tables = [one]
+                hits += walks.candidates(text).shape[1] > 0
+        least = min(least, hits / (4 * samples))
+    p = min(max(least, 0.05), 0.98)
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - p)))
 
 
+def repetitions(sizes: set[int], max_ratio: float, recall: float) -> dict[int, int]:
+    """Repetitions of each class of items, by its shortest ones (fewest windows)."""
+    shortest: dict[int, int] = {}
+    for n in sorted(sizes, reverse=True):
+        shortest[places_for(n, max_ratio)] = n
+    return {places: repetitions_for(recall, max_ratio, n) for places, n in shortest.items()}
+
+
+def read_words(texts: pa.Array):
+    """The words of texts, with spaces set around the characters of unspaced scripts."""
+    spaced = pc.replace_substring_regex(pc.fill_null(texts.cast(pa.string()), ""), UNSPACED, r" \1 ")
+    return words(spaced, WORD_BYTES, LOWER)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, max_ratio: float = MAX_RATIO, recall: float = RECALL,
-                  recall_ratio: float = RECALL_RATIO, min_words: int = MIN_WORDS, id_col: str = "doc_id",
+                  min_words: int = MIN_WORDS, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document and benchmark item found in it: its best matching span
     (words from 0), edit distance, and number of disjoint places; see the module text."""
-    reps = repetitions_for(recall, recall_ratio)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"),
                              F.col(item_text).cast("string").alias("text")).where("text IS NOT NULL")
@@ -286,29 +338,48 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, max_ratio: float = MAX_
     slices = max(1, -(-size // SLICE_BYTES))
     out = None
     for k in range(slices):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k).collect()
-        w = words(pa.array([r["text"] for r in part], pa.string()), WORD_BYTES, LOWER)
-        known = [(r["item_id"], w.h[a:b].copy()) for r, a, b in zip(part, w.first[:-1], w.first[1:], strict=True)
-                 if b - a >= max(1, min_words)]
-        found = _scan(texts, known, reps, max_ratio)
+        part = items.where(F.pmod(F.xxhash64("text"), F.lit(slices)) == k).collect()
+        found = _scan(texts, distinct_items(part, min_words), max_ratio, recall)
         out = found if out is None else out.union(found)
     return out
 
 
-def _scan(texts: DataFrame, known: list, reps: int, max_ratio: float) -> DataFrame:
+def distinct_items(rows: list, min_words: int) -> list[tuple]:
+    """(ids, word hashes) of the items, those of equal words together."""
+    w = read_words(pa.array([r["text"] for r in rows], pa.string()))
+    by_words: dict[bytes, tuple] = {}
+    for r, a, b in zip(rows, w.first[:-1], w.first[1:], strict=True):
+        if b - a >= max(1, min_words):
+            by_words.setdefault(w.h[a:b].tobytes(), ([], w.h[a:b].copy()))[0].append(r["item_id"])
+    return list(by_words.values())
+
+
+# The index of the slice that this worker process searched last.
+_BUILT: dict[str, Walks] = {}
+
+
+def _index(name: str, known: list, max_ratio: float, reps: dict[int, int]) -> Walks:
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = Walks(known, max_ratio, reps)
+    return _BUILT[name]
+
+
+def _scan(texts: DataFrame, known: list, max_ratio: float, recall: float) -> DataFrame:
+    reps = repetitions({len(h) for _, h in known}, max_ratio, recall)
     sent = texts.sparkSession.sparkContext.broadcast(known)
+    name = uuid.uuid4().hex
 
     def run(batches):
-        walks = Walks(sent.value, reps, max_ratio)
+        walks = _index(name, sent.value, max_ratio, reps)
         for batch in chunks(batches):
-            w = words(batch.column("text"), WORD_BYTES, LOWER)
-            rows = verified(walks, w.h, w.first, max_ratio)
+            w = read_words(batch.column("text"))
+            rows = [(r[0], i, *r[1:]) for r in verified(walks, w.h, w.first, max_ratio) for i in walks.items[r[1]][0]]
             doc = batch.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64()))
             col = lambda i: pa.array([r[i] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [doc, pa.array([walks.items[r[1]][0] for r in rows], pa.int64()),
-                 pa.array([len(walks.items[r[1]][1]) for r in rows], pa.int32()), col(2).cast(pa.int32()),
-                 col(3), col(4), col(5).cast(pa.int32())], names=[x.split()[0] for x in SCHEMA.split(", ")])
+                [doc, col(1), pa.array([len(walks.items[r[2]][1]) for r in rows], pa.int32()), col(3).cast(pa.int32()),
+                 col(4), col(5), col(6).cast(pa.int32())], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
     return texts.mapInArrow(run, SCHEMA)
 

@@ -1,6 +1,14 @@
+import time
+
 import numpy as np
 
-from keyreport.llm.decontaminate import best_span, decontaminate
+import pyarrow as pa
+import pytest
+
+from keyreport.llm import decontaminate as dc
+from keyreport.llm.decontaminate import (
+    RECALL, Walks, best_span, decontaminate, most_edits, places_for, read_words, repetitions, verified,
+)
 
 from .conftest import SF
 
@@ -56,7 +64,9 @@ def test_planted_items_are_found_and_clean_texts_left(spark):
 def test_edge_rows(spark, documents, nothing):
     items = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "one two", 0), (None, "alpha beta gamma delta epsilon", 0)],
                                   "item_id long, text string, doc_id long")
-    found = decontaminate(documents, items).collect()
+    short = {r["doc_id"] for r in decontaminate(documents, items).where("item_id = 3").collect()}
+    assert short == {1_000_006}  # two words that stand whole
+    found = decontaminate(documents, items, min_words=5).collect()
     assert {r["item_id"] for r in found} == {None} and {r["distance"] for r in found} == {0}
     assert sorted(str(r["doc_id"]) for r in found) == ["1000007", "1000008", "1000008", "1000009", "None"]
     assert all(r["hits"] == 12 for r in found)
@@ -113,3 +123,91 @@ def test_items_of_repeated_words(spark):
     found = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"),
                           spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r["doc_id"], r["item_id"], r["distance"]) for r in found} == {(1, 1, 9), (3, 2, 2)}
+
+
+def hashes(text):
+    return read_words(pa.array([text])).h
+
+
+def walks_of(items, ratio=0.2):
+    return Walks([((k,), h) for k, h in enumerate(items)], ratio, repetitions({len(h) for h in items}, ratio, RECALL))
+
+
+@pytest.mark.parametrize("size", [5, 8, 16, 32, 64, 128, 255, 500])
+@pytest.mark.parametrize("ratio", [0.1, 0.2])
+def test_recall_of_the_walks(size, ratio):
+    """Copies with as many edits as are allowed, found by sampled walks alone."""
+    rng = np.random.default_rng(size)
+    items = [rng.integers(2, 2**62, size).astype(np.uint64) for _ in range(20)]
+    walks, hit, n = walks_of(items), 0, 0
+    for k, item in enumerate(items):
+        for _ in range(5):
+            text = dc._edited(rng, item, int(ratio * size), False)
+            hit += k in walks.candidates(text)[1]
+            n += 1
+    assert hit >= 0.95 * n
+
+
+def test_no_repetition_finds_everything_alone():
+    """Samples skip words: the recall comes from repetitions."""
+    rng = np.random.default_rng(3)
+    items = [rng.integers(2, 2**62, 14).astype(np.uint64) for _ in range(100)]
+    walks, alone = walks_of(items), []
+    assert len(walks.tables) >= 3
+    for table in walks.tables:
+        one = walks_of([])
+        one.first, one.items, one.tables = walks.first, walks.items, [table]
+        texts = [dc._edited(rng, x, most_edits(14, 0.2), True) for x in items]
+        alone.append(np.mean([k in one.candidates(x)[1] for k, x in enumerate(texts)]))
+    assert max(alone) < 1.0 and min(alone) > 0.3
+
+
+def test_every_pair_against_the_exact_distance():
+    """All documents against all items: found exactly where some span is near enough, with that
+    distance, its place and the number of disjoint places."""
+    rng = np.random.default_rng(5)
+    items = [rng.integers(2, 40, int(rng.integers(1, 14))).astype(np.uint64) for _ in range(25)]
+    items = [x for n, x in enumerate(items) if x.tolist() not in [y.tolist() for y in items[:n]]]
+    walks = walks_of(items)
+    missed = extra = total = 0
+    for _ in range(60):
+        text = list(rng.integers(2, 40, int(rng.integers(0, 60))).astype(np.uint64))
+        for _ in range(int(rng.integers(0, 3))):
+            at, item = int(rng.integers(len(text) + 1)), items[int(rng.integers(len(items)))]
+            text[at:at] = list(dc._edited(rng, item, int(rng.integers(0, most_edits(len(item), 0.2) + 1)), False))
+        h = np.array(text, dtype=np.uint64)
+        got = {r[1]: r for r in verified(walks, h, np.array([0, len(h)]), 0.2)}
+        for n, item in enumerate(items):
+            near, _ = best_span(item, h)
+            wanted = len(h) > 0 and near <= most_edits(len(item), 0.2)
+            total += wanted
+            missed += wanted and n not in got
+            extra += n in got and not wanted
+            if n in got:
+                _, _, d, a, b, hits = got[n]
+                assert d == near == distance(item.tolist(), h[a:b + 1].tolist()) and hits >= 1
+    assert extra == 0 and total > 100 and missed <= 0.02 * total
+
+
+def test_a_phrase_that_many_items_share():
+    rng = np.random.default_rng(6)
+    phrase = rng.integers(2, 2**62, 4).astype(np.uint64)
+    items = [np.concatenate([phrase, rng.integers(2, 2**62, 20).astype(np.uint64)]) for _ in range(600)]
+    walks = walks_of(items)
+    text = np.concatenate([np.concatenate([phrase, rng.integers(2, 2**62, 6).astype(np.uint64)]) for _ in range(600)])
+    started = time.time()
+    assert verified(walks, text, np.array([0, len(text)]), 0.2) == []
+    assert walks.candidates(text).shape[1] < 6000 and time.time() - started < 1
+    # Items of the phrase are still found, each by what follows it.
+    whole = np.concatenate([text[:500], items[77], text[500:]])
+    assert [r[1] for r in verified(walks, whole, np.array([0, len(whole)]), 0.2)] == [77]
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    items = [(1, "Ready, Set!"), (2, "只有一个正确答案"), (3, "ภาษาไทย"), (4, "word"), (4, "WORD"), (5, "一二三四五六七八九十")]
+    docs = [(1, "get ready set go"), (2, "ready to set"), (3, "问题：只有一个正确答案。"), (4, "只有正确答案"), (5, "นี่คือภาษาไทยนะ"), (6, "a word"),
+            (7, "words"), (8, "〇一二三X五六七八九十"), (9, "")]
+    found = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in found) == [
+        (1, 1, 0), (3, 2, 0), (5, 3, 0), (6, 4, 0), (6, 4, 0), (8, 5, 1)]
