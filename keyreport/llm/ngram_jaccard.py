@@ -264,8 +264,9 @@ class _Links:
         na, nb = F.col("n_a"), F.col("n_b")
         right = self.sketches.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
         left = self.sketches.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
-        near = join_small(pairs, right, "b", row_bytes=F.size("sketch_b") * 8 + 48)
-        near = (join_small(near, left, "a", row_bytes=F.size("sketch_a") * 8 + 48)
+        # Sketches and sets grow with the corpus: they are shuffled at every size.
+        near = pairs.join(right.hint("merge"), "b")
+        near = (near.join(left.hint("merge"), "a")
                 .where(self.may_link(na, nb, F.lit(0)))
                 .where(apart * (self.den + self.num) <= (na + nb) * (self.den - self.num)).select("a", "b").distinct())
         near = written(near, "jaccard-near")
@@ -274,8 +275,8 @@ class _Links:
             sets = written(join_small(self.sets.select("doc", "s"), ids, "doc", "left_semi"), "jaccard-near-sets")
             left, right = (sets.select(F.col("doc").alias(z), F.col("s").alias(f"s_{z}")) for z in "ab")
             both = F.size(F.array_intersect("s_a", "s_b")).cast("long")
-            near = join_small(near, right, "b", row_bytes=F.size("s_b") * 8 + 32)
-            near = (join_small(near, left, "a", row_bytes=F.size("s_a") * 8 + 32)
+            near = near.join(right.hint("merge"), "b")
+            near = (near.join(left.hint("merge"), "a")
                     .select("a", "b", both.alias("i"), (F.size("s_a") + F.size("s_b")).alias("t"))
                     .where(F.col("i") * self.den >= (F.col("t") - F.col("i")) * self.num).select("a", "b"))
             near = written(near, "jaccard-links")
@@ -298,7 +299,7 @@ class _Links:
         short = self.sketches.select("doc", "short")
 
         def dealt(rows: DataFrame, blk: Column) -> DataFrame:
-            rows = join_small(rows.select("key", "doc", "n", "place", "c"), short, "doc", row_bytes=F.size("short") * 8 + 48)
+            rows = rows.select("key", "doc", "n", "place", "c").join(short.hint("merge"), "doc")
             return join_small(rows, sizes, "key").withColumn("blk", blk).select(part, *cols)
 
         members = dealt(bucket, F.pmod(F.xxhash64("doc"), F.col("blocks")))
@@ -369,7 +370,8 @@ def ngram_jaccard(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100,
         wanted = sig.where("lacking").select("doc").distinct()
         each = originals(single).select("doc", "n", F.explode("keys").alias("key"))
         keys = keys.union(each.join(each.join(wanted, "doc").select("key").distinct(), "key", "left_semi"))
-    several = keys.groupBy("key").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x <> y")
+    # A key and its count are all that is shuffled of the keys that one document has.
+    several = keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
     several = written(several.select("key"), "jaccard-keys")
     bucket = written(join_small(keys, several, "key", "left_semi").distinct(), "jaccard-bucket")
 
