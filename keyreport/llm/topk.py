@@ -202,7 +202,7 @@ def _one_dimension(rows: DataFrame, dim: int, is_query, k: int, block_bytes: int
     def grouped(df: DataFrame, by: str, per: int, prefix: str):
         many = min(NORM_GROUPS, -(-df.count() // per))
         cuts = sorted(set(df.approxQuantile(by, [i / many for i in range(1, many)], 0.01))) if many > 1 else []
-        group = F.lit(0)
+        group = F.pmod("row", F.lit(1)).cast("int")  # 0, and no constant that turns the join below into a product
         for c in cuts:
             group = group + (F.col(by) > c).cast("int")
         df = df.withColumn(f"{prefix}g", group)

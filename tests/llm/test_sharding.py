@@ -3,8 +3,9 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from keyreport.llm import sharding
 from keyreport.llm.catalog import QUERIES
-from keyreport.llm.sharding import shuffle_shards, text_size, write_shards
+from keyreport.llm.sharding import read_shards, shuffle_shards, text_size, write_shards
 
 from .conftest import SF
 
@@ -39,6 +40,30 @@ def test_written_shards_hold_all_rows(spark, documents, tmp_dir):
     assert back.count() == documents.count() and back.select("_shard").distinct().count() == 4
 
 
+def test_shards_are_written_in_slot_order_without_a_second_shuffle(spark, tmp_dir):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 90).cast("int")).alias("text"))
+    write_shards(docs, tmp_dir + "/out", text_size(), 3, bucket_bytes=20_000)
+    back = read_shards(spark, tmp_dir + "/out", docs.schema).withColumn("file", F.input_file_name()).collect()
+    files, slots = {}, {}
+    for r in back:
+        files.setdefault(r["file"], []).append(r["_slot"])
+        slots.setdefault(r["_shard"], []).append(r["_slot"])
+    assert len(files) >= 6 and all(s == sorted(s) for s in files.values())
+    assert all(sorted(s) == list(range(1000)) for s in slots.values())
+    again = shuffle_shards(docs, text_size(), 3, bucket_bytes=20_000).collect()
+    assert {(r["record"]["doc_id"], r["shard"], r["slot"]) for r in again} == {(r["doc_id"], r["_shard"], r["_slot"]) for r in back}
+
+
+def test_offsets_of_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "OFFSET_GROUP", 4)
+    rows = spark.createDataFrame([(b,) for b in range(0, 60, 2) for _ in range(b % 7 + 1)], "bucket long")
+    got = {r["bucket"]: r["base"] for r in sharding.bucket_offsets(rows).collect()}
+    want, total = {}, 0
+    for b in range(0, 60, 2):
+        want[b], total = total, total + b % 7 + 1
+    assert got == want
+
+
 def test_query(spark):
     out = QUERIES["op8_sharding"](spark, SF).collect()
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
