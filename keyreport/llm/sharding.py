@@ -47,7 +47,7 @@ def shuffle_shards(docs: DataFrame, size: Column, shards: int = SHARDS, bucket_b
     buckets = max(1, -(-int(total) // bucket_bytes))
     rows = rows.withColumn("key", F.xxhash64(F.lit(seed), "row", "size"))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.lit(buckets)))
-    rows = written(rows, "sharding-buckets")
+    rows = written(rows, "sharding-buckets", "zstd")
     base = written(bucket_offsets(rows), "sharding-offsets")
     bucket = (rows.repartition(buckets, "bucket").groupBy("bucket")
               .agg(F.sort_array(F.collect_list(F.struct("key", "row", "record", "size"))).alias("all"))
@@ -73,7 +73,7 @@ def write_shards(docs: DataFrame, path: str, size: Column, shards: int = SHARDS,
     """Write the shuffled records, with ``_slot``, as one folder ``_shard=...`` per shard."""
     placed = shuffle_shards(docs, size, shards, **options)
     (placed.select("record.*", F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-     .sortWithinPartitions("_shard", "_slot").write.mode("overwrite").partitionBy("_shard").parquet(path))
+     .sortWithinPartitions("_shard", "_slot").write.mode("overwrite").option("compression", "zstd").partitionBy("_shard").parquet(path))
 
 
 def read_shards(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
