@@ -49,7 +49,7 @@ def shuffle_shards(docs: DataFrame, size: Column, shards: int = SHARDS, bucket_b
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.lit(buckets)))
     rows = written(rows, "sharding-buckets", "zstd")
     base = written(bucket_offsets(rows), "sharding-offsets")
-    bucket = (rows.repartition(buckets, "bucket").groupBy("bucket")
+    bucket = (rows.repartitionByRange(buckets, "bucket").groupBy("bucket")
               .agg(F.sort_array(F.collect_list(F.struct("key", "row", "record", "size"))).alias("all"))
               .sortWithinPartitions("bucket").select("bucket", F.shuffle("all", seed).alias("all")))
     each = join_small(bucket, base, "bucket").select("base", F.posexplode("all").alias("pos", "x"))
