@@ -7,7 +7,7 @@ and numbers its records on from all earlier buckets. Record number g goes to
 shard g mod n, slot g div n: shard sizes differ by one record at most (law ``rows``).
 
 ``write_shards`` writes each bucket's records where they were permuted, without another
-shuffle: a folder per shard, a file per task in it, in slot order. A bucket's records go
+shuffle: a folder per shard, a file per bucket in it, in slot order. A bucket's records go
 through the shuffle whole, so ``bucket_bytes`` is what a task holds a few times over.
 
 The row number is part of the hash, so records that share an id, a source or a
@@ -46,10 +46,10 @@ def shuffle_shards(docs: DataFrame, size: Column, shards: int = SHARDS, bucket_b
     total = docs.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
     buckets = max(1, -(-int(total) // bucket_bytes))
     rows = rows.withColumn("key", F.xxhash64(F.lit(seed), "row", "size"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.lit(buckets)))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.lit(buckets)).cast("int"))
     rows = written(rows, "sharding-buckets", "zstd")
     base = written(bucket_offsets(rows), "sharding-offsets")
-    bucket = (rows.repartitionByRange(buckets, "bucket").groupBy("bucket")
+    bucket = (rows.repartitionById(buckets, F.col("bucket")).groupBy("bucket")
               .agg(F.sort_array(F.collect_list(F.struct("key", "row", "record", "size"))).alias("all"))
               .sortWithinPartitions("bucket").select("bucket", F.shuffle("all", seed).alias("all")))
     each = join_small(bucket, base, "bucket").select("base", F.posexplode("all").alias("pos", "x"))
