@@ -53,7 +53,7 @@ def test_stages_one_by_one(spark, documents):
     assert text[2_000_003]["n_chars"] == len(text[2_000_003]["text"]) and text[2_000_002]["n_chars"] == 2
     assert 2_000_001 in ids["substrings"] and 2_000_001 not in ids["decontamination"]
     assert set(ids["packing"]) == set(ids["decontamination"])
-    assert sorted(map(str, pack(seen["decontamination"]).collect())) == sorted(map(str, seen["packing"].collect()))
+    assert sorted(map(str, pack(seen["decontamination"], with_ids=True).collect())) == sorted(map(str, seen["packing"].collect()))
 
 
 def test_clean_documents_stay(spark):
