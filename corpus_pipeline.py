@@ -14,7 +14,8 @@ the last return the columns of ``documents``.
    earlier (by doc_id, null ids last, and place) go from the text; a text that
    loses nothing is unchanged; a row that loses all its words goes.
 4. ``decontamination``: rows that hold a benchmark item go.
-5. ``packing``: the rest, tokenised and packed into sequences of 1024.
+5. ``packing``: the rest, tokenised and packed into sequences of 1024: a row per piece
+   with its ids and its place.
 
 Stages 2 to 4 give each of their rows a key of its own, written once, and judge rows
 by it: rows with a null or repeated doc_id are judged each by its own text. Rows that
@@ -100,7 +101,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs)
+    return pack(docs, with_ids=True)
 
 
 STAGES = [
