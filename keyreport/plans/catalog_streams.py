@@ -70,16 +70,22 @@ def _two_waves(spark: SparkSession, sf: str, name: str, shaped, run) -> tuple[st
     return base, out
 
 
+def _join_mark_sql(where: str) -> str:
+    """The watermark of two inputs is the earlier one of both."""
+    latest = ", ".join(f"(SELECT max(ts) FROM events WHERE event_type = '{kind}' AND {where})" for kind in ("purchase", "error"))
+    return f"(SELECT date_trunc('millisecond', least({latest})) - INTERVAL 1 DAY)"
+
+
 @query("stream_outer_join", f"""
 WITH w AS (SELECT {_bucket_sql(FIXED_SIZE)} AS s, * FROM events),
-kept AS (SELECT * FROM w WHERE event_id % 10 <> 0 OR make_timestamp(s + {_US[FIXED_SIZE]}) > {_MARK_SQL}),
+kept AS (SELECT * FROM w WHERE event_id % 10 <> 0 OR make_timestamp(s + {_US[FIXED_SIZE]}) > {_join_mark_sql('event_id % 10 <> 0')}),
 p AS (SELECT s, user_id, max(value) AS purchase_most, count(DISTINCT value) AS purchase_values FROM kept
       WHERE event_type = 'purchase' GROUP BY ALL),
 e AS (SELECT s, user_id, min(value) AS error_least, max(event_id) AS error_last FROM kept
       WHERE event_type = 'error' GROUP BY ALL)
 SELECT make_timestamp(s) AS window_start, make_timestamp(s + {_US[FIXED_SIZE]}) AS window_end, user_id,
        purchase_most, coalesce(purchase_values, 0) AS purchase_values, error_least, coalesce(error_last, -1) AS error_last
-FROM p FULL JOIN e USING (s, user_id) WHERE make_timestamp(s + {_US[FIXED_SIZE]}) <= {_LATEST}
+FROM p FULL JOIN e USING (s, user_id) WHERE make_timestamp(s + {_US[FIXED_SIZE]}) <= {_join_mark_sql('true')}
 """)
 def q_stream_outer_join(spark: SparkSession, sf: str) -> DataFrame:
     """J3 as a stream-stream full outer join: purchases and errors per window and user,
