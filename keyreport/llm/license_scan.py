@@ -7,7 +7,7 @@ least ``MIN_RUN`` words that can't be extended are matches; a state knows
 where in which templates its runs end. Matches of one template that
 follow each other in text and template, at most ``MAX_GAP`` words apart in the text, are
 chained; a chain that covers at least ``MIN_COVER`` of the template's words is a span
-of that licence. The score is the highest cover of any template (0 to 1).
+of that licence. The score is the highest cover of any span (0 without one, at most 1).
 
 Streaming starts only where at least ``MIN_RUN`` words in a row follow each other in
 templates two by two, found for the whole chunk at once; no longer match can begin

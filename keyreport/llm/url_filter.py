@@ -12,8 +12,9 @@ instead, with the same verdicts. URLs aren't shuffled for the trie.
 
 Defined results: a null URL, or one without ``://``, has empty host and path and
 gets the default. Host: from there up to ``/``, ``?``, ``#`` or the end, A-Z
-lower-cased; path: from there up to ``?``, ``#`` or the end. Repeated rows are
-judged each. Other columns are ignored.
+lower-cased; path: from there up to ``?``, ``#`` or the end. A rule without host or
+verdict says nothing and is left out; one without a path fits every path. Repeated rows
+are judged each. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -91,6 +92,8 @@ def lookup(root: dict, host: str, path: str) -> tuple[str, str] | None:
 def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: str = "page_id",
                 url_col: str = "url") -> DataFrame:
     """One row per page: id, host, path, rule, verdict. ``rules(verdict, host, path)``."""
+    rules = rules.where("host IS NOT NULL AND verdict IS NOT NULL").select(
+        "verdict", "host", F.coalesce("path", F.lit("")).alias("path"))
     url = F.col(url_col).cast("string")
     parts = pages.select(F.col(id_col), url_host(url).alias("host"), url_path(url).alias("path"))
     size = rules.agg(F.coalesce(F.sum(F.octet_length("host") + F.octet_length("path") + 64), F.lit(0)).alias("b"))

@@ -50,6 +50,14 @@ def test_no_pages_and_no_rules(spark):
     assert filter_urls(one, rules(spark, RULES[:1]).limit(0), "block").first()["verdict"] == "block"
 
 
+def test_rules_with_nulls(spark):
+    some = spark.createDataFrame([("block", None, "/x"), (None, "a.com", "/"), ("block", "b.com", None)],
+                                 "verdict string, host string, path string")
+    pages = spark.createDataFrame([(1, "http://a.com/x"), (2, "http://w.b.com/any"), (3, None)], "page_id long, url string")
+    out = {r["page_id"]: (r["rule"], r["verdict"]) for r in filter_urls(pages, some).collect()}
+    assert out == {1: (None, "allow"), 2: ("b.com", "block"), 3: (None, "allow")}
+
+
 PART = st.sampled_from(["a", "b", "aa"])
 HOST = st.lists(PART, min_size=1, max_size=3).map(".".join)
 PATH = st.one_of(st.just(""), st.lists(st.sampled_from(["", "a", "ab", "b"]), max_size=3).map(lambda x: "/" + "/".join(x)))
