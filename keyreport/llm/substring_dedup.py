@@ -18,7 +18,8 @@ later one go.
 
 Whole copies of an earlier document are found by a hash of all their words first
 and don't enter the index. Counts are combined before their shuffle and joined
-back by joins that may be split, and of equal windows a task sends one, so a
+back by joins that may be split (the earliest place of a window is a partial
+minimum, too), and of equal windows a task sends one, so a
 passage that a third of all documents share meets no single task.
 
 Defined results: text null or without words: 0 words, empty kept text. Documents
@@ -31,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -286,9 +287,14 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, joined: bool = True,
             .agg(F.collect_set("key").alias("keys")))
     mine = written(mine, "substring-shared")
     found = windows(join_small(docs, mine, ["doc", "t"], "inner", F.size("keys") * 8 + 64), width)
+    found = written(found, "substring-windows")
     place = F.struct("doc", "pos")
-    found = found.withColumn("m", F.min(place).over(Window.partitionBy("w1", "w2"))).where(F.col("later") | (place != F.col("m")))
-    runs = found.groupBy("doc", "t").agg(F.collect_list(F.struct("pos", "n")).alias("runs"))
+    heads = found.where(~F.col("later"))
+    # Only windows that start at two places need their earliest one.
+    first = heads.groupBy("w1", "w2").agg(F.min(place).alias("m"), F.max(place).alias("x")).where("m <> x")
+    later = join_small(heads, written(first.drop("x"), "substring-firsts"), ["w1", "w2"], "inner", 48).where(place != F.col("m"))
+    runs = later.select("doc", "t", "pos", "n").unionByName(found.where("later").select("doc", "t", "pos", "n"))
+    runs = runs.groupBy("doc", "t").agg(F.collect_list(F.struct("pos", "n")).alias("runs"))
     none = F.array().cast("array<long>")
     marks = as_spans(runs).withColumn("copy", F.lit(False)).unionByName(
         copies.select("doc", "t", none.alias("starts"), none.alias("counts"), F.lit(True).alias("copy")))
