@@ -1,4 +1,5 @@
-"""Licence notices and grants, as published, that the scan looks for.
+"""Licence notices, grants and passages of licence bodies, as published,
+that the scan looks for.
 
 Each entry: label, text. Labels are lower-case SPDX identifiers; a text is one
 passage of the licence that files carry.
@@ -60,6 +61,70 @@ TEMPLATES = [
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
     ("cc0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring "
                 "rights to this work."),
+    # Short notices as files word them, with and without the article.
+    ("mit", "Released under MIT License."),
+    ("mit", "Licensed under the MIT License."),
+    ("mit", "Licensed under MIT License."),
+    ("apache-2.0", "Licensed under Apache License, Version 2.0."),
+    ("apache-2.0", "Licensed under the Apache License 2.0."),
+    ("apache-2.0", "Released under the Apache License 2.0."),
+    ("cc-by-4.0", "Licensed under the CC BY 4.0."),
+    ("cc-by-sa-4.0", "Licensed under the CC BY-SA 4.0."),
+    ("cc-by-nc-4.0", "Licensed under the CC BY-NC 4.0."),
+    ("gpl-3.0", "Licensed under the GNU General Public License, version 3."),
+    ("gpl-2.0", "Licensed under the GNU General Public License, version 2."),
+    # Passages of licence bodies.
+    ("apache-2.0", "Grant of Copyright License. Subject to the terms and conditions of this License, each Contributor "
+                   "hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable "
+                   "copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, "
+                   "sublicense, and distribute the Work and such Derivative Works in Source or Object form."),
+    ("apache-2.0", "Grant of Patent License. Subject to the terms and conditions of this License, each Contributor "
+                   "hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable "
+                   "(except as stated in this section) patent license to make, have made, use, offer to sell, sell, "
+                   "import, and otherwise transfer the Work"),
+    ("apache-2.0", "Disclaimer of Warranty. Unless required by applicable law or agreed to in writing, Licensor "
+                   "provides the Work (and each Contributor provides its Contributions) on an \"AS IS\" BASIS, WITHOUT "
+                   "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied, including, without limitation, "
+                   "any warranties or conditions of TITLE, NON-INFRINGEMENT, MERCHANTABILITY, or FITNESS FOR A "
+                   "PARTICULAR PURPOSE."),
+    ("gpl-3.0", "The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+    ("gpl-3.0", "The licenses for most software and other practical works are designed to take away your freedom to "
+                "share and change the works. By contrast, the GNU General Public License is intended to guarantee "
+                "your freedom to share and change all versions of a program--to make sure it remains free software "
+                "for all its users."),
+    ("gpl-2.0", "The licenses for most software are designed to take away your freedom to share and change it. By "
+                "contrast, the GNU General Public License is intended to guarantee your freedom to share and change "
+                "free software--to make sure the software is free for all its users."),
+    ("gpl-2.0", "You may copy and distribute verbatim copies of the Program's source code as you receive it, in any "
+                "medium, provided that you conspicuously and appropriately publish on each copy an appropriate "
+                "copyright notice and disclaimer of warranty"),
+    ("gpl-3.0", "You may convey verbatim copies of the Program's source code as you receive it, in any medium, "
+                "provided that you conspicuously and appropriately publish on each copy an appropriate copyright "
+                "notice"),
+    ("lgpl-2.1", "The licenses for most software are designed to take away your freedom to share and change it. By "
+                 "contrast, the GNU General Public Licenses are intended to guarantee your freedom to share and change "
+                 "free software--to make sure the software is free for all its users. This license, the Lesser General "
+                 "Public License, applies to some specially designated software packages"),
+    ("lgpl-3.0", "This version of the GNU Lesser General Public License incorporates the terms and conditions of "
+                 "version 3 of the GNU General Public License, supplemented by the additional permissions listed "
+                 "below."),
+    ("agpl-3.0", "The GNU Affero General Public License is a free, copyleft license for software and other kinds of "
+                 "works, specifically designed to ensure cooperation with the community in the case of network server "
+                 "software."),
+    ("mpl-2.0", "Each Contributor hereby grants You a world-wide, royalty-free, non-exclusive license: under "
+                "intellectual property rights (other than patent or trademark) Licensable by such Contributor to use, "
+                "reproduce, make available, modify, display, perform, distribute, and otherwise exploit its "
+                "Contributions"),
+    ("mpl-2.0", "Covered Software is provided under this License on an \"as is\" basis, without warranty of any kind, "
+                "either expressed, implied, or statutory, including, without limitation, warranties that the Covered "
+                "Software is free of defects, merchantable, fit for a particular purpose or non-infringing."),
+    ("bsd-3-clause", "Redistributions in binary form must reproduce the above copyright notice, this list of "
+                     "conditions and the following disclaimer in the documentation and/or other materials provided "
+                     "with the distribution."),
+    ("bsd-3-clause", "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+                     "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+                     "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+                     "INTERRUPTION)"),
 ]
 
 #: Phrases whose words, standing consecutively, give a base label.

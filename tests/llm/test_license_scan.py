@@ -51,6 +51,14 @@ def test_templates_are_found_whole_and_damaged(spark):
             assert label in [s["label"] for s in found[2 * k + 1]["spans"]]
 
 
+def test_short_notices_as_files_word_them(spark):
+    rows = [(1, "Licensed under the CC BY 4.0", "cc-by-4.0"), (2, "x Released under MIT License y", "mit"),
+            (3, "Licensed under CC BY-SA 4.0", "cc-by-sa-4.0")]
+    found = license_scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"))
+    assert {r["doc_id"]: sorted({s["label"] for s in r["spans"]}) for r in found.collect()} == {
+        d: [label] for d, _, label in rows}
+
+
 def test_plain_prose_has_no_licence(spark):
     rows = [(1, "the permission of the software and the conditions of this work are as is for any purpose " * 50)]
     row = license_scan(spark.createDataFrame(rows, "doc_id long, text string")).first()
