@@ -26,6 +26,8 @@ from keyreport.session import scratch_dir
 BROADCAST_BYTES = 32 << 20
 # Text bytes handled at once inside a Python task.
 CHUNK_BYTES = 1 << 20
+# Spark's setting that drops a query's shuffle files when the query has ended.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 U64 = np.uint64
 
@@ -36,10 +38,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` as a parquet table in the shared folder, read back: later steps
-    survive a lost executor without computing it again."""
+    survive a lost executor without computing it again. The shuffle files behind it
+    go when it is written: nothing reads them again."""
     spark = df.sparkSession
     path = scratch_dir(spark, "llm", name)
-    df.write.parquet(path, compression=compression)
+    before = spark.conf.get(DROP_SHUFFLES)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
