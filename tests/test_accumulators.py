@@ -76,3 +76,13 @@ def test_group_function_over_an_ordered_table(spark):
         lambda: (None, []), step, lambda s: [(s[0], ",".join(map(str, s[1])))] if s[1] else [], "k string, vs string"))
     got = spark.sql("SELECT * FROM in_order(TABLE({d}) PARTITION BY k ORDER BY v)", d=df)
     assert rows(got) == [("a", "1,2,3"), ("b", "5"), (None, "2")]
+
+
+def test_group_function_makes_no_batch_per_row(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("a", 3)], "k string, v long")
+    TF.register(spark, "row_sums", TF.as_group_function(
+        lambda: 0, lambda s, r: (s + r["v"], [(r["k"], s + r["v"])]), lambda s: [], "k string, total long"))
+    got = spark.sql("SELECT * FROM row_sums(TABLE({d}) PARTITION BY k ORDER BY v)", d=df)
+    assert rows(got) == [("a", 1), ("a", 4), (None, 2)]
+    # The Arrow form of an evaluated table function makes a batch of every row's output.
+    assert "ArrowEvalPythonUDTF" not in got._jdf.queryExecution().toString()
