@@ -2,6 +2,7 @@
 
 * ``written`` cuts lineage with a parquet table under ``spark.checkpoint.dir``,
   the folder all executors share.
+* ``tidy`` removes the tables that a step wrote and its result doesn't read.
 * ``join_small`` joins by a broadcast only after the small side's rows and bytes
   were measured under a fixed bound; beyond it the planner shuffles.
 * ``words`` finds and hashes the words of many texts at once with numpy.
@@ -10,8 +11,10 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,12 +39,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Tables written by the innermost step that tidies up.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` as a parquet table in the shared folder, read back: later steps
     survive a lost executor without computing it again. The shuffle files behind it
     go when it is written: nothing reads them again."""
     spark = df.sparkSession
     path = scratch_dir(spark, "llm", name)
+    if _WRITTEN.get() is not None:
+        _WRITTEN.get().append(path)
     before = spark.conf.get(DROP_SHUFFLES)
     spark.conf.set(DROP_SHUFFLES, "true")
     try:
@@ -61,6 +70,43 @@ def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str =
     return big.join(F.broadcast(small) if size <= BROADCAST_BYTES else small.hint("merge"), on, how)
 
 
+def tidy(step: Callable) -> Callable:
+    """``step``, a function that returns one or several DataFrames, without the tables
+    that ``written`` made in it: when it returns, those that none of its results reads
+    are removed. Those that stay belong to the step around it, if that tidies up, too.
+    A table that is kept elsewhere than in the results must not be written in ``step``."""
+    @functools.wraps(step)
+    def run(*args, **kwargs):
+        outer = _WRITTEN.get()
+        token = _WRITTEN.set([])
+        try:
+            out = step(*args, **kwargs)
+            paths = _WRITTEN.get()
+        finally:
+            _WRITTEN.reset(token)
+        frames = [x for x in (out if isinstance(out, tuple) else (out,)) if x is not None]
+        read = {f.rsplit("/", 2)[1] for x in frames for f in x.inputFiles()}  # each table's folder has a name of its own
+        for path in paths:
+            if path.rsplit("/", 1)[1] not in read:
+                removed(frames[0].sparkSession if frames else SparkSession.active(), path)
+            elif outer is not None:
+                outer.append(path)
+        return out
+
+    return run
+
+
+def drop(done: DataFrame) -> None:
+    """Remove the table ``done``, which ``written`` gave and nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in done.inputFiles()}:
+        removed(done.sparkSession, path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def lut(pattern: Callable[[int], bool]) -> np.ndarray:
     return np.array([pattern(b) for b in range(256)], dtype=np.uint8)
 
@@ -223,6 +269,7 @@ def i64(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == U64 else x.astype(np.int64, copy=False))
 
 
+@tidy
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of ``edges(a, b)`` (longs): one row (id, root) per
     node that has an edge, root the smallest id it can reach.

@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyreport.llm.common import (
-    LOWER, NOT_SPACE, U64, chunks, components, i64, join_small, lists, mix, table, words, written,
+    LOWER, NOT_SPACE, U64, chunks, components, i64, join_small, lists, mix, table, tidy, words, written,
 )
 from keyreport.llm.queries import query
 
@@ -249,8 +249,9 @@ class _Links:
         return ((F.least(na, nb) * self.den >= F.greatest(na, nb) * self.num)
                 & (places * (self.den + self.num) <= (na + nb) * (self.den - self.num)))
 
-    def compare(self, pairs: DataFrame) -> None:
-        """Verify ``pairs(a, b)`` and join the linked ones."""
+    @tidy
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The linked ones of ``pairs(a, b)``."""
         def half(s: Column) -> Column:
             n = (F.size(s) / 2).cast("int")
             return F.zip_with(F.slice(s, 1, n), F.slice(s, n + 1, n), lambda x, y: x.bitwiseXOR(y))
@@ -280,6 +281,11 @@ class _Links:
                     .select("a", "b", both.alias("i"), (F.size("s_a") + F.size("s_b")).alias("t"))
                     .where(F.col("i") * self.den >= (F.col("t") - F.col("i")) * self.num).select("a", "b"))
             near = written(near, "jaccard-links")
+        return near
+
+    def compare(self, pairs: DataFrame) -> None:
+        """Verify ``pairs(a, b)`` and join the linked ones."""
+        near = self.linked(pairs)
         if self.roots is not None and near.isEmpty():
             return
         known = near if self.roots is None else near.union(
@@ -349,13 +355,26 @@ class _Links:
             bucket = named
 
 
+@tidy
 def ngram_jaccard(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row's (doc_id, n_shingles, component_id) under links of Jaccard
     similarity >= num/den between sets of word n-grams; see the module text."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    rows, copies, bucket = _candidates(docs, n, num, den)
+    roots = _roots(docs, rows, copies, bucket, n, num, den).select(F.col("id").alias("rep"), "root")
+    whole = join_small(rows, copies, ["doc", "fp1", "fp2"], "left").withColumn("rep", F.coalesce("rep", "doc"))
+    return join_small(whole, roots, "rep", "left").select(
+        F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
+        F.coalesce("root", "rep").alias("component_id"))
+
+
+@tidy
+def _candidates(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every row's set size and fingerprint, the copies of equal sets, and the index keys
+    that several documents have. The keys of all documents, as large as their texts, go here."""
     sig = written(signatures(docs, n, num, den), "jaccard-signatures")
-    rows = sig.select("doc", "n", "fp1", "fp2")
+    rows = written(sig.select("doc", "n", "fp1", "fp2"), "jaccard-rows")
     named = rows.where("n > 0 AND doc IS NOT NULL")
     equal = named.groupBy("fp1", "fp2").agg(F.min("doc").alias("rep"), F.max("doc").alias("last"))
     copies = written(named.join(equal.where("rep <> last"), ["fp1", "fp2"]).where("doc <> rep")
@@ -375,6 +394,12 @@ def ngram_jaccard(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100,
     several = written(several.select("key"), "jaccard-keys")
     bucket = written(join_small(keys, several, "key", "left_semi").distinct(), "jaccard-bucket")
 
+    return rows, copies, bucket
+
+
+@tidy
+def _roots(docs: DataFrame, rows: DataFrame, copies: DataFrame, bucket: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(id, root) of the documents that have links."""
     bucket = bucket.select("key", "doc", F.col("n").cast("long").alias("n"), F.lit(0).alias("place"))
     links = _Links(docs, written(bucket.select("doc").distinct(), "jaccard-ids"), n, num, den)
     left = links.rounds(bucket, 1)
@@ -389,11 +414,7 @@ def ngram_jaccard(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100,
     if not edges.isEmpty():
         roots = written(components(edges.union(roots.select(F.col("id").alias("a"), F.col("root").alias("b")))),
                         "jaccard-roots")
-    roots = roots.select(F.col("id").alias("rep"), "root")
-    whole = join_small(rows, copies, ["doc", "fp1", "fp2"], "left").withColumn("rep", F.coalesce("rep", "doc"))
-    return join_small(whole, roots, "rep", "left").select(
-        F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
-        F.coalesce("root", "rep").alias("component_id"))
+    return roots
 
 
 def _allocate_anew(links: _Links, left: DataFrame, num: int, den: int) -> None:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyreport.llm.common import (
-    CHUNK_BYTES, NOT_SPACE, U64, Words, chunks, i64, join_small, lists, mix, range_hashes, table, words, written,
+    CHUNK_BYTES, NOT_SPACE, U64, Words, chunks, i64, join_small, lists, mix, range_hashes, table, tidy, words, written,
 )
 from keyreport.llm.queries import query
 
@@ -270,11 +270,10 @@ def kept_texts(docs: DataFrame, width: int, joined: bool) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def substring_dedup(docs: DataFrame, width: int = WIDTH, joined: bool = True,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(record, n_words, n_removed, kept_text) per row of ``docs``: record is a struct
-    of its columns; see the module text."""
-    docs = _named(docs, id_col, text_col)
+@tidy
+def _shared(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """The later of equal texts, and for each other text the representatives' hashes that
+    stand twice. The index of all texts goes here."""
     rows = written(index(docs, width), "substring-index")
     long = rows.where(F.col("n") >= width)
     equal = long.groupBy("f1", "f2").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x <> y")
@@ -286,6 +285,16 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, joined: bool = True,
     mine = (join_small(each, twice, "key", "left_semi").groupBy("doc", "t")
             .agg(F.collect_set("key").alias("keys")))
     mine = written(mine, "substring-shared")
+    return copies, mine
+
+
+@tidy
+def substring_dedup(docs: DataFrame, width: int = WIDTH, joined: bool = True,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(record, n_words, n_removed, kept_text) per row of ``docs``: record is a struct
+    of its columns; see the module text."""
+    docs = _named(docs, id_col, text_col)
+    copies, mine = _shared(docs, width)
     found = windows(join_small(docs, mine, ["doc", "t"], "inner", F.size("keys") * 8 + 64), width)
     found = written(found, "substring-windows")
     place = F.struct("doc", "pos")
