@@ -17,10 +17,11 @@ the last return the columns of ``documents``.
 5. ``packing``: the rest, tokenised and packed into sequences of 1024: a row per piece
    with its ids and its place.
 
-Stages 2 to 4 give each of their rows a key of its own, written once, and judge rows
-by it: rows with a null or repeated doc_id are judged each by its own text. Rows that
-share an id are ordered by that key. An empty table stays empty. Extra columns are
-carried along up to the last stage.
+Stages 2 and 3 give each of their rows a key of its own, written once, and judge rows
+by it, stage 4 by a 64-bit hash of the text: rows with a null or repeated doc_id are
+judged each by its own text. Rows that share an id are ordered by that key. Tables that
+no stage reads any more are removed. An empty table stays empty. Extra columns are carried
+along up to the last stage.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyreport.llm.common import join_small, table, written
+from keyreport.llm.common import drop, join_small, table, tidy, written
 from keyreport.llm.decontaminate import decontaminate
 from keyreport.llm.language_id import UNKNOWN, fit, predict
 from keyreport.llm.ngram_jaccard import ngram_jaccard
@@ -50,24 +51,30 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(sure).select("record.*")
 
 
-def keyed(docs: DataFrame, ordered: bool = False) -> tuple[DataFrame, str]:
-    """``docs`` with a unique number per row, written, and that column's name; if
-    ``ordered``, numbers grow with doc_id, nulls last."""
+def key_name(docs: DataFrame) -> str:
     taken = {c.lower() for c in docs.columns}
     key = "row_key"
     while key in taken:
         key += "_"
+    return key
+
+
+def keyed(docs: DataFrame, ordered: bool = False) -> tuple[DataFrame, str]:
+    """``docs`` with a unique number per row, written, and that column's name; if
+    ``ordered``, numbers grow with doc_id, nulls last."""
+    key = key_name(docs)
     rows = docs.withColumn(key, F.monotonically_increasing_id())
     if ordered:
         # The number splits a frequent id over sorted partitions.
         rows = rows.orderBy(F.col("doc_id").asc_nulls_last(), key).withColumn(key, F.monotonically_increasing_id())
-    return written(rows, "pipeline-rows"), key
+    return written(rows, "pipeline-rows", "zstd"), key
 
 
 def without(rows: DataFrame, gone: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return join_small(rows, gone, key, "left_anti").select(*(F.col(f"`{c}`") for c in columns))
 
 
+@tidy
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     num, den = SIMILARITY
     rows, key = keyed(docs)
@@ -83,6 +90,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return without(rows, written(gone, "pipeline-near"), key, docs.columns)
 
 
+@tidy
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, key = keyed(docs, ordered=True)
     kept = substring_dedup(rows, width=PASSAGE_WORDS, joined=False, id_col=key)
@@ -93,13 +101,17 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         for c in docs.columns))
 
 
+@tidy
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows, key = keyed(docs)
+    # What a row holds depends on its text alone: its hash is the key, and no copy of the rows is written.
+    key = key_name(docs)
+    rows = docs.withColumn(key, F.xxhash64("text"))
     found = decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col=key)
     gone = found.select(F.col("doc_id").alias(key)).distinct()
     return without(rows, written(gone, "pipeline-leaks"), key, docs.columns)
 
 
+@tidy
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, with_ids=True)
 
@@ -116,8 +128,16 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@tidy
+def finished(name: str, spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return written(dict(STAGES)[name](spark, docs, sf_dir), f"pipeline-{name}")
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for k, (name, _) in enumerate(STAGES):
+        done = finished(name, spark, docs, sf_dir)
+        if k:
+            drop(docs)  # the table of the stage before
+        docs = done
     return docs

@@ -2,6 +2,7 @@
 
 import os
 
+import corpus_pipeline
 from keyreport.llm import ngram_jaccard
 from keyreport.llm.common import tidy, written
 from keyreport.llm.ngram_jaccard import ngram_jaccard as jaccard
@@ -64,3 +65,23 @@ def test_keys_are_gone_before_sets_are_written(spark, monkeypatch):
     monkeypatch.setattr(ngram_jaccard, "whole_sets", watched)
     jaccard(few(spark)).count()
     assert "jaccard-bucket" in seen and "jaccard-signatures" not in seen
+
+def test_pipeline_leaves_its_result(spark, tmp_path):
+    few(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "no such item stands anywhere here")], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    before = tables(spark)
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert found.count() > 0
+    assert left(spark, before) == ["pipeline-packing"]
+
+
+def test_decontamination_copies_no_rows(spark, tmp_path):
+    text = "this very item of nine words stands here whole"
+    docs = spark.createDataFrame([(1, text), (1, "another text of its own"), (None, "x y " + text), (None, None)],
+                                 "doc_id long, text string")
+    spark.createDataFrame([(1, text)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    before = tables(spark)
+    found = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert rows(found) == [(1, "another text of its own"), (None, None)]
+    assert left(spark, before) == ["pipeline-leaks"]
