@@ -1,19 +1,31 @@
 """Tables that a step writes go when nothing reads them any more."""
 
 import os
+from uuid import uuid4
+
+import pytest
 
 import corpus_pipeline
-from keyreport.llm import ngram_jaccard
+from keyreport.llm import common, ngram_jaccard
 from keyreport.llm.common import tidy, written
 from keyreport.llm.ngram_jaccard import ngram_jaccard as jaccard
 from keyreport.llm.substring_dedup import substring_dedup
-from keyreport.session import checkpoint_root
 from tests.conftest import rows
 from tests.llm.conftest import edge_rows
 
 
+@pytest.fixture(autouse=True)
+def scratch(tmp_path, monkeypatch):
+    """A scratch folder that no other process writes to."""
+    monkeypatch.setattr(common, "scratch_dir", lambda spark, *parts: "/".join([f"{tmp_path}/scratch", *parts, uuid4().hex]))
+    monkeypatch.setitem(ROOT, "llm", f"{tmp_path}/scratch/llm")
+
+
+ROOT = {}
+
+
 def tables(spark):
-    root = os.path.join(checkpoint_root(spark).removeprefix("file:"), "keyreport", "llm")
+    root = ROOT["llm"]
     return {(kind, one) for kind in (os.listdir(root) if os.path.isdir(root) else ())
             for one in os.listdir(os.path.join(root, kind))}
 
