@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from keyreport.llm import common
 from keyreport.llm.substring_dedup import substring_dedup
 
 from .conftest import space_words
@@ -66,3 +67,34 @@ def test_texts_that_lose_nothing_stay_as_they_are(spark):
 
 def test_empty_table(nothing):
     assert got(substring_dedup(nothing)) == []
+
+
+def plan_of(frame, capsys):
+    frame.explain()
+    return capsys.readouterr().out
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_records_stay_out_of_python(documents, rows, monkeypatch, capsys, limit):
+    """Python gets each text once and no other column, and a filter on the result does not
+    compute it again; rows shuffled with large marks give the same."""
+    if limit is not None:
+        monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+    kept = substring_dedup(documents.select("doc_id", "text"))
+    plan = plan_of(kept.where("n_removed < n_words"), capsys)
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
+    sent = plan.split("ArrowEvalPython [")[1].split("(", 1)[1].split(")")[0]
+    assert [x.split("#")[0] for x in sent.split(", ")] in ([x, "starts", "counts", "copy"] for x in ("record", "text", "_extract_text"))
+    assert (limit is None) == ("BroadcastHashJoin" in plan)
+    assert got(kept) == brute(rows, 20)
+
+
+def test_rows_of_their_own_under_one_id(spark):
+    """With a column of row numbers, rows that repeat an id are ordered by it."""
+    p = " ".join(f"p{i}" for i in range(25))
+    docs = [(7, f"{p} a"), (7, f"{p} b"), (7, f"{p} a"), (None, f"{p} c"), (3, f"d {p}")]
+    numbered = spark.createDataFrame([(d, t, n) for n, (d, t) in enumerate(docs)], "doc_id long, text string, n long")
+    kept = {r["record"]["n"]: (r["n_removed"], r["kept_text"]) for r in substring_dedup(numbered, row_col="n").collect()}
+    assert kept == {0: (25, "a"), 1: (25, "b"), 2: (26, ""), 3: (25, "c"), 4: (0, f"d {p}")}
+    alone = {r["record"]["n"]: r["kept_text"] for r in substring_dedup(numbered.where("doc_id = 7"), row_col="n").collect()}
+    assert alone == {0: f"{p} a", 1: "b", 2: ""}
