@@ -17,15 +17,17 @@ the last return the columns of ``documents``.
 5. ``packing``: the rest, tokenised and packed into sequences of 1024: a row per piece
    with its ids and its place.
 
-Stages 2 and 3 give each of their rows a key of its own, written once, and judge rows
+Stages 2 and 3 give each of their rows a key of its own and judge rows
 by it, stage 4 by a 64-bit hash of the text: rows with a null or repeated doc_id are
-judged each by its own text. Rows that share an id are ordered by that key. Tables that
-no stage reads any more are removed. An empty table stays empty. Extra columns are carried
+judged each by its own text. The key is the row's file and place in it, so no copy of the
+rows is written; rows that are not read from files one by one get a key with a copy. Rows that
+share an id are ordered by that key. Tables that no stage reads any more are removed. An empty table stays empty. Extra columns are carried
 along up to the last stage.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,8 @@ MIN_LANGUAGE_SCORE = 0.5
 SHINGLE_WORDS = 5
 SIMILARITY = (80, 100)
 PASSAGE_WORDS = 20
+# Bits of a row's number in its file.
+FILE_ROWS = 40
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,15 +63,28 @@ def key_name(docs: DataFrame) -> str:
     return key
 
 
-def keyed(docs: DataFrame, ordered: bool = False) -> tuple[DataFrame, str]:
-    """``docs`` with a unique number per row, written, and that column's name; if
-    ``ordered``, numbers grow with doc_id, nulls last."""
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a unique number per row, and that column's name: the row's file and
+    place where they tell rows apart, else a number written with a copy of the rows."""
     key = key_name(docs)
-    rows = docs.withColumn(key, F.monotonically_increasing_id())
-    if ordered:
-        # The number splits a frequent id over sorted partitions.
-        rows = rows.orderBy(F.col("doc_id").asc_nulls_last(), key).withColumn(key, F.monotonically_increasing_id())
-    return written(rows, "pipeline-rows", "zstd"), key
+    placed = in_files(docs, key)
+    if placed is not None and placed.groupBy(key).count().where(F.col(key).isNull() | (F.col("count") > 1)).isEmpty():
+        return placed, key
+    return written(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-rows", "zstd"), key
+
+
+def in_files(docs: DataFrame, key: str) -> DataFrame | None:
+    """``docs`` with file number and row number as ``key``; None if its source has none."""
+    path, row = f"{key}_file", f"{key}_row"
+    try:
+        at = docs.metadataColumn("_metadata")
+        rows = docs.select("*", at.getField("file_path").alias(path), at.getField("row_index").alias(row))
+    except AnalysisException:
+        return None
+    paths = sorted(r[0] for r in rows.select(path).distinct().collect())  # one per file
+    files = docs.sparkSession.createDataFrame([(p, i << FILE_ROWS) for i, p in enumerate(paths)], f"{path} string, {key} long")
+    rows = rows.join(F.broadcast(files), path, "left")
+    return rows.select(*(F.col(f"`{c}`") for c in docs.columns), (F.col(key) + F.col(row)).alias(key))
 
 
 def without(rows: DataFrame, gone: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -92,8 +109,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 @tidy
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows, key = keyed(docs, ordered=True)
-    kept = substring_dedup(rows, width=PASSAGE_WORDS, joined=False, id_col=key)
+    rows, key = keyed(docs)
+    kept = substring_dedup(rows, width=PASSAGE_WORDS, joined=False, row_col=key)
     changed = F.col("n_removed") > 0
     new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
     return kept.where("n_removed < n_words OR n_words = 0").select(*(

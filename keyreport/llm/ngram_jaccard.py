@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyreport.llm.common import (
-    LOWER, NOT_SPACE, U64, chunks, components, i64, join_small, lists, mix, table, tidy, words, written,
+    LOWER, NOT_SPACE, U64, chunks, components, drop, i64, join_small, lists, mix, table, tidy, words, written,
 )
 from keyreport.llm.queries import query
 
@@ -392,7 +392,8 @@ def _candidates(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame,
     # A key and its count are all that is shuffled of the keys that one document has.
     several = keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
     several = written(several.select("key"), "jaccard-keys")
-    bucket = written(join_small(keys, several, "key", "left_semi").distinct(), "jaccard-bucket")
+    # Keys grow with the corpus: they are shuffled at every size.
+    bucket = written(keys.join(several.hint("merge"), "key", "left_semi").distinct(), "jaccard-bucket")
 
     return rows, copies, bucket
 
@@ -452,6 +453,7 @@ def _allocate_anew(links: _Links, left: DataFrame, num: int, den: int) -> None:
 
     rows = sets.mapInArrow(rarest, "doc long, key long, n long, place int")
     rows = written(rows, "jaccard-rarest")
+    drop(sets)  # as large as their texts
     several = rows.groupBy("key").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x <> y").select("key")
     bucket = written(rows.join(several, "key", "left_semi"), "jaccard-bucket")
     if not bucket.isEmpty():

@@ -47,6 +47,8 @@ CAPACITY = 1024
 END_ID = 2
 # Pieces of one length ranked by one task.
 RANKED = 100_000
+# The same of pieces that carry their ids, so that sorting them needs no disk.
+RANKED_WITH_IDS = 10_000
 STEP = 0.5
 LEAST_FILL = 0.995
 GAP = 0.001
@@ -284,7 +286,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, with_i
     slots = spark.createDataFrame(
         [(size, [tuple(int(v) for v in r) for r in ranges]) for size, ranges in found.items()],
         "length long, ranges array<struct<a: long, b: long, seq: long, times: long, off: long>>")
-    salts = max(1, -(-max(histogram.values(), default=1) // RANKED))
+    salts = max(1, -(-max(histogram.values(), default=1) // (RANKED_WITH_IDS if with_ids else RANKED)))
     cut = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     counts = cut.groupBy("length", "salt").agg(F.count("*").alias("c"))
     before = F.sum("c").over(Window.partitionBy("length").orderBy("salt")) - F.col("c")

@@ -97,3 +97,48 @@ def test_decontamination_copies_no_rows(spark, tmp_path):
     found = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
     assert rows(found) == [(1, "another text of its own"), (None, None)]
     assert left(spark, before) == ["pipeline-leaks"]
+
+
+def test_stages_copy_no_rows_of_files(spark, tmp_path):
+    """Rows read from files are known by file and place: only narrow tables are written, whatever the ids."""
+    text = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    some = [(7, text("c")), (7, text("c")), (7, text("d")), (None, text("c")), (None, text("e")), (3, f"{text('f')} {text('d', 30)}")]
+    spark.createDataFrame(some, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    before = tables(spark)
+    kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert rows(kept) == sorted([(7, text("c")), (7, text("d")), (None, text("e")), some[-1]], key=str)
+    assert left(spark, before) == ["pipeline-near"]
+    before = tables(spark)
+    kept = corpus_pipeline.substrings(spark, docs, str(tmp_path))
+    assert rows(kept) == sorted([(7, text("c")), (7, " ".join(f"d{i}" for i in range(30, 40))), (None, text("e")), some[-1]], key=str)
+    assert set(left(spark, before)) <= {"substring-copies", "substring-marks"}
+
+
+def test_rows_read_twice_get_keys_of_their_own(spark, tmp_path):
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame([(1, "one two three"), (None, "four")], "doc_id long, text string").write.parquet(path)
+    once = spark.read.parquet(path)
+    for docs in (once, once.union(once), spark.read.parquet(path, path), once.crossJoin(spark.range(2)).drop("id"),
+                 spark.createDataFrame([(1, "x"), (1, "x")], "doc_id long, text string")):
+        numbered, key = corpus_pipeline.keyed(docs)
+        assert numbered.columns == [*docs.columns, key]
+        assert numbered.where(f"{key} IS NOT NULL").select(key).distinct().count() == numbered.count() == docs.count()
+        assert rows(numbered.drop(key)) == rows(docs)
+
+
+def test_copies_of_sets_are_gone_before_pairs(spark, monkeypatch):
+    """The sets of costly keys' documents, as large as their texts, go when their rarest elements are known."""
+    passage, before, seen = " ".join(f"p{i}" for i in range(60)), tables(spark), []
+    docs = spark.createDataFrame([(d, f"{' '.join(f'w{d}x{i}' for i in range(9))} {passage}") for d in range(60)],
+                                 "doc_id long, text string")
+    rounds = ngram_jaccard._Links.rounds
+
+    def watched(self, bucket, most):
+        if most is None:
+            seen.append(left(spark, before))
+        return rounds(self, bucket, most)
+
+    monkeypatch.setattr(ngram_jaccard._Links, "rounds", watched)
+    assert jaccard(docs).count() == 60
+    assert seen and all("jaccard-rarest" in x and "jaccard-part-sets" not in x for x in seen)
