@@ -59,6 +59,10 @@ SHORT_WORDS = 16
 BLOCK = 512
 BLOCK_ROWS = 20_000
 HELD_PAIRS = 1 << 19
+# Pivots of a costly key in its first round and in its second; later ones have four times
+# as many each. A round takes dozens of shuffles, pairs of short sketches cost little.
+FIRST_PIVOTS = 32
+MANY_PIVOTS = 1024
 
 
 def bands(num: int, den: int) -> np.ndarray:
@@ -292,6 +296,19 @@ class _Links:
             self.roots.select(F.col("id").alias("a"), F.col("root").alias("b")))
         self.roots = written(components(known, "jaccard-cc"), "jaccard-roots")
 
+    def mixed(self, bucket: DataFrame) -> DataFrame:
+        """The rows of ``bucket(key, doc, n, place)`` with their components ``c``, of the keys
+        that still hold several."""
+        roots = self.roots.select(F.col("id").alias("doc"), "root")
+        named = join_small(bucket, roots, "doc", "left").withColumn("c", F.coalesce("root", "doc")).drop("root")
+        mixed = named.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("place").alias("least"))
+        mixed = written(mixed.where("x <> y").select("key", "least"), "jaccard-mixed-keys")
+        # The largest difference from any partner bounds the places that can still matter.
+        reach = F.col("n") + F.floor(F.col("n") * self.den / self.num)
+        return written(join_small(named, mixed, "key").where(
+            (F.col("place") + F.col("least")) * (self.den + self.num) <= reach * (self.den - self.num))
+            .drop("least"), "jaccard-mixed")
+
     def in_blocks(self, bucket: DataFrame, pivots: DataFrame) -> DataFrame:
         """Pairs of members and pivots of a key that may be linked, compared block by
         block inside tasks: a key's members are dealt over blocks of about ``BLOCK``,
@@ -305,21 +322,28 @@ class _Links:
         short = self.sketches.select("doc", "short")
 
         def dealt(rows: DataFrame, blk: Column) -> DataFrame:
-            rows = rows.select("key", "doc", "n", "place", "c").join(short.hint("merge"), "doc")
+            rows = join_small(short, rows.select("key", "doc", "n", "place", "c"), "doc", row_bytes=64)
             return join_small(rows, sizes, "key").withColumn("blk", blk).select(part, *cols)
 
         members = dealt(bucket, F.pmod(F.xxhash64("doc"), F.col("blocks")))
-        chosen = written(dealt(pivots, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "jaccard-pivots")
+        chosen = written(dealt(pivots, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "jaccard-dealt")
         return members.groupBy("part").cogroup(chosen.groupBy("part")).applyInArrow(
             lambda m, p: near_pairs(m, p, num, den), "a long, b long")
 
     def rounds(self, bucket: DataFrame, most: int | None) -> DataFrame | None:
-        """Up to ``most`` pivot rounds (None: until done, with four times the
-        pivots each time) over ``bucket(key, doc, n, place)``. Returns the rows of keys that
+        """Up to ``most`` pivot rounds (None: until done, with many pivots at once)
+        over ``bucket(key, doc, n, place)``. Returns the rows of keys that
         still hold several components, or None."""
-        bucket = bucket.withColumn("c", F.col("doc"))
-        pivots = bucket.groupBy("key").agg(F.min(F.struct("place", "doc", "n", "c")).alias("p")).select("key", "p.*")
         done, width = 0, 1
+        if most is None:
+            bucket, width = self.mixed(bucket), FIRST_PIVOTS
+            if bucket.isEmpty():
+                return None
+            pivots = self.pivots(bucket, width)
+        else:
+            bucket = bucket.withColumn("c", F.col("doc"))
+            pivots = bucket.groupBy("key").agg(F.min(F.struct("place", "doc", "n", "c")).alias("p")).select("key", "p.*")
+            pivots = written(pivots, "jaccard-pivots")
         while True:
             chosen = pivots.select("key", F.col("doc").alias("pivot"), F.col("n").alias("pn"),
                                    F.col("place").alias("pp"), F.col("c").alias("pc"))
@@ -330,29 +354,24 @@ class _Links:
                     self.may_link(F.col("n"), F.col("pn"), F.col("place") + F.col("pp")))
                 pairs = pairs.select(F.least("pivot", "doc").alias("a"), F.greatest("pivot", "doc").alias("b"))
             self.compare(pairs.distinct())
-            rest = bucket.join(chosen.select("key", F.col("pivot").alias("doc")), ["key", "doc"], "left_anti")
-            roots = self.roots.select(F.col("id").alias("doc"), "root")
-            named = join_small(rest.drop("c"), roots, "doc", "left").withColumn("c", F.coalesce("root", "doc")).drop("root")
-            mixed = named.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("place").alias("least"))
-            mixed = mixed.where("x <> y").select("key", "least")
-            # The largest difference from any partner bounds the places that can still matter.
-            reach = F.col("n") + F.floor(F.col("n") * self.den / self.num)
-            named = written(named.join(mixed, "key").where(
-                (F.col("place") + F.col("least")) * (self.den + self.num) <= reach * (self.den - self.num))
-                .drop("least"), "jaccard-mixed")
-            if named.isEmpty():
+            rest = join_small(bucket.drop("c"), pivots.select("key", "doc"), ["key", "doc"], "left_anti")
+            bucket = self.mixed(rest)
+            if bucket.isEmpty():
                 return None
             done += 1
             if most is not None and done >= most:
-                return named.select("key", "doc")
+                return bucket.select("key", "doc")
             if most is None:
-                width *= 4
-            # Next pivots: members of the key's smallest components, so one stranger among many copies ends in one round.
-            groups = named.groupBy("key", "c").agg(F.count("*").alias("k"), F.min(F.struct("place", "doc", "n")).alias("p"))
-            rank = F.row_number().over(Window.partitionBy("key").orderBy("k", "p"))
-            pivots = (groups.withColumn("rank", rank).where(F.col("rank") <= width)
-                      .select("key", "p.place", "p.doc", "p.n", "c"))
-            bucket = named
+                width = 4 * width if width >= MANY_PIVOTS else MANY_PIVOTS
+            pivots = self.pivots(bucket, width)
+
+    def pivots(self, bucket: DataFrame, width: int) -> DataFrame:
+        """Next pivots: members of the key's smallest components, so one stranger among
+        many copies ends in one round."""
+        groups = bucket.groupBy("key", "c").agg(F.count("*").alias("k"), F.min(F.struct("place", "doc", "n")).alias("p"))
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("k", "p"))
+        return written(groups.withColumn("rank", rank).where(F.col("rank") <= width)
+                       .select("key", "p.place", "p.doc", "p.n", "c"), "jaccard-pivots")
 
 
 @tidy

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from keyreport.llm import ngram_jaccard as module
 from keyreport.llm.ngram_jaccard import most_differing, ngram_jaccard, parity_sketch
 
 from .conftest import space_words
@@ -66,6 +67,17 @@ def test_shared_passage_and_near_copies(spark):
     assert got(ngram_jaccard(frame, 4, 85, 100)) == brute(rows, 4, 85, 100)
 
 
+def test_keys_with_many_components_end_in_few_rounds(spark, monkeypatch):
+    """A round takes dozens of shuffles, whatever the size of the table."""
+    passage = [f"p{i}" for i in range(90)]
+    rows = [(g, " ".join([*passage, *(f"g{g // 2}w{i}" for i in range(8 + g % 16 // 2)), *[f"x{g}"] * (g % 2)])) for g in range(70)]
+    rounds, compared = [], module._Links.in_blocks
+    monkeypatch.setattr(module._Links, "in_blocks", lambda *args: rounds.append(1) or compared(*args))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(ngram_jaccard(frame, 4, 85, 100)) == brute(rows, 4, 85, 100)
+    assert 1 <= len(rounds) <= 2
+
+
 def test_sketch_is_a_lower_bound():
     rng = np.random.default_rng(1)
     for _ in range(200):

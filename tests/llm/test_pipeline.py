@@ -117,6 +117,16 @@ def test_components(spark, edges, want):
     assert len(got) == len(dict(got)) and dict(got) == want
 
 
+def test_components_that_are_stars_take_no_step(spark, monkeypatch):
+    from keyreport.llm import common
+
+    made, write = [], common.written
+    monkeypatch.setattr(common, "written", lambda *args: made.append(args[1]) or write(*args))
+    frame = spark.createDataFrame([(9, 1), (1, 7), (8, 2), (9, 1)], "a long, b long")
+    assert dict(components(frame).collect()) == {9: 1, 7: 1, 8: 2, 1: 1, 2: 2}
+    assert len(made) == 1
+
+
 def test_the_rest_does_not_import_the_subpackage():
     import pathlib
 
