@@ -58,7 +58,7 @@ COUNTERS = 1 << 18
 SHORT_WORDS = 16
 BLOCK = 512
 BLOCK_ROWS = 20_000
-HELD_PAIRS = 1 << 19
+HELD_PAIRS = 1 << 16
 # Pivots of a costly key in its first round and in its second; later ones have four times
 # as many each. A round takes dozens of shuffles, pairs of short sketches cost little.
 FIRST_PIVOTS = 32

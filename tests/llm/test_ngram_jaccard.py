@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,24 @@ def test_keys_with_many_components_end_in_few_rounds(spark, monkeypatch):
     assert 1 <= len(rounds) <= 2
 
 
+def test_pairs_of_a_key_take_little_memory():
+    import tracemalloc
+
+    def side(n):
+        short = pa.array([[i % 2] * module.SHORT_WORDS for i in range(n)], pa.list_(pa.int64()))
+        same = pa.array(np.zeros(n, dtype=np.int64))
+        return pa.table({"key": same, "blk": same, "doc": np.arange(n), "n": pa.array(np.full(n, 900)),
+                         "place": same, "c": np.arange(n), "short": short})
+
+    members, pivots = side(1500), side(700)
+    tracemalloc.start()
+    pairs = module.near_pairs(members, pivots, 85, 100)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pairs.num_rows == 1500 * 700 - 700
+    assert most - 3 * pairs.nbytes < 60 << 20
+
+
 def test_sketch_is_a_lower_bound():
     rng = np.random.default_rng(1)
     for _ in range(200):
